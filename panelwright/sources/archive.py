@@ -174,8 +174,11 @@ def scan_latest(spark: SparkSession, root: str, spec: DatasetSpec, sessions: Seq
 
 
 def scan_history(spark: SparkSession, root: str, spec: DatasetSpec, years: Sequence[int]) -> DataFrame:
-    """All members of the dataset in the archives of the years, in one scan."""
+    """All members of the dataset in the archives of the years, in one scan; each year must have one."""
     globs = [spec.history_archives(y) for y in years]
+    for year, pattern in zip(years, globs):
+        if not glob.glob(os.path.join(root, pattern)):
+            raise FileNotFoundError(f"no history archive of {spec.name} for {year} below {root}")
     reader = _reader(spark, root, spec).option("archives", json.dumps(globs)).option("memberPrefix", spec.member)
     return reader.load()
 
