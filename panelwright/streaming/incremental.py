@@ -5,23 +5,39 @@ The keyed updates are idempotent, so a batch that is run again after a failure c
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from panelwright.plans.vendor import Feed, VendorJobs
 from panelwright.sources.archive import stream_daily
-from panelwright.store import Change
+from panelwright.specs import TableSpec
+from panelwright.store import Change, PanelStore
 
 
-def start_feed(jobs: VendorJobs, feed: Feed, checkpoint: str) -> StreamingQuery:
-    """Take up all archives newer than the checkpoint, then stop (``availableNow``)."""
+def start_upsert(
+    store: PanelStore,
+    table: TableSpec,
+    stream: DataFrame,
+    checkpoint: str,
+    clean: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    insert: bool = True,
+) -> StreamingQuery:
+    """Take up everything newer than the checkpoint, then stop (``availableNow``)."""
 
-    def put(batch, _batch_id: int) -> None:
-        jobs.store.apply(feed.table, [Change(feed.clean(batch), feed.insert)])
+    def put(batch: DataFrame, _batch_id: int) -> None:
+        store.apply(table, [Change(clean(batch), insert)])
 
     return (
-        stream_daily(jobs.spark, jobs.archive_root, feed.data)
-        .writeStream.foreachBatch(put)
+        stream.writeStream.foreachBatch(put)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_feed(jobs: VendorJobs, feed: Feed, checkpoint: str) -> StreamingQuery:
+    """``start_upsert`` of a vendor feed from its daily archives."""
+    stream = stream_daily(jobs.spark, jobs.archive_root, feed.data)
+    return start_upsert(jobs.store, feed.table, stream, checkpoint, feed.clean, feed.insert)
