@@ -31,4 +31,5 @@ def membership_rows(store: PanelStore, source, start: date, end: date) -> DataFr
 def backfill(store: PanelStore, source, start: date, end: date) -> None:
     """Update the flags of asset rows in the years from start to end."""
     rows = membership_rows(store, source, start, end)
-    store.update(ASSETS, rows.where(F.year("date").between(start.year, end.year)), keys=["date", "barrid"])
+    in_range = rows.where(F.year("date").between(start.year, end.year))
+    store.update(ASSETS, in_range, keys=["date", "barrid"], unique=True)

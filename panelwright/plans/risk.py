@@ -24,7 +24,7 @@ from panelwright.operators.matrix import (
     with_variance,
 )
 from panelwright.plans.vendor import clean, clean_covariance_cells, clean_exposures, clean_identity, clean_ids
-from panelwright.session import cut_lineage
+from panelwright.session import Staging
 from panelwright.sources import archive
 from panelwright.sources.objects import write_parquet
 from panelwright.specs import (
@@ -61,24 +61,26 @@ def matrix_assets(identity: DataFrame, ids: DataFrame, on_date: date) -> DataFra
 
 
 def matrix_cells(
-    spark: SparkSession, archive_root: str, on_date: date, block_size: int = BLOCK_SIZE
+    staging: Staging, archive_root: str, on_date: date, block_size: int = BLOCK_SIZE
 ) -> DataFrame:
-    """Long cells ``date, id_i, id_j, value, ticker_i, ticker_j`` of the matrix of one session."""
+    """Long cells ``date, id_i, id_j, value, ticker_i, ticker_j`` of the matrix of one session.
+
+    What is used more than once goes through ``staging``; the cells can be read until it is left.
+    """
+    spark = staging.spark
 
     def scan(*datasets: DatasetSpec) -> DataFrame:
         frames = [archive.scan_sessions(spark, archive_root, d, [on_date]) for d in datasets]
         return reduce(DataFrame.unionByName, frames)
 
-    # used on five sides below; one row per listed asset
-    assets = cut_lineage(matrix_assets(scan(IDENTITY_DATA), scan(IDS_DATA), on_date))
+    assets = staging.put(matrix_assets(scan(IDENTITY_DATA), scan(IDS_DATA), on_date))
     exposures = clean_exposures(keep_raw(scan(*MATRIX_EXPOSURE_DATA), assets))
     risk = clean(keep_raw(scan(*MATRIX_RISK_DATA), assets))
     covariances = clean_covariance_cells(scan(MATRIX_COVARIANCE_DATA)).withColumn(
         "covariance", from_percent_squared(F.col("covariance"))
     )
-    vectors = with_variance(
-        exposures.select("date", "barrid", exposure_vectors(exposures, FACTORS).alias("x")), risk, ["date", "barrid"]
-    )
+    x = exposure_vectors(exposures, FACTORS).alias("x")
+    vectors = staging.put(with_variance(exposures.select("date", "barrid", x), risk, ["date", "barrid"]))
     kernel = factor_matrix(known_factors(covariances, FACTORS), FACTORS, ["date"])
     blocks = asset_covariance_blocks(vectors, kernel, ["date"], "barrid", block_size)
     return relabel(long_cells(blocks, ["date"]), assets)
@@ -105,8 +107,9 @@ def daily_matrix(
 ) -> date:
     """Write the matrix of the last session as long cells, one partition per date; returns the date."""
     (session,) = session_list(calendar, today, 1)
-    cells = matrix_cells(spark, archive_root, session, block_size)
-    write_parquet(cells.select("date", "ticker_i", "ticker_j", "id_i", "id_j", "value"), target, "date")
+    with Staging(spark) as staging:
+        cells = matrix_cells(staging, archive_root, session, block_size)
+        write_parquet(cells.select("date", "ticker_i", "ticker_j", "id_i", "id_j", "value"), target, "date")
     return session
 
 

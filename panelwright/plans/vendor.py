@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions.frames import drop_trailer, rename_known
@@ -14,7 +14,7 @@ from panelwright.functions.scalars import contains, padded_double, parse_date, r
 from panelwright.operators.asof import RightSide
 from panelwright.operators.calendar import session_list
 from panelwright.operators.reshape import pivot_panel
-from panelwright.session import cut_lineage
+from panelwright.session import Staging
 from panelwright.sources import archive
 from panelwright.specs import (
     ASSETS,
@@ -106,12 +106,19 @@ def clean_identity(raw: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Feed:
-    """A dataset, its cleaning, and the table it goes to; ``insert`` feeds create rows."""
+    """A dataset, its cleaning, and the table it goes to; ``insert`` feeds create rows.
+
+    ``unique``: cleaning leaves one row per key.
+    """
 
     data: DatasetSpec
     clean: Callable[[DataFrame], DataFrame]
     table: TableSpec
     insert: bool
+    unique: bool = False
+
+    def change(self, raw: DataFrame) -> Change:
+        return Change(self.clean(raw), self.insert, unique=self.unique)
 
 
 # In this order: only returns create asset rows, the next three fill them in.
@@ -122,9 +129,9 @@ ASSET_FEEDS = (
     Feed(VOLUME_DATA, clean_volume, ASSETS, False),
 )
 RETURNS_FEED, SPECIFIC_RETURNS_FEED, RISK_FEED, VOLUME_FEED = ASSET_FEEDS
-EXPOSURE_FEED = Feed(EXPOSURE_DATA, clean_exposures, EXPOSURES, True)
-COVARIANCE_FEED = Feed(COVARIANCE_DATA, clean_covariances, COVARIANCES, True)
-FACTOR_RETURN_FEED = Feed(FACTOR_RETURN_DATA, clean_factor_returns, FACTOR_RETURNS, True)
+EXPOSURE_FEED = Feed(EXPOSURE_DATA, clean_exposures, EXPOSURES, True, True)
+COVARIANCE_FEED = Feed(COVARIANCE_DATA, clean_covariances, COVARIANCES, True, True)
+FACTOR_RETURN_FEED = Feed(FACTOR_RETURN_DATA, clean_factor_returns, FACTOR_RETURNS, True, True)
 
 # dataset and cleaning of the interval maps put into assets
 TICKERS = (IDS_DATA, clean_tickers)
@@ -167,12 +174,15 @@ class VendorJobs:
         def scan(feed: Feed) -> DataFrame:
             return archive.scan_history(self.spark, self.archive_root, feed.data, years)
 
-        inside = F.col("date").between(F.lit(start), F.lit(end))
-        self._put(feeds, scan, (lambda rows: rows.where(inside)) if clip else (lambda rows: rows))
+        inside = F.col("date").between(F.lit(start), F.lit(end)) if clip else None
+        self._put(feeds, scan, inside)
 
-    def _put(self, feeds, scan, keep=lambda rows: rows) -> None:
+    def _put(self, feeds: tuple[Feed, ...], scan: Callable[[Feed], DataFrame], where: Column | None = None) -> None:
         (table,) = {f.table.name: f.table for f in feeds}.values()
-        self.store.apply(table, [Change(keep(f.clean(scan(f))), f.insert) for f in feeds])
+        changes = [f.change(scan(f)) for f in feeds]
+        if where is not None:
+            changes = [replace(c, rows=c.rows.where(where)) for c in changes]
+        self.store.apply(table, changes)
 
     def map_intervals(self, *maps: tuple[DatasetSpec, Callable[[DataFrame], DataFrame]]) -> None:
         """Put the newest interval maps into assets, as of each row's date.
@@ -182,18 +192,20 @@ class VendorJobs:
         """
         pending: list[RightSide] = []
         reach: int | None = None
-        for data, cleaning in maps or INTERVAL_MAPS:
-            rows = cut_lineage(cleaning(archive.scan_latest(self.spark, self.archive_root, data, self.sessions())))
-            last = rows.agg(F.least(F.max("end_date"), F.lit(self.today))).first()[0]
-            if last is None:
-                continue
-            if pending and last.year != reach:
+        with Staging(self.spark) as staging:
+            for data, cleaning in maps or INTERVAL_MAPS:
+                raw = archive.scan_latest(self.spark, self.archive_root, data, self.sessions())
+                rows = staging.put(cleaning(raw))
+                last = rows.agg(F.least(F.max("end_date"), F.lit(self.today))).first()[0]
+                if last is None:
+                    continue
+                if pending and last.year != reach:
+                    self._map(pending, reach)
+                    pending = []
+                reach = last.year
+                pending.append(RightSide(rows, "start_date", ("start_date", "end_date"), ("end_date",)))
+            if pending:
                 self._map(pending, reach)
-                pending = []
-            reach = last.year
-            pending.append(RightSide(rows, "start_date", ("start_date", "end_date"), ("end_date",)))
-        if pending:
-            self._map(pending, reach)
 
     def _map(self, rights: list[RightSide], last_year: int) -> None:
         # rows before the first start date match nothing, so only the far end needs a bound

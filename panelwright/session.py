@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -15,6 +16,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "12g"))
@@ -45,7 +47,42 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: evaluated once, kept on shared storage, survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+class Staging:
+    """Frames written once to the shared folder and read back from there; removed on exit.
+
+    Cuts lineage and survives lost executors. Parquet, not row checkpoints: later reads take only the columns
+    they need, and Spark knows the sizes.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = shared_path(spark, "staged")
+        self.count = 0
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def put(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        target = f"{self.path}/{self.count}"
+        df.write.parquet(target)
+        return self.spark.read.schema(df.schema).parquet(target)
+
+    def __exit__(self, *_error) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers; once per application.
+
+    Needed where it was not installed on the cluster or passed with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_panelwright_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="panelwright-"), "panelwright")
+    shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(target + ".zip")
+    context._panelwright_shipped = True

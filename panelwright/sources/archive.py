@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from panelwright.session import ship_package
 from panelwright.specs import END_OF_FILE, DatasetSpec
 
 ORIGIN = ("_archive", "_member")
@@ -148,6 +149,7 @@ class ArchiveStreamReader(_Reading, DataSourceStreamReader):
 
 
 def register(spark: SparkSession) -> None:
+    ship_package(spark)
     spark.dataSource.register(ArchiveSource)
 
 

@@ -8,7 +8,7 @@ must not run at the same time.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from panelwright.functions.frames import check_unique, require_columns
 from panelwright.functions.scalars import quoted
 from panelwright.operators.asof import RightSide, asof_update_many
 from panelwright.operators.keyed import dedupe_latest, update, upsert
-from panelwright.session import cut_lineage
+from panelwright.session import Staging
 from panelwright.specs import DATABASES, TableSpec
 
 YEAR = "year"
@@ -27,11 +27,15 @@ YEAR = "year"
 
 @dataclass(frozen=True)
 class Change:
-    """Rows for one table: ``insert`` adds unknown keys, otherwise they are left out."""
+    """Rows for one table: ``insert`` adds unknown keys, otherwise they are left out.
+
+    ``unique`` says that no key repeats, as after a pivot, and saves the shuffle that would see to it.
+    """
 
     rows: DataFrame
     insert: bool
     keys: tuple[str, ...] | None = None
+    unique: bool = False
 
 
 class PanelStore:
@@ -68,36 +72,42 @@ class PanelStore:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(spec))
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
-    def upsert(self, spec: TableSpec, rows: DataFrame, on_repeat: str = "latest") -> None:
-        self.apply(spec, [Change(rows, insert=True)], on_repeat)
+    def upsert(self, spec: TableSpec, rows: DataFrame, on_repeat: str = "latest", unique: bool = False) -> None:
+        self.apply(spec, [Change(rows, insert=True, unique=unique)], on_repeat)
 
     def update(
-        self, spec: TableSpec, rows: DataFrame, keys: Sequence[str] | None = None, on_repeat: str = "latest"
+        self,
+        spec: TableSpec,
+        rows: DataFrame,
+        keys: Sequence[str] | None = None,
+        on_repeat: str = "latest",
+        unique: bool = False,
     ) -> None:
-        self.apply(spec, [Change(rows, insert=False, keys=tuple(keys) if keys else None)], on_repeat)
+        self.apply(spec, [Change(rows, False, tuple(keys) if keys else None, unique)], on_repeat)
 
     def apply(self, spec: TableSpec, changes: Sequence[Change], on_repeat: str = "latest") -> None:
         """Apply changes in order and rewrite the touched years once.
 
         Repeated keys in a change: ``latest`` keeps the greatest row, ``error`` fails.
         """
-        staged = [Change(cut_lineage(_known(spec, c.rows)), c.insert, c.keys or spec.keys) for c in changes]
-        touched: set[int] = set()
-        existing = self.years(spec)
-        for change in staged:
-            years = _years_of(change.rows)
-            touched.update(years if change.insert else [y for y in years if y in existing or y in touched])
-            if on_repeat == "error":
-                check_unique(change.rows, change.keys)
-        if not touched:
-            return
-        merged = self._stored(spec, touched).drop(YEAR)
-        for change in staged:
-            rows = change.rows.where(F.year("date").isin(*sorted(touched)))
-            if on_repeat == "latest":
-                rows = dedupe_latest(rows, change.keys)
-            merged = (upsert if change.insert else update)(merged, rows, change.keys)
-        self.replace_years(spec, merged)
+        with Staging(self.spark) as staging:
+            staged = [replace(c, rows=staging.put(_known(spec, c.rows)), keys=c.keys or spec.keys) for c in changes]
+            existing = self.years(spec)
+            touched: set[int] = set()
+            for change in staged:
+                years = _years_of(change.rows)
+                touched.update(years if change.insert else [y for y in years if y in existing])
+                if on_repeat == "error" and not change.unique:
+                    check_unique(change.rows, change.keys)
+            if not touched:
+                return
+            merged = self._stored(spec, touched).drop(YEAR)
+            for change in staged:
+                rows = change.rows.where(F.year("date").isin(*sorted(touched)))
+                if on_repeat == "latest" and not change.unique:
+                    rows = dedupe_latest(rows, change.keys)
+                merged = (upsert if change.insert else update)(merged, rows, change.keys)
+            self.replace_years(spec, merged)
 
     def update_asof(
         self,
@@ -116,36 +126,28 @@ class PanelStore:
         """
         by = [by] if isinstance(by, str) else list(by)
         years = sorted(set(self.years(spec)) & set(self.years(spec) if years is None else years))
-        rights = [RightSide(cut_lineage(r.frame), r.time, r.drop, r.tie_break) for r in rights]
         fields = [
-            f
-            for r in rights
-            for f in r.frame.schema.fields
-            if f.name not in {*by, left_on, r.time, *r.drop}
+            f for r in rights for f in r.frame.schema.fields if f.name not in {*by, left_on, r.time, *r.drop}
         ]
         wider = spec.widened(fields)
-        if not years:
-            return wider
-
-        def result(columns: Sequence[str]) -> DataFrame:
-            stored = self._stored(wider, years).drop(YEAR).select(*map(quoted, columns))
-            # keys bound the rows per asset to one per session, so no key can be hot
-            return asof_update_many(stored, rights, left_on, by, strategy, rows_per_range=None)
-
-        if only_changed:
-            concerned = list(dict.fromkeys(f.name for f in fields))
-            narrow = self._stored(wider, years).drop(YEAR).select(
-                *map(quoted, [*by, left_on]),
-                *map(quoted, concerned),
-                F.struct(*map(quoted, concerned)).alias("__before"),
-            )
-            after = asof_update_many(narrow, rights, left_on, by, strategy, rows_per_range=None)
-            changed = after.where(~F.col("__before").eqNullSafe(F.struct(*map(quoted, concerned))))
-            # one row per year at most
-            years = sorted(r[0] for r in changed.select(F.year(left_on)).distinct().collect())
-            if not years:
-                return wider
-        self.replace_years(wider, result(wider.columns))
+        with Staging(self.spark) as staging:
+            rights = [RightSide(staging.put(r.frame), r.time, r.drop, r.tie_break) for r in rights]
+
+            def updated(stored: DataFrame) -> DataFrame:
+                # keys bound the rows per asset to one per session, so no key can be hot
+                return asof_update_many(stored, rights, left_on, by, strategy, rows_per_range=None)
+
+            if only_changed and years:
+                concerned = list(dict.fromkeys(f.name for f in fields))
+                now = F.struct(*map(quoted, concerned))
+                narrow = self._stored(wider, years).select(
+                    *map(quoted, [*by, left_on]), *map(quoted, concerned), now.alias("__before")
+                )
+                changed = updated(narrow).where(~F.col("__before").eqNullSafe(now))
+                # one row per year at most
+                years = sorted(r[0] for r in changed.select(F.year(left_on)).distinct().collect())
+            if years:
+                self.replace_years(wider, updated(self._stored(wider, years).select(*map(quoted, wider.columns))))
         return wider
 
     def replace_years(self, spec: TableSpec, rows: DataFrame) -> None:
@@ -186,9 +188,9 @@ class PanelStore:
 
 
 def _known(spec: TableSpec, rows: DataFrame) -> DataFrame:
-    """The columns of the table that the rows have."""
+    """The columns of the table that the rows have, with its types."""
     require_columns(rows, [*spec.keys])
-    return rows.select([quoted(c) for c in spec.columns if c in rows.columns])
+    return rows.select([quoted(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields if f.name in rows.columns])
 
 
 def _years_of(rows: DataFrame) -> list[int]:

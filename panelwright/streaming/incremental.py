@@ -23,11 +23,12 @@ def start_upsert(
     checkpoint: str,
     clean: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     insert: bool = True,
+    unique: bool = False,
 ) -> StreamingQuery:
     """Take up everything newer than the checkpoint, then stop (``availableNow``)."""
 
     def put(batch: DataFrame, _batch_id: int) -> None:
-        store.apply(table, [Change(clean(batch), insert)])
+        store.apply(table, [Change(clean(batch), insert, unique=unique)])
 
     return (
         stream.writeStream.foreachBatch(put)
@@ -40,4 +41,4 @@ def start_upsert(
 def start_feed(jobs: VendorJobs, feed: Feed, checkpoint: str) -> StreamingQuery:
     """``start_upsert`` of a vendor feed from its daily archives."""
     stream = stream_daily(jobs.spark, jobs.archive_root, feed.data)
-    return start_upsert(jobs.store, feed.table, stream, checkpoint, feed.clean, feed.insert)
+    return start_upsert(jobs.store, feed.table, stream, checkpoint, feed.clean, feed.insert, feed.unique)

@@ -1,11 +1,9 @@
-import os
 import sys
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-os.environ.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
 
 from panelwright.session import local_session  # noqa: E402
 
