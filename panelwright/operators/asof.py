@@ -124,15 +124,16 @@ def _match(
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     require_columns(left, [*by, left_on])
     time_type = left.schema[left_on].dataType
-    sides = [_one_per_time(r, cols, by, left, time_type) for r, cols in zip(rights, kept)]
-    names = [f"__r{i}" for i in range(len(sides))]
+    rows = [_right_rows(r, cols, by, left, time_type) for r, cols in zip(rights, kept)]
+    names = [f"__r{i}" for i in range(len(rows))]
     lefts = left.withColumns({"__t": quoted(left_on), "__side": F.lit(1)})
-    sides = [s.withColumnRenamed("__r", n).withColumn("__side", F.lit(0)) for s, n in zip(sides, names)]
 
     layout = None
     if rows_per_range is not None:
-        narrow = [f.select(*map(quoted, by), "__t", (F.col("__side") == 1).alias("__is_left")) for f in (lefts, *sides)]
+        narrow = [lefts.select(*map(quoted, by), "__t", F.lit(True).alias("__is_left"))]
+        narrow += [r.select(*map(quoted, by), "__t", F.lit(False).alias("__is_left")) for r in rows]
         layout = hot_layout(_stack(narrow), by, "__t", rows_per_range, counted="__is_left")
+    sides = [_one_per_time(r, by).withColumnRenamed("__r", n).withColumn("__side", F.lit(0)) for r, n in zip(rows, names)]
     lefts = with_ranges(lefts, layout, by, "__t")
     sides = [with_ranges(s, layout, by, "__t") for s in sides]
 
@@ -180,19 +181,23 @@ def _match(
     return matched.withColumns(final)
 
 
-def _one_per_time(
+def _right_rows(
     side: RightSide, columns: Sequence[str], by: list[str], left: DataFrame, time_type: T.DataType
 ) -> DataFrame:
-    """``by``, ``__t``, ``__r``: one struct per key and time, holding the time and the wanted columns."""
+    """``by``, ``__t``, ``__rank`` and ``__r``, a struct of the time and the wanted columns; no null keys."""
     require_columns(side.frame, [*by, side.time, *side.tie_break])
     keys = [quoted(k).cast(left.schema[k].dataType).alias(k) for k in by]
     time = quoted(side.time).cast(time_type)
     rank = F.struct(*[quoted(c).alias(f"k{i}") for i, c in enumerate(side.tie_break)], F.lit(0).alias("k"))
     row = F.struct(time.alias("__at"), *[quoted(c).alias(c) for c in columns])
     rows = side.frame.select(*keys, time.alias("__t"), rank.alias("__rank"), row.alias("__r"))
+    return rows.dropna(subset=[*by, "__t"])
+
+
+def _one_per_time(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The winning row per key and time; copies collapse before the shuffle."""
     return (
-        rows.dropna(subset=[*by, "__t"])
-        .groupBy(*map(quoted, by), "__t")
+        rows.groupBy(*map(quoted, by), "__t")
         .agg(F.max(F.struct("__rank", "__r")).alias("__best"))
         .select(*map(quoted, by), "__t", F.col("__best.__r").alias("__r"))
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,13 +57,14 @@ def _put(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], how: str)
     require_columns(stored, keys)
     require_columns(incoming, keys)
     shared = [c for c in stored.columns if c in incoming.columns and c not in keys]
-    # A null key matches nothing and would be inserted again by every run.
-    checked = [
-        must_hold(quoted(k).isNotNull(), f"null key {k}", quoted(k)).cast(stored.schema[k].dataType).alias(k)
-        for k in keys
-    ]
+    # A null key matches nothing and would be inserted again by every run. The keys themselves stay untouched,
+    # so that rows already partitioned by them are not shuffled again.
+    known = [quoted(k).isNotNull() for k in keys]
+    checked = incoming.where(must_hold(reduce(and_, known), f"null key in {keys}", F.lit(True)))
+    same = {k: stored.schema[k].dataType == incoming.schema[k].dataType for k in keys}
+    typed = [quoted(k) if same[k] else quoted(k).cast(stored.schema[k].dataType).alias(k) for k in keys]
     fresh = [quoted(c).cast(stored.schema[c].dataType).alias(_NEW + c) for c in shared]
-    joined = stored.join(incoming.select(*checked, *fresh), keys, how)
+    joined = stored.join(checked.select(*typed, *fresh), keys, how)
     return joined.select(
         [F.coalesce(quoted(_NEW + c), quoted(c)).alias(c) if c in shared else quoted(c) for c in stored.columns]
     )

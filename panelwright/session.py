@@ -6,7 +6,10 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -57,17 +60,22 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = shared_path(spark, "staged")
-        self.count = 0
 
     def __enter__(self) -> Staging:
         return self
 
     def put(self, df: DataFrame) -> DataFrame:
-        self.count += 1
-        target = f"{self.path}/{self.count}"
+        target = f"{self.path}/{uuid.uuid4().hex}"
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def put_all(self, frames: Sequence[DataFrame]) -> list[DataFrame]:
+        """Several frames at once: their jobs share the cluster."""
+        if len(frames) < 2:
+            return [self.put(f) for f in frames]
+        with ThreadPoolExecutor(len(frames)) as pool:
+            return list(pool.map(inheritable_thread_target(self.spark)(self.put), frames))
+
     def __exit__(self, *_error) -> None:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

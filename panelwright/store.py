@@ -91,7 +91,8 @@ class PanelStore:
         Repeated keys in a change: ``latest`` keeps the greatest row, ``error`` fails.
         """
         with Staging(self.spark) as staging:
-            staged = [replace(c, rows=staging.put(_known(spec, c.rows)), keys=c.keys or spec.keys) for c in changes]
+            frames = staging.put_all([_known(spec, c.rows) for c in changes])
+            staged = [replace(c, rows=f, keys=c.keys or spec.keys) for c, f in zip(changes, frames)]
             existing = self.years(spec)
             touched: set[int] = set()
             for change in staged:
@@ -131,7 +132,8 @@ class PanelStore:
         ]
         wider = spec.widened(fields)
         with Staging(self.spark) as staging:
-            rights = [RightSide(staging.put(r.frame), r.time, r.drop, r.tie_break) for r in rights]
+            frames = staging.put_all([r.frame for r in rights])
+            rights = [replace(r, frame=f) for r, f in zip(rights, frames)]
 
             def updated(stored: DataFrame) -> DataFrame:
                 # keys bound the rows per asset to one per session, so no key can be hot

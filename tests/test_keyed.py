@@ -50,7 +50,7 @@ def test_update_casts_to_stored_type(spark, stored):
 
 def test_null_key_is_an_error(spark, stored):
     new = spark.createDataFrame([(None, "A", 4.0)], "date date, barrid string, price double")
-    with pytest.raises(Exception, match="null key date"):
+    with pytest.raises(Exception, match="null key in"):
         upsert(stored, new, ["date", "barrid"]).collect()
 
 
