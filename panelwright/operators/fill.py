@@ -25,30 +25,31 @@ def forward_fill(
     """
     by = [by] if isinstance(by, str) else list(by)
     order = [order] if isinstance(order, str) else list(order)
-    layout = None if rows_per_range is None else hot_layout(df, by, order[0], rows_per_range)
+    running = (Window.unboundedPreceding, Window.currentRow)
+    # as a struct the key compares null-safely, so the rows of a null key are split like any other
+    keyed = df.withColumn("__k", F.struct(*map(quoted, by)))
+    layout = None if rows_per_range is None else hot_layout(keyed, ["__k"], order[0], rows_per_range)
     if layout is None:
-        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        window = Window.partitionBy(*map(quoted, by)).orderBy(*map(quoted, order)).rowsBetween(*running)
         return df.withColumns({c: F.last(quoted(c), ignorenulls=True).over(window) for c in columns})
 
-    ranged = with_ranges(df, layout, by, order[0])
-    window = (
-        Window.partitionBy(*by, "__g").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    ranged = with_ranges(keyed, layout, ["__k"], order[0])
+    window = Window.partitionBy(*map(quoted, by), "__g").orderBy(*map(quoted, order)).rowsBetween(*running)
     filled = ranged.withColumns({c: F.last(quoted(c), ignorenulls=True).over(window) for c in columns})
 
     place = F.struct(*map(quoted, order))
     closing = (
         ranged.where("__hot")
-        .groupBy(*by, "__g")
+        .groupBy("__k", "__g")
         .agg(*[F.max_by(quoted(c), F.when(quoted(c).isNotNull(), place)).alias(c) for c in columns])
     )
-    earlier = Window.partitionBy(*by).orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("__k").orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)
     opening = (
-        all_ranges(layout, by)
-        .join(closing, [*by, "__g"], "left")
-        .select(*by, "__g", *[F.last(quoted(c), ignorenulls=True).over(earlier).alias(f"__open_{c}") for c in columns])
+        all_ranges(layout, ["__k"])
+        .join(closing, ["__k", "__g"], "left")
+        .select("__k", "__g", *[F.last(quoted(c), ignorenulls=True).over(earlier).alias(f"__open_{c}") for c in columns])
     )
     # one row per range of a hot key: bounded, see MAX_RANGES
-    return filled.join(F.broadcast(opening), [*by, "__g"], "left").select(
+    return filled.join(F.broadcast(opening), ["__k", "__g"], "left").select(
         [F.coalesce(quoted(c), quoted(f"__open_{c}")).alias(c) if c in columns else quoted(c) for c in df.columns]
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.frames import keep_members
 from panelwright.functions.scalars import quoted
-from panelwright.operators.matrix import BLOCK_SIZE, long_cells, relabel, risk_model_cells, wide_cells
+from panelwright.operators.matrix import BLOCK_SIZE, long_cells, risk_model_blocks, wide_cells
 from panelwright.specs import ASSETS, COVARIANCES, EXPOSURES, FACTORS
 from panelwright.store import PanelStore
 
@@ -37,17 +37,20 @@ def construct_covariance_matrix(
 ) -> DataFrame:
     """Long cells ``date, id_i, id_j, value`` between the assets given by ``barrid``.
 
-    Both axes are cut down to them before the product.
+    Both axes are cut down to them before the product. With a ``ticker`` column the cells carry tickers.
     """
     exposures = keep_members(store.between(EXPOSURES, date_, date_), assets, "barrid")
     risk = store.between(ASSETS, date_, date_).select("date", "barrid", "specific_risk")
     covariances = store.between(COVARIANCES, date_, date_)
-    blocks = risk_model_cells(exposures, covariances, risk, FACTORS, ["date"], "barrid", strict, block_size)
+    names = assets if "ticker" in assets.columns else None
+    blocks = risk_model_blocks(
+        exposures, covariances, risk, FACTORS, names=names, strict=strict, block_size=block_size
+    )
     return long_cells(blocks, ["date"])
 
 
 def covariance_by_ticker(store: PanelStore, date_: date, tickers: Sequence[str], strict: bool = True) -> DataFrame:
     """Wide matrix ``ticker`` by ticker for a chosen list of universe members."""
-    named = load_assets_by_date(store, date_, ["barrid", "ticker"], in_universe=True).where(F.col("ticker").isin(*tickers))
-    cells = construct_covariance_matrix(store, date_, named.select("barrid"), strict)
-    return wide_cells(relabel(cells, named), list(tickers)).orderBy("ticker")
+    members = load_assets_by_date(store, date_, ["barrid", "ticker"], in_universe=True)
+    cells = construct_covariance_matrix(store, date_, members.where(F.col("ticker").isin(*tickers)), strict)
+    return wide_cells(cells, list(tickers))

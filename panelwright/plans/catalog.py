@@ -118,9 +118,9 @@ def cov_submatrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = vectors.groupBy("label").agg(F.max("id").alias("id"))
     kernel = M.factor_matrix(_upper_triangle(vectors, []), _positions(vectors))
     risky = vectors.withColumn("variance", S.squared(S.from_percent(F.col("specific_risk")))).drop("label")
-    cells = M.asset_covariance(FR.keep_members(risky, chosen, "id"), kernel)
     names = chosen.select("id", F.concat(F.lit("l"), "label").alias("ticker"))
-    wide = M.wide_cells(M.relabel(cells, names, "id"), [f"l{v}" for v in labels])
+    named = M.relabel(FR.keep_members(risky, chosen, "id"), names, "id")
+    wide = M.wide_cells(M.asset_covariance(named, kernel, asset="ticker"), [f"l{v}" for v in labels])
     return wide.select("ticker", *[F.round(f"l{v}", 6).alias(f"l{v}") for v in labels])
 
 
@@ -131,7 +131,7 @@ def cov_relabel(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = _t(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("id"))
     names = known.select("id", F.concat(F.lit("doc-"), "id").alias("ticker"))
     cells = _cov_cells(vectors, ["label"])
-    named = M.relabel(cells, names, "id")
+    named = M.relabel_cells(cells, names, "id")
     return named.select("label", "ticker_i", "ticker_j", F.round("value", 6).alias("value"))
 
 

@@ -63,7 +63,7 @@ def matrix_assets(identity: DataFrame, ids: DataFrame, on_date: date) -> DataFra
 def matrix_cells(
     staging: Staging, archive_root: str, on_date: date, block_size: int = BLOCK_SIZE
 ) -> DataFrame:
-    """Long cells ``date, id_i, id_j, value, ticker_i, ticker_j`` of the matrix of one session.
+    """Long cells ``date, ticker_i, ticker_j, value`` of the matrix of one session.
 
     What is used more than once goes through ``staging``; the cells can be read until it is left.
     """
@@ -80,10 +80,11 @@ def matrix_cells(
         "covariance", from_percent_squared(F.col("covariance"))
     )
     x = exposure_vectors(exposures, FACTORS).alias("x")
-    vectors = staging.put(with_variance(exposures.select("date", "barrid", x), risk, ["date", "barrid"]))
+    rated = with_variance(exposures.select("date", "barrid", x), risk, ["date", "barrid"])
+    vectors = staging.put(relabel(rated, assets))
     kernel = factor_matrix(known_factors(covariances, FACTORS), FACTORS, ["date"])
-    blocks = asset_covariance_blocks(vectors, kernel, ["date"], "barrid", block_size)
-    return relabel(long_cells(blocks, ["date"]), assets)
+    cells = long_cells(asset_covariance_blocks(vectors, kernel, ["date"], "ticker", block_size), ["date"])
+    return cells.withColumnsRenamed({"id_i": "ticker_i", "id_j": "ticker_j"})
 
 
 def keep_raw(raw: DataFrame, assets: DataFrame) -> DataFrame:
@@ -108,8 +109,7 @@ def daily_matrix(
     """Write the matrix of the last session as long cells, one partition per date; returns the date."""
     (session,) = session_list(calendar, today, 1)
     with Staging(spark) as staging:
-        cells = matrix_cells(staging, archive_root, session, block_size)
-        write_parquet(cells.select("date", "ticker_i", "ticker_j", "id_i", "id_j", "value"), target, "date")
+        write_parquet(matrix_cells(staging, archive_root, session, block_size), target, "date")
     return session
 
 

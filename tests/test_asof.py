@@ -70,14 +70,14 @@ def test_forward_fill_against_pandas(spark, rows_per_range):
     rng = random.Random(5)
     base = datetime(2024, 1, 1)
     rows = [
-        (i, "hot" if rng.random() < 0.7 else "x", base + timedelta(seconds=rng.randrange(500)),
+        (i, rng.choice(["hot", "hot", None, None, "x"]), base + timedelta(seconds=rng.randrange(500)),
          float(i) if rng.random() < 0.1 else None, str(i) if rng.random() < 0.05 else None)
         for i in range(400)
     ]
     df = spark.createDataFrame(rows, "i int, k string, t timestamp_ntz, v double, s string")
     got = forward_fill(df, "k", ["t", "i"], ["v", "s"], rows_per_range).toPandas().sort_values("i")
     want = pd.DataFrame(rows, columns=["i", "k", "t", "v", "s"]).sort_values(["t", "i"])
-    want[["v", "s"]] = want.groupby("k")[["v", "s"]].ffill()
+    want[["v", "s"]] = want.groupby("k", dropna=False)[["v", "s"]].ffill()
     want = want.sort_values("i")
     assert got["v"].fillna(-1).tolist() == want["v"].fillna(-1).tolist()
     assert got["s"].fillna("").tolist() == want["s"].fillna("").tolist()
