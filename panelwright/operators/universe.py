@@ -27,7 +27,7 @@ def membership(universe: DataFrame, holdings: DataFrame) -> DataFrame:
     # holdings may list a security twice; either listing counts
     held = holdings.groupBy("date", "cusip").agg(*[F.max(f).alias(f) for f in FLAGS])
     matched = universe.join(held, ["date", "cusip"], "left")
-    # distinct calendar days: a few hundred rows a year at any data size
+    # distinct days: a few hundred a year, and under 3.7 million in all the years a date can hold
     rebalanced = (
         matched.where(F.col(FLAGS[0]) | F.col(FLAGS[1]))
         .select(F.col("date").cast("date").alias("date"), F.lit(True).alias("rebalance"))

@@ -24,6 +24,7 @@ from panelwright.operators.universe import base_universe, membership
 from panelwright.plans import api, index, prices
 from panelwright.plans.vendor import clean, clean_volume
 from panelwright.session import shared_path
+from panelwright.sources import objects
 from panelwright.sources.lines import parse_lines
 from panelwright.sources.sql import read_range
 from panelwright.specs import (
@@ -528,6 +529,29 @@ def sql_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_range(spark, source, schema, date(1996, 3, 1), date(1999, 9, 30), F.col("event") == "2-HIGH")
 
 
+@query
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as CSV files with a header and read back with declared types."""
+    path = shared_path(spark, "csv")
+    orders = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", _day("o_orderdate").alias("order_date"), "o_totalprice",
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),
+    )
+    objects.write_csv(orders, path)
+    return objects.read_csv(spark, path, orders.schema)
+
+
+@query
+def matrix_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matrices written one partition per panel, one panel then written again; both steps keep the rest."""
+    path = shared_path(spark, "matrix")
+    cells = _cov_cells(_vectors(spark, sf_dir), ["label"])
+    objects.write_parquet(cells.select("label", "id_i", "id_j", F.round("value", 6).alias("value")), path, "label")
+    first = spark.read.parquet(path)
+    objects.write_parquet(FR.at_latest(first, "label").withColumn("value", -F.col("value")), path, "label")
+    return spark.read.parquet(path).select("label", "id_i", "id_j", "value")
+
+
 # --- stored tables and jobs -----------------------------------------------------------------------
 
 

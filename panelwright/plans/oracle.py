@@ -262,6 +262,16 @@ SELECT CAST(o_orderdate AS DATE) AS date, o_orderkey AS permno, o_totalprice AS
 WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1999-09-30' AND o_orderpriority = '2-HIGH'
 """
 
+ORACLE["csv_round_trip"] = """
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice,
+       CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority
+FROM orders
+"""
+ORACLE["matrix_sink"] = f"""
+WITH {_X}, {_FC_PANEL}, {_CELLS_PANEL}
+SELECT label, id_i, id_j, round(s, 6) * CASE WHEN label = (SELECT max(label) FROM embeddings) THEN -1 ELSE 1 END AS value
+FROM cells
+"""
 ORACLE["asset_feeds_job"] = f"""
 WITH {_ASSETS},
 sold AS (SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_custkey AS VARCHAR) AS barrid, round(sum(l_tax), 2) AS specific_return,

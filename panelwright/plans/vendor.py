@@ -161,11 +161,13 @@ class VendorJobs:
 
     def daily(self, *feeds: Feed) -> None:
         """Re-read the last sessions of the feeds, which must share a table, and rewrite it once."""
-        self._put(feeds, lambda f: archive.scan_sessions(self.spark, self.archive_root, f.data, self.sessions()))
+        sessions = self.sessions()
+        self._put(feeds, lambda f: archive.scan_sessions(self.spark, self.archive_root, f.data, sessions))
 
     def latest(self, *feeds: Feed) -> None:
         """As ``daily`` for the newest session alone; nothing to read changes nothing."""
-        self._put(feeds, lambda f: archive.scan_latest(self.spark, self.archive_root, f.data, self.sessions()))
+        sessions = self.sessions()
+        self._put(feeds, lambda f: archive.scan_latest(self.spark, self.archive_root, f.data, sessions))
 
     def history(self, start: dt.date, end: dt.date, *feeds: Feed, clip: bool = False) -> None:
         """Whole archives of the years from start to end; ``clip`` keeps only dates inside the range."""
@@ -192,10 +194,13 @@ class VendorJobs:
         """
         pending: list[RightSide] = []
         reach: int | None = None
+        sessions = self.sessions()
         with Staging(self.spark) as staging:
-            for data, cleaning in maps or INTERVAL_MAPS:
-                raw = archive.scan_latest(self.spark, self.archive_root, data, self.sessions())
-                rows = staging.put(cleaning(raw))
+            wanted = maps or INTERVAL_MAPS
+            cleaned = [
+                cleaning(archive.scan_latest(self.spark, self.archive_root, data, sessions)) for data, cleaning in wanted
+            ]
+            for rows in staging.put_all(cleaned):
                 last = rows.agg(F.least(F.max("end_date"), F.lit(self.today))).first()[0]
                 if last is None:
                     continue

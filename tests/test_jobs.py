@@ -133,7 +133,10 @@ def test_daily_composite(jobs):
 
 
 def test_index_job_and_sub_matrix(spark, jobs):
-    composite.risk_model_daily(jobs)
+    jobs.daily(v.RETURNS_FEED, v.RISK_FEED)
+    jobs.daily(v.EXPOSURE_FEED)
+    jobs.daily(v.COVARIANCE_FEED)
+    jobs.map_intervals()
     holdings = spark.createDataFrame(
         [(D1, "C1-old", None, "Y"), (D3, "zzz", "Y", "Y")], "date date, cusip string, russell2000 string, russell1000 string"
     )
@@ -162,7 +165,8 @@ def test_single_jobs_and_null_values_keep_what_is_stored(jobs):
 
 
 def test_map_past_its_reach_leaves_later_years(spark, jobs):
-    composite.risk_model_daily(jobs)
+    jobs.daily(v.RETURNS_FEED)
+    jobs.map_intervals()
     ended = [r[:-1] + ["20231231"] for r in ids()]
     put_daily(jobs.archive_root, sp.IDS_DATA, date(2024, 1, 4), [r[:2] + ["US" + r[2] + "-x"] + r[3:] for r in ended])
     later = v.VendorJobs(jobs.store, jobs.archive_root, jobs.calendar, date(2024, 1, 5))
