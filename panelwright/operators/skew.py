@@ -4,7 +4,7 @@ A key's rows must be seen in time order, so a hot key cannot simply be salted. I
 time holding about equally many rows; the state at the start of each range (the last row of the ranges
 before it) is computed from per-range aggregates and joined in. Keys below the threshold stay whole.
 
-All steps are exact counts, so every part of a plan, and every retry, cuts at the same places.
+All cuts come from exact counts, so every part of a plan, and every retry, cuts at the same places.
 """
 
 from __future__ import annotations
@@ -29,7 +29,10 @@ def hot_layout(
 
     ``__salts[g]`` is the number of pieces range ``g`` needs because it cannot be cut further (many rows
     at one time); it counts the rows whose boolean column ``counted`` is true, if given. At most
-    MAX_RANGES keys and 2 * MAX_RANGES cuts come back. None if the time type has no even scale.
+    MAX_RANGES keys and 2 * MAX_RANGES cuts come back.
+
+    The rows per key are counted at once, reading only the key and time columns. None if no key is hot, which
+    leaves the plan as simple as it would be without skew, or if the time type has no even scale.
     """
     position = ordinal(quoted(time), rows.schema[time].dataType)
     if position is None:
@@ -41,8 +44,10 @@ def hot_layout(
     per_key = placed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("__n"), F.min("__p").alias("__lo"), F.max("__p").alias("__hi")
     )
-    total = per_key.agg(F.sum("__n")).scalar()
-    limit = F.greatest(F.lit(rows_per_range).cast("bigint"), F.ceil(total / F.lit(MAX_RANGES)))
+    largest, total = per_key.agg(F.max("__n"), F.sum("__n")).first()
+    if largest is None or largest <= rows_per_range:
+        return None
+    limit = F.lit(max(rows_per_range, -(-total // MAX_RANGES))).cast("bigint")
     hot = per_key.where(F.col("__n") > limit)
 
     unit = F.floor((F.col("__p") - F.col("__lo")) * F.lit(UNITS_PER_KEY) / (F.col("__hi") - F.col("__lo") + F.lit(1.0)))

@@ -62,7 +62,9 @@ def test_hot_layout_cuts_only_hot_keys(spark):
     hot = layout["hot"]
     assert len(hot["__cuts"]) >= 2 and hot["__cuts"] == sorted(hot["__cuts"])
     assert len(hot["__salts"]) == len(hot["__cuts"]) + 1 and max(hot["__salts"]) > 1
-    assert hot_layout(df, ["k"], "t", 10_000).count() == 0
+    assert hot_layout(df, ["k"], "t", 10_000) is None
+    assert hot_layout(df.limit(0), ["k"], "t", 10) is None
+    assert hot_layout(df.withColumn("t", df.k), ["k"], "t", 10) is None
 
 
 @pytest.mark.parametrize("rows_per_range", [None, 20])
