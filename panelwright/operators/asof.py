@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from panelwright.functions.frames import require_columns
 from panelwright.functions.scalars import ordinal, quoted
-from panelwright.operators.skew import ROWS_PER_RANGE, all_ranges, hot_layout, with_ranges
+from panelwright.operators.skew import ROWS_PER_RANGE, Layout, all_ranges, hot_layout, with_ranges
 
 STRATEGIES = ("backward", "forward", "nearest")
 
@@ -204,7 +204,7 @@ def _one_per_time(rows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _openings(
-    layout: DataFrame, sides: Sequence[DataFrame], names: Sequence[str], by: list[str], forward: bool
+    layout: Layout, sides: Sequence[DataFrame], names: Sequence[str], by: list[str], forward: bool
 ) -> DataFrame:
     """For every range of a hot key, the last right row before it (or, forward, the first after it)."""
     order = F.col("__g").desc() if forward else F.col("__g").asc()

@@ -33,7 +33,7 @@ def forward_fill(
         window = Window.partitionBy(*map(quoted, by)).orderBy(*map(quoted, order)).rowsBetween(*running)
         return df.withColumns({c: F.last(quoted(c), ignorenulls=True).over(window) for c in columns})
 
-    ranged = with_ranges(keyed, layout, ["__k"], order[0])
+    ranged = with_ranges(keyed, layout, ["__k"], order[0]).drop("__salts")
     window = Window.partitionBy(*map(quoted, by), "__g").orderBy(*map(quoted, order)).rowsBetween(*running)
     filled = ranged.withColumns({c: F.last(quoted(c), ignorenulls=True).over(window) for c in columns})
 

@@ -1,17 +1,19 @@
 """Splitting of hot keys into time ranges, for operators that order rows within a key.
 
 A key's rows must be seen in time order, so a hot key cannot simply be salted. It is cut into ranges of
-time holding about equally many rows; the state at the start of each range (the last row of the ranges
+time holding about equally many rows (by counts in slices of the key's time span, and in slices of the
+slices that are too full); the state at the start of each range (the last row of the ranges
 before it) is computed from per-range aggregates and joined in. Keys below the threshold stay whole.
 
-All cuts come from exact counts, so every part of a plan, and every retry, cuts at the same places.
+The cuts are a small table made before the plan that uses them, so all its parts cut at the same places.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.scalars import ordinal, quoted
@@ -19,12 +21,20 @@ from panelwright.functions.scalars import ordinal, quoted
 ROWS_PER_RANGE = 2_000_000
 # A key is hot only above this share of all rows. It bounds hot keys and cuts, hence what is broadcast.
 MAX_RANGES = 10_000
-UNITS_PER_KEY = 4_096
+UNITS_PER_SPAN = 4_096
+
+
+@dataclass(frozen=True)
+class Layout:
+    """The cuts of the hot keys, and the largest number of cuts of one key."""
+
+    frame: DataFrame
+    longest: int
 
 
 def hot_layout(
     rows: DataFrame, by: Sequence[str], time: str, rows_per_range: int = ROWS_PER_RANGE, counted: str | None = None
-) -> DataFrame | None:
+) -> Layout | None:
     """Cuts of the hot keys: ``by``, ``__cuts`` (sorted range starts after the first), ``__salts``.
 
     ``__salts[g]`` is the number of pieces range ``g`` needs because it cannot be cut further (many rows
@@ -50,40 +60,65 @@ def hot_layout(
     limit = F.lit(max(rows_per_range, -(-total // MAX_RANGES))).cast("bigint")
     hot = per_key.where(F.col("__n") > limit)
 
-    unit = F.floor((F.col("__p") - F.col("__lo")) * F.lit(UNITS_PER_KEY) / (F.col("__hi") - F.col("__lo") + F.lit(1.0)))
-    units = (
-        placed.join(F.broadcast(hot), by)
-        .groupBy(*by, unit.alias("__u"))
-        .agg(F.count(F.lit(1)).alias("__c"), F.sum("__w").alias("__w"), F.min("__t").alias("__t"))
-    )
-    before = Window.partitionBy(*by).orderBy("__u").rowsBetween(Window.unboundedPreceding, -1)
+    # at most MAX_RANGES rows each: more keys, or units of keys, above the limit cannot exist
+    coarse = placed.join(F.broadcast(hot), by).withColumn("__u", _unit())
+    units = _counted(coarse.drop("__lo", "__hi"), [*by, "__u"])
+    full = units.where(F.col("__c") > limit).select(*by, "__u", "__lo", "__hi")
+    fine = coarse.drop("__lo", "__hi").join(F.broadcast(full), [*by, "__u"]).withColumn("__v", _unit())
+    units = units.where(F.col("__c") <= limit).withColumn("__v", F.lit(0).cast("bigint"))
+    units = units.unionByName(_counted(fine.drop("__lo", "__hi"), [*by, "__u", "__v"]))
+    before = Window.partitionBy(*by).orderBy("__u", "__v").rowsBetween(Window.unboundedPreceding, -1)
     ranges = (
         units.withColumn("__g", F.floor(F.coalesce(F.sum("__c").over(before), F.lit(0)) / limit))
         .groupBy(*by, "__g")
         .agg(F.min("__t").alias("__t"), F.sum("__w").alias("__w"))
         .withColumn("__s", F.greatest(F.lit(1), F.ceil(F.col("__w") / (limit * 2))).cast("int"))
     )
-    # at most UNITS_PER_KEY ranges per key: a small, bounded list
+    # at most MAX_RANGES ranges for all keys together, give or take one per key
     listed = ranges.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("__t", "__s"))).alias("__r"))
-    return listed.select(
+    layout = listed.select(
         *by,
         F.slice(F.col("__r.__t"), F.lit(2), F.greatest(F.size("__r") - 1, F.lit(0))).alias("__cuts"),
         F.col("__r.__s").alias("__salts"),
     )
+    # bounded as above; taken once, so that all parts of a plan use the same cuts and none counts again
+    cuts = layout.collect()
+    frame = rows.sparkSession.createDataFrame(cuts, layout.schema)
+    return Layout(frame, max((len(r["__cuts"]) for r in cuts), default=0))
+
+
+def _unit() -> Column:
+    """Number of the slice of ``__lo`` .. ``__hi`` that ``__p`` lies in."""
+    span = F.col("__hi") - F.col("__lo")
+    slice_ = F.floor((F.col("__p") - F.col("__lo")) * F.lit(UNITS_PER_SPAN) / F.nullif(span, F.lit(0.0)))
+    return F.least(F.coalesce(slice_, F.lit(0)), F.lit(UNITS_PER_SPAN - 1)).cast("bigint")
+
+
+def _counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__c"),
+        F.sum("__w").alias("__w"),
+        F.min("__t").alias("__t"),
+        F.min("__p").alias("__lo"),
+        F.max("__p").alias("__hi"),
+    )
 
 
-def with_ranges(df: DataFrame, layout: DataFrame | None, by: Sequence[str], time: str) -> DataFrame:
+def with_ranges(df: DataFrame, layout: Layout | None, by: Sequence[str], time: str) -> DataFrame:
     """Adds ``__g``, the number of the row's range; ``__salts`` of its key; ``__hot``. Keys that are not hot have range 0."""
     if layout is None:
         return df.withColumns(
             {"__g": F.lit(0), "__salts": F.lit(None).cast("array<int>"), "__hot": F.lit(False)}
         )
-    hot = F.col("__cuts").isNotNull()
-    passed = F.size(F.filter(F.col("__cuts"), lambda cut: cut <= quoted(time)))
-    joined = df.join(F.broadcast(layout), list(by), "left")
-    return joined.withColumns({"__g": F.when(hot, passed).otherwise(F.lit(0)), "__hot": hot}).drop("__cuts")
+    ranged = df.join(F.broadcast(layout.frame), list(by), "left").withColumn("__g", F.lit(0))
+    # Number of cuts at or before the time, by binary search, one column per halving: so it stays in generated
+    # code. An array function with a lambda would copy the cuts for every row.
+    for step in (1 << k for k in reversed(range(layout.longest.bit_length()))):
+        at = F.col("__g") + F.lit(step)
+        ranged = ranged.withColumn("__g", F.when(F.get("__cuts", at - 1) <= quoted(time), at).otherwise(F.col("__g")))
+    return ranged.withColumn("__hot", F.col("__cuts").isNotNull()).drop("__cuts")
 
 
-def all_ranges(layout: DataFrame, by: Sequence[str]) -> DataFrame:
+def all_ranges(layout: Layout, by: Sequence[str]) -> DataFrame:
     """One row ``by``, ``__g`` per range of every hot key."""
-    return layout.select(*by, F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__g"))
+    return layout.frame.select(*by, F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__g"))

@@ -54,10 +54,20 @@ def test_asof_against_brute_force(spark, strategy, rows_per_range):
     assert sorted((x.lid, x.v) for x in out.collect()) == brute(left, right, strategy)
 
 
+def test_hot_layout_resolves_clusters(spark):
+    """Two busy seconds and one row years away: the coarse slices cannot part them, the fine ones can."""
+    base = datetime(2024, 1, 1)
+    rows = [("k", base + timedelta(milliseconds=i)) for i in range(2000)] + [("k", datetime(1990, 1, 1))]
+    layout = hot_layout(spark.createDataFrame(rows, "k string, t timestamp_ntz"), ["k"], "t", 100).frame.collect()[0]
+    assert len(layout["__cuts"]) >= 15 and set(layout["__salts"]) == {1}
+    numbers = spark.range(1000).selectExpr("'k' k", "id / 1e9 t")
+    assert len(hot_layout(numbers, ["k"], "t", 100).frame.collect()[0]["__cuts"]) >= 8
+
+
 def test_hot_layout_cuts_only_hot_keys(spark):
     left, _ = fixture(3, 0.6)
     df = spark.createDataFrame(left, "lid int, k string, t timestamp_ntz")
-    layout = {r.k: r for r in hot_layout(df, ["k"], "t", 60).collect()}
+    layout = {r.k: r for r in hot_layout(df, ["k"], "t", 60).frame.collect()}
     assert set(layout) >= {"hot"}
     hot = layout["hot"]
     assert len(hot["__cuts"]) >= 2 and hot["__cuts"] == sorted(hot["__cuts"])
