@@ -118,3 +118,14 @@ def test_objects(spark, tmp_path):
     listed = objects.list_files(spark, str(tmp_path), "*.parquet")
     assert listed.count() >= 3 and set(listed.columns) == {"path", "length", "modified"}
     assert os.path.exists(tmp_path)
+
+
+def test_member_without_rows_and_long_member(spark, tmp_path):
+    schema = schema_of("!Barrid string, Price double, Currency string")
+    many = [[f"A{i}", i / 2, "USD" * 20] for i in range(120_000)]  # several read blocks
+    for name, rows in (("empty", []), ("long", many)):
+        with open(f"{tmp_path}/{name}.txt", "w") as f:
+            f.write(member_text(schema.fieldNames(), rows, 2))
+    assert archive.scan_text(spark, [f"{tmp_path}/empty.txt"], schema, 2).count() == 0
+    both = archive.scan_text(spark, [f"{tmp_path}/*.txt"], schema, 2)
+    assert both.selectExpr("count(*)", "sum(Price)").first()[:] == (120_000, sum(r[1] for r in many))
