@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +41,7 @@ def forward_fill(
 
     place = F.struct(*map(quoted, order))
     closing = (
-        ranged.where("__hot")
+        ranged.where(F.col("__hot") & reduce(or_, [quoted(c).isNotNull() for c in columns]))
         .groupBy("__k", "__g")
         .agg(*[F.max_by(quoted(c), F.when(quoted(c).isNotNull(), place)).alias(c) for c in columns])
     )
