@@ -8,7 +8,8 @@ from collections import Counter
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from panelwright.plans.catalog import QUERIES
+from panelwright.plans.oracle import ORACLE
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -38,13 +39,13 @@ def bag(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    got = entry.queries()[name](spark, SF)
-    cursor = duck.execute(entry.oracle_sql()[name])
+    got = QUERIES[name](spark, SF)
+    cursor = duck.execute(ORACLE[name])
     columns = [d[0] for d in cursor.description]
     want = cursor.fetchall()
     assert sorted(got.columns) == sorted(columns)
