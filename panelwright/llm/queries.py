@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import mixing, quality, tokens
+from panelwright.llm import jaccard, mixing, quality, tokens
 from panelwright.llm.common import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,9 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
        (size * (whole + CASE WHEN need > 0 AND need - before >= size / 2.0 THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
 """
 ORACLE["op5_source_mix"] = MIX_SQL.format(docs="documents")
+
+
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.set_components(_documents(spark, sf_dir, "doc_id", "text"), jaccard.Likeness(4, 85, 100))
+    return found.select("doc_id", "n_shingles", "component_id")
