@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import jaccard, mixing, quality, tokens
+from panelwright.llm import decontaminate, jaccard, mixing, quality, substrings, tokens
 from panelwright.llm.common import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,13 @@ FROM b
 """
 
 
+@query
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.leaks(_documents(spark, sf_dir, "doc_id", "text"), items)
+    return found.select("doc_id", "item_id", "n_found", F.round("share", 6).alias("share"), "changed")
+
+
 @query
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_documents(spark, sf_dir, "doc_id", "text", "source"))
@@ -103,3 +110,9 @@ ORACLE["op5_source_mix"] = MIX_SQL.format(docs="documents")
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.set_components(_documents(spark, sf_dir, "doc_id", "text"), jaccard.Likeness(4, 85, 100))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_passages(_documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "first_word", "n_words", "source_id")
