@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontaminate, jaccard, mixing, quality, substrings, tokens
+from panelwright.llm import decontaminate, jaccard, mixing, quality, substrings, tokens, warc
 from panelwright.llm.common import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,22 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 ORACLE["op5_source_mix"] = MIX_SQL.format(docs="documents")
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = pick(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id", "url", "html")
+    return warc.archived(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op6_warc"] = """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM m
+"""
+
+
 @query
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.set_components(_documents(spark, sf_dir, "doc_id", "text"), jaccard.Likeness(4, 85, 100))
