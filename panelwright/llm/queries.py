@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontaminate, jaccard, mixing, quality, substrings, tokens, toxicity, warc
+from panelwright.llm import decontaminate, html, jaccard, mixing, quality, substrings, tokens, toxicity, warc
 from panelwright.llm.common import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = pick(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_documents(spark, sf_dir, "doc_id", "text"))
