@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontaminate, html, jaccard, mixing, quality, substrings, tokens, toxicity, warc
+from panelwright.llm import decontaminate, html, jaccard, mixing, pseudo_lm, quality, substrings, tokens, toxicity, warc
 from panelwright.llm.common import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +134,12 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    return pseudo_lm.score(docs, pseudo_lm.train(docs)).select("doc_id", "n_words", "log_prob", "mean_log_prob")
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "text")
