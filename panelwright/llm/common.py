@@ -13,7 +13,7 @@ from panelwright.session import shared_path, ship_package
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 #: A join side of more rows than this is shuffled, not broadcast.
-BROADCAST_ROWS = 20_000
+BROADCAST_ROWS = 200_000
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -72,7 +72,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def join_bounded(df: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join with a side that is expected to be small: broadcast only if its counted rows are few, else shuffled.
 
-    In the shuffled form a hot key of ``df`` is split by adaptive execution.
+    Only narrow sides are given here, so the bound is a few MB. In the shuffled form a hot key of ``df`` is split by adaptive execution.
     """
     few = side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return df.join(F.broadcast(side) if few else side, on, how)

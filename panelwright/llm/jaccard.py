@@ -13,7 +13,7 @@ least ``m - h`` are equal. Each set is indexed under its segments; each segment
 * **Verification.** Candidates are compared as whole sets.
 
 Sets that are equal are one node from the start. Candidates of a signature are first compared with its hub, the set with the
-most shared signatures; groups of near copies collapse there, and only pairs of different groups are compared further.
+most shared signatures; groups of near copies collapse there, and only sets of different groups are compared further.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ from panelwright.llm.components import components
 SPARE = 0.15
 #: Largest set that is indexed with one-deletion neighbourhoods; such a set gives about as many rows as it has shingles.
 DELETION_SIZE = 24
+#: Sets of a block in the comparison of groups.
+BLOCK = 500
 #: Distinct words a worker remembers the hash of.
 _REMEMBERED = 300_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -183,22 +185,27 @@ def _profiles(like: Likeness):
 
 def _signed(like: Likeness):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
+        words, seen = _Words(), set()
         for batch in batches:
             for chunk in range(0, batch.num_rows, 256):
-                part = batch.slice(chunk, 256)
-                sigs, docs, tags = [], [], []
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
+                sigs, nodes, tags = [], [], []
+                for text in batch.column("text").slice(chunk, 256):
                     tokens = shingle_set(text.as_py() or b"", like.words, words)
-                    for space, place in enumerate(places(like, len(tokens)) if len(tokens) else []):
+                    node = _digests(tokens)[0]
+                    if not len(tokens) or node in seen:
+                        continue
+                    if len(seen) >= _REMEMBERED:
+                        seen.clear()  # copies met later make rows once more
+                    seen.add(node)
+                    for space, place in enumerate(places(like, len(tokens))):
                         sig, at = signatures(tokens, place)
                         sigs.append(sig)
-                        docs.append(np.full(len(sig), doc, np.int64))
+                        nodes.append(np.full(len(sig), node, np.int64))
                         tags.append((at * 2 if place.deletions else np.zeros(len(sig), np.int64)) + space)
                 if sigs:
-                    arrays = [pa.array(np.concatenate(x)) for x in (sigs, docs)]
+                    arrays = [pa.array(np.concatenate(x)) for x in (sigs, nodes)]
                     arrays.append(pa.array(np.concatenate(tags).astype(np.int32)))
-                    yield pa.RecordBatch.from_arrays(arrays, ["sig", "doc", "tag"])
+                    yield pa.RecordBatch.from_arrays(arrays, ["sig", "node", "tag"])
 
     return run
 
@@ -207,11 +214,11 @@ def _tokens(like: Likeness):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
-            sets = [shingle_set(t.as_py() or b"", like.words, words).view(np.int64) for t in batch.column("text")]
+            sets = [shingle_set(t.as_py() or b"", like.words, words) for t in batch.column("text")]
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            flat = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(ends), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc", "tokens"])
+            flat = pa.array(np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64))
+            nodes = pa.array([_digests(x)[0] for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([nodes, pa.ListArray.from_arrays(pa.array(ends), flat)], ["node", "tokens"])
 
     return run
 
@@ -222,71 +229,61 @@ def _tokens(like: Likeness):
 def set_components(
     df: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` and the digest ``d1, d2`` of each row's set.
+    """``doc_id, n_shingles, component_id`` of each row.
 
     ``component_id`` is the least id reachable by links, itself included. A text that is null or has no word has an empty
     set and is linked with nothing: its component is its own id. Rows of one id are one document. A row with a null id
     takes the component of the rows with an equal set, or null if these all have null ids; it makes no links.
 
-    Ids must be integers. Three passes over the texts; only signatures (two to three longs each) are shuffled for all of them.
+    Ids must be integers. Three passes over the texts; only signatures (two longs and a tag each) are shuffled for all of
+    them. Sets are named by 64 bits of their digest while links are searched, and by 128 where copies are told.
     """
     python_tasks(df.sparkSession)
     texts = pick(df, doc_id, text).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     profile = staged(texts.mapInArrow(_profiles(like), "doc_id long, n long, d1 long, d2 long"), "sets")
-    own = profile.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
-    copies = profile.where("n > 0").join(own, ["d1", "d2", "n"])
-    mapped = staged(copies.select("doc_id", "d1", "d2", "n", "rep"), "copies")
-    links = linked_pairs(texts, mapped, like)
-    same = mapped.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    labels = components(links.unionByName(same))
-    # a copy has the label of its set's least id; rows without any link are their own component
-    named = mapped.select("d1", "d2", "n", "rep").distinct().join(labels, F.col("rep") == F.col("node"), "left")
-    by_set = named.select("d1", "d2", "n", F.coalesce("label", "rep").alias("component_id"))
+    filled = profile.where("n > 0")
+    own = staged(filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "copies")
+    by_id = filled.where("doc_id is not null").groupBy("doc_id").agg(F.min("d1").alias("a"), F.max("d1").alias("z"))
+    split = by_id.where("a < z").select("doc_id", "a").join(filled.select("doc_id", F.col("d1").alias("b")), "doc_id")
+    links = linked_pairs(texts, own.where("rep is not null"), like)
+    labels = components(links.unionByName(split.select("a", "b")))
+    named = own.join(labels, F.col("d1") == F.col("node"), "left").withColumn("label", F.coalesce("label", "d1"))
+    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    by_set = staged(named.join(least, "label").select("d1", "d2", "n", "component_id"), "named")
     joined = profile.join(by_set, ["d1", "d2", "n"], "left")
-    return joined.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        "d1",
-        "d2",
-    )
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def linked_pairs(texts: DataFrame, mapped: DataFrame, like: Likeness) -> DataFrame:
+def linked_pairs(texts: DataFrame, own: DataFrame, like: Likeness) -> DataFrame:
     """``a, b``: verified links between sets, enough of them to connect all sets that links connect.
 
-    ``mapped`` says which rows are copies of another id; these are not indexed.
+    ``own`` has one row ``d1, n, rep`` per set, ``rep`` the id of a row that has it.
     """
-    skip = mapped.where("doc_id <> rep").select("doc_id").distinct()
-    keep = mapped.where("doc_id = rep").select("doc_id").distinct()
-    once = skip.join(keep, "doc_id", "left_anti")  # an id may have several rows
-    indexed = join_bounded(texts.where("doc_id is not null"), once, ["doc_id"], "left_anti")
-    rows = indexed.mapInArrow(_signed(like), "sig long, doc long, tag int")
+    rows = texts.mapInArrow(_signed(like), "sig long, node long, tag int")
     by_sig = Window.partitionBy("sig")
-    shared = staged(rows.withColumn("n", F.count("*").over(by_sig)).where("n > 1"), "shared")
-    sizes = mapped.where("doc_id = rep").select(F.col("doc_id").alias("doc"), F.col("n").alias("size")).distinct()
-    index = staged(_allocated(shared, sizes, like), "index")
-    candidates = index.select(F.col("doc").alias("doc_id")).distinct()
-    wanted = join_bounded(texts, candidates, ["doc_id"], "left_semi")
-    sets = staged(wanted.mapInArrow(_tokens(like), "doc long, tokens array<long>"), "tokens")
-
-    tested = staged(_verified(_hub_pairs(index), sets, like), "tested")
-    links = tested.where("linked").select("a", "b")
-    groups = components(links)
-    # what is left: pairs of different groups under one signature
-    placed = staged(
-        index.join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc")),
-        "grouped",
-    )
-    rest = _across(placed).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    more = staged(_verified(rest, sets, like), "tested")
-    return links.unionByName(more.where("linked").select("a", "b"))
+    counted = rows.withColumns({"n": F.count("*").over(by_sig), "lo": F.min("node").over(by_sig), "hi": F.max("node").over(by_sig)})
+    shared = staged(counted.where("lo < hi").drop("lo", "hi"), "shared").dropDuplicates(["sig", "node", "tag"])
+    sizes = own.select(F.col("d1").alias("node"), F.col("n").alias("size"), "rep").dropDuplicates(["node"])
+    index = staged(_allocated(shared, sizes.drop("rep"), like), "index")
+    wanted = staged(index.select("node").distinct().join(sizes, "node"), "wanted")
+    rows = join_bounded(texts, wanted.select(F.col("rep").alias("doc_id")).distinct(), ["doc_id"], "left_semi")
+    tokens = rows.mapInArrow(_tokens(like), "node long, tokens array<long>").dropDuplicates(["node"])
+    sets = staged(tokens.join(wanted.select("node"), "node"), "tokens")
+
+    near_hub = staged(_hub_pairs(index), "hubs")
+    links = staged(_verified(near_hub, sets, like), "links")
+    groups = components(links).withColumnRenamed("label", "group")
+    families = components(near_hub).withColumnRenamed("label", "family")
+    placed = wanted.select("node").join(families, "node").join(groups, "node", "left")
+    placed = staged(placed.withColumn("group", F.coalesce("group", "node")), "grouped")
+    return links.unionByName(staged(_across(placed, sets, like), "links"))
 
 
 def _allocated(shared: DataFrame, sizes: DataFrame, like: Likeness) -> DataFrame:
-    """``sig, doc, weight``: the cheapest segments each set needs; sets that can have no partner are gone.
+    """``sig, node, weight``: the cheapest segments each set needs; sets that can have no partner are gone.
 
-    ``shared`` has only signatures that two rows or more have. With ``c`` of ``m`` segments shared, ``m - c`` are useless
+    ``shared`` has only signatures that two sets or more have. With ``c`` of ``m`` segments shared, ``m - c`` are useless
     and already the cheapest, so ``differing + 1 - (m - c)`` of the shared ones are wanted, rarest first.
     """
     plan = T.ArrayType(
@@ -298,52 +295,92 @@ def _allocated(shared: DataFrame, sizes: DataFrame, like: Likeness) -> DataFrame
         return [(p.segments, p.differing, p.needed, int(p.deletions)) for p in places(like, size)]
 
     plans = sizes.select("size").distinct().withColumn("p", placed("size"))  # one call per distinct size
-    known = shared.join(sizes.join(plans, "size"), "doc").withColumn("space", F.col("tag") % 2)
+    known = shared.join(sizes.join(plans, "size"), "node").withColumn("space", F.col("tag") % 2)
     known = known.withColumn("p", F.get("p", F.col("space")))
-    own = Window.partitionBy("doc", "space")
-    counted = known.withColumn("c", F.when(F.col("p.deletions") == 1, F.size(F.collect_set("tag").over(own))).otherwise(F.count("*").over(own)))
-    ranked = counted.withColumn("rank", F.row_number().over(own.orderBy("n", "sig")))
+    own = Window.partitionBy("node", "space")
+    segments = F.when(F.col("p.deletions") == 1, F.size(F.collect_set("tag").over(own))).otherwise(F.count("*").over(own))
+    ranked = known.withColumn("c", segments).withColumn("rank", F.row_number().over(own.orderBy("n", "sig")))
     budget = F.col("p.differing") + 1 - (F.col("p.segments") - F.col("c"))
     fits = F.when(F.col("p.deletions") == 1, F.col("c") >= F.col("p.needed")).otherwise(F.col("rank") <= budget)
-    kept = ranked.where(fits).select("sig", "doc").distinct()
+    kept = ranked.where(fits).select("sig", "node").distinct()
     again = kept.withColumn("n", F.count("*").over(Window.partitionBy("sig"))).where("n > 1")
-    return again.withColumn("weight", F.sum("n").over(Window.partitionBy("doc"))).select("sig", "doc", "weight")
+    return again.withColumn("weight", F.sum("n").over(Window.partitionBy("node"))).select("sig", "node", "weight")
 
 
 def _hub_pairs(index: DataFrame) -> DataFrame:
-    """Each set with the hub of each of its signatures."""
-    hubs = index.groupBy("sig").agg(F.max(F.struct("weight", "doc")).alias("hub"))
-    return _pairs(index.join(hubs, "sig").select("doc", F.col("hub.doc").alias("other")))
-
+    """``a, b``: each set with the hub of each of its signatures."""
+    hubs = index.groupBy("sig").agg(F.max(F.struct("weight", "node")).alias("hub"))
+    met = index.join(hubs, "sig").select("node", F.col("hub.node").alias("other")).where("node <> other")
+    return met.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
 
-def _across(placed: DataFrame) -> DataFrame:
-    """Pairs under one signature whose groups differ.
 
-    Under each signature the largest group is set aside; only members of the others look for partners, so a signature
-    that one group holds alone gives no pair.
-    """
-    shares = placed.groupBy("sig", "label").agg(F.count("*").alias("k"))
-    tops = shares.groupBy("sig").agg(F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("groups"))
-    mixed = placed.join(tops.where("groups > 1").select("sig", F.col("top.label").alias("top")), "sig")
-    seekers = mixed.where("label <> top").select("sig", F.col("doc").alias("other"), F.col("label").alias("other_label"))
-    met = mixed.join(seekers, "sig").where("label <> other_label")
-    return _pairs(met.select("doc", "other"))
+def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs whose whole sets are similar enough."""
+    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
+    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+    both = F.size(F.array_intersect("ta", "tb"))
+    either = F.size("ta") + F.size("tb") - F.col("both")
+    met = pairs.join(left, "a").join(right, "b").withColumn("both", both)
+    return met.where(F.col("both") * like.under >= either * like.over).select("a", "b")
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    met = df.where("doc <> other")
-    return met.select(F.greatest("doc", "other").alias("a"), F.least("doc", "other").alias("b")).distinct()
+def _across(placed: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """``a, b``: links between groups of one family, at least one for each two groups that have any.
 
+    Sets that share a signature are in one family. Its largest group is set aside; members of the others are compared with
+    all members that are not of their own group. Both sides are dealt into blocks of about ``BLOCK`` sets, and each task
+    compares two blocks: no pair becomes a row, and no family is gathered.
+    """
+    shares = placed.groupBy("family", "group").agg(F.count("*").alias("k"))
+    tops = shares.groupBy("family").agg(
+        F.max(F.struct("k", "group")).alias("top"), F.sum("k").alias("total"), F.count("*").alias("groups")
+    )
+    mixed = tops.where("groups > 1").select(
+        "family",
+        F.col("top.group").alias("top"),
+        F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("total") - F.col("top.k")) / BLOCK).cast("int").alias("seeking"),
+    )
+    members = placed.join(mixed, "family").join(sets, "node")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    mine = F.pmod(F.xxhash64("node", F.lit(1)), F.col("seeking")).cast("int")
+
+    def side(rows: DataFrame, seeks: bool) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks" if seeks else "seeking") - 1))
+        seeker, other = (mine.alias("s"), every.alias("o")) if seeks else (every.alias("s"), block.alias("o"))
+        return rows.select("family", seeker, other, F.lit(seeks).alias("seeks"), "node", "group", "tokens")
+
+    dealt = side(members, False).unionByName(side(members.where("group <> top"), True))
+    return dealt.groupBy("family", "s", "o").applyInArrow(_compared(like), "a long, b long").distinct()
+
+
+def _compared(like: Likeness):
+    def run(table: pa.Table) -> pa.Table:
+        seeks = table.column("seeks").to_numpy()
+        nodes, groups = (table.column(c).to_numpy() for c in ("node", "group"))
+        tokens = [np.asarray(x.values) for x in table.column("tokens")]
+        sizes = np.array([len(t) for t in tokens])
+        others = np.flatnonzero(~seeks)
+        flat = np.concatenate([tokens[k] for k in others]) if len(others) else np.empty(0, np.int64)
+        owner = np.repeat(np.arange(len(others)), sizes[others])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        found: dict[tuple[int, int], None] = {}
+        for k in np.flatnonzero(seeks):
+            first, last = (np.searchsorted(flat, tokens[k], side) for side in ("left", "right"))
+            n = last - first
+            at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(others))
+            alike = both * like.under >= (sizes[k] + sizes[others] - both) * like.over
+            met = {}
+            for j in others[alike & (groups[others] != groups[k])].tolist():
+                met.setdefault(groups[j], j)  # one link to each group is enough
+            for j in met.values():
+                found[(max(nodes[k], nodes[j]), min(nodes[k], nodes[j]))] = None
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """``a, b, linked`` by the whole sets."""
-    left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    either = F.size("ta") + F.size("tb") - F.col("both")
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb", both.alias("both"))
-    linked = F.col("both") * like.under >= either * like.over
-    return met.select("a", "b", linked.alias("linked")).groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    return run
 
 
 def one_of_each(df: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
