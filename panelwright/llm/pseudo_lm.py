@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import ascii_lower, pick, put, python_tasks, words_of
+from panelwright.llm.common import ascii_lower, pick, put, python_tasks, staged, words_of
 
 #: Neighbours on each side, numbers per embedding, classes and ids in a class.
 SIDE, WIDTH, CLASSES, PER_CLASS = 2, 16, 32, 32
@@ -29,7 +29,7 @@ IDS = CLASSES * PER_CLASS
 _EDGE = IDS  # stands before and after a document
 #: Rounds of training; in each, every document gives every ``STRIDE``-th of its positions.
 ROUNDS, STRIDE = 2, 8
-_BATCH, _SCORE_BATCH = 4096, 1 << 15
+_BATCH, _SCORE_BATCH = 1024, 1 << 15
 _PIECES, _SALTS = 16, 32
 _REMEMBERED = 300_000
 
@@ -54,8 +54,12 @@ class Net:
         return sum(int(np.prod(shape)) for _, shape in cls.SHAPES)
 
     @classmethod
-    def start(cls, seed: int = 5) -> Net:
+    def start(cls, counts: np.ndarray | None = None, seed: int = 5) -> Net:
+        """Small random weights; the biases give each id its share of the counts."""
         net = cls(np.zeros(cls.size(), np.float32))
+        if counts is not None:
+            shares = (counts + 1.0).reshape(CLASSES, PER_CLASS)
+            net.c[:], net.v[:] = np.log(shares.sum(axis=1) / shares.sum()), np.log(shares)
         rng = np.random.default_rng(seed)
         for name in ("e", "a", "u"):
             value = getattr(net, name)
@@ -171,11 +175,17 @@ def _around(stream: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return np.stack([stream[positions + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))])
 
 
-def vocabulary(df: DataFrame, text: str = "text") -> list[bytes]:
-    """The most frequent words over all documents, A-Z lowered, by count and then by word; ``NAMED`` at most."""
+def vocabulary(df: DataFrame, text: str = "text") -> tuple[list[bytes], np.ndarray]:
+    """The most frequent words over all documents, A-Z lowered, by count and then by word, ``NAMED`` at most; and how often each
+    id occurs, the shared ones taken alike."""
     words = pick(df, text).select(F.explode(words_of(ascii_lower(F.col(text)))).alias("word"))
-    counted = words.groupBy("word").agg(F.count("*").alias("n"))
-    return [r[0].encode() for r in counted.orderBy(F.desc("n"), "word").limit(NAMED).collect()]
+    counted = staged(words.groupBy("word").agg(F.count("*").alias("n")), "words")
+    rows = counted.orderBy(F.desc("n"), "word").limit(NAMED).collect()
+    rest = (counted.agg(F.sum("n")).first()[0] or 0) - sum(r.n for r in rows)
+    counts = np.full(IDS, rest / (IDS - NAMED))
+    counts[:NAMED] = 0
+    counts[: len(rows)] = [r.n for r in rows]
+    return [r.word.encode() for r in rows], counts
 
 
 def _learn(sent, round_: int, rate: float):
@@ -203,7 +213,7 @@ def _learn(sent, round_: int, rate: float):
                 chosen = positions[round_::STRIDE]
                 if len(chosen):
                     kept.append((_around(stream, chosen), stream[chosen].astype(np.int64)))
-                if sum(len(k[1]) for k in kept) >= 16 * _BATCH:
+                if sum(len(k[1]) for k in kept) >= 64 * _BATCH:
                     seen += learn(_BATCH)
         if kept and len(np.concatenate([k[1] for k in kept])):
             seen += learn(1)
@@ -231,8 +241,8 @@ def train(df: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float =
     """Weights and vocabulary learnt from all documents; the start weights if there are no words."""
     spark = df.sparkSession
     python_tasks(spark)
-    named = vocabulary(df, text)
-    flat = Net.start().flat
+    named, counts = vocabulary(df, text)
+    flat = Net.start(counts).flat
     texts = pick(df, text).select(F.col(text).cast("binary").alias("text"))
     for round_ in range(rounds):
         sent = spark.sparkContext.broadcast((flat, named))
