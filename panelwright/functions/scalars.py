@@ -74,13 +74,30 @@ def ordinal(column: Column, data_type: T.DataType) -> Column | None:
     """A double that grows with the column, or None for types without an even scale."""
     if isinstance(data_type, T.DateType):
         return F.unix_date(column).cast("double")
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(column).cast("double")
+    if isinstance(data_type, T.TimestampNTZType):
+        return distance(F.expr("timestamp_ntz'1970-01-01 00:00:00'"), column, data_type).cast("double")
     if isinstance(data_type, T.NumericType):
         return column.cast("double")
     return None
 
 
+def distance(start: Column, end: Column, data_type: T.DataType) -> Column | None:
+    """``end - start``, exact for all but binary fractions and in any session zone; None for types without distances."""
+    if isinstance(data_type, T.DateType):
+        return F.date_diff(end, start)
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(end) - F.unix_micros(start)
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", start, end)
+    if isinstance(data_type, T.IntegralType):
+        return end.cast("decimal(20,0)") - start.cast("decimal(20,0)")
+    if isinstance(data_type, T.NumericType):
+        return end - start
+    return None
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in order, cast to its types; a missing column is an error."""
     return df.select([quoted(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

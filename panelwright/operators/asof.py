@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions.frames import require_columns
-from panelwright.functions.scalars import ordinal, quoted
+from panelwright.functions.scalars import distance, quoted
 from panelwright.operators.skew import ROWS_PER_RANGE, Layout, all_ranges, hot_layout, with_ranges
 
 STRATEGIES = ("backward", "forward", "nearest")
@@ -142,8 +142,9 @@ def _match(
     no_match = quoted(left_on).isNull()
     for c in by:
         no_match = no_match | quoted(c).isNull()
-    # The partition number is the same when a lost task is run again. Rows that can match nothing are spread by it.
-    piece = F.when(no_match, -1 - F.spark_partition_id()).otherwise(F.pmod(F.spark_partition_id(), pieces))
+    # Salted by the row's content: the same when a lost task is run again, and even where input is clustered.
+    salt = F.xxhash64(*map(quoted, left.columns))
+    piece = F.when(no_match, -1 - F.pmod(salt, F.lit(1024))).otherwise(F.pmod(salt, pieces)).cast("int")
     lefts = lefts.withColumn("__piece", piece).drop("__salts", "__hot")
     pieced = [
         s.withColumn("__piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("__salts", "__hot") for s in sides
@@ -220,10 +221,10 @@ def _openings(
 
 def _nearer(back: Column, ahead: Column, time_type: T.DataType) -> Column:
     """The closer match; backward wins a tie."""
-    now, left_at, right_at = (ordinal(c, time_type) for c in (F.col("__t"), back["__at"], ahead["__at"]))
-    if now is None:
+    before, after = distance(back["__at"], F.col("__t"), time_type), distance(F.col("__t"), ahead["__at"], time_type)
+    if before is None:
         raise TypeError(f"nearest needs a time with distances, not {time_type.simpleString()}")
-    return F.when(back.isNull() | ((right_at - now) < (now - left_at)), ahead).otherwise(back)
+    return F.when(back.isNull() | (after < before), ahead).otherwise(back)
 
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:

@@ -18,18 +18,21 @@ _NEW = "__new_"
 def upsert(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored rows with incoming non-null values put in, plus the rows with unknown keys.
 
-    The result has the columns of ``stored``; other incoming columns are dropped.
+    The result has the columns of ``stored``; other incoming columns are dropped. A null incoming key fails the job.
     """
     return _put(stored, incoming, keys, "full")
 
 
 def update(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """As ``upsert`` without inserts."""
+    """As ``upsert`` without inserts. An incoming row with a null key matches nothing, so it is left out."""
     return _put(stored, incoming, keys, "left")
 
 
 def merge_widen(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """As ``upsert``/``update`` (``how`` is left, inner or full), keeping incoming columns unknown to ``stored``."""
+    """As ``upsert``/``update`` (``how`` is left, inner or full), keeping incoming columns unknown to ``stored``.
+
+    A null incoming key fails the job if ``how`` is full, and matches nothing otherwise.
+    """
     if how not in ("left", "inner", "full"):
         raise ValueError(f"how must be left, inner or full, not {how!r}")
     return _put(add_missing_columns(stored, incoming.schema), incoming, keys, how)
@@ -57,10 +60,12 @@ def _put(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], how: str)
     require_columns(stored, keys)
     require_columns(incoming, keys)
     shared = [c for c in stored.columns if c in incoming.columns and c not in keys]
-    # A null key matches nothing and would be inserted again by every run. The keys themselves stay untouched,
-    # so that rows already partitioned by them are not shuffled again.
-    known = [quoted(k).isNotNull() for k in keys]
-    checked = incoming.where(must_hold(reduce(and_, known), f"null key in {keys}", F.lit(True)))
+    checked = incoming
+    if how == "full":
+        # A null key matches nothing and would be inserted again by every run. The keys themselves stay untouched,
+        # so that rows already partitioned by them are not shuffled again.
+        known = [quoted(k).isNotNull() for k in keys]
+        checked = incoming.where(must_hold(reduce(and_, known), f"null key in {keys}", F.lit(True)))
     same = {k: stored.schema[k].dataType == incoming.schema[k].dataType for k in keys}
     typed = [quoted(k) if same[k] else quoted(k).cast(stored.schema[k].dataType).alias(k) for k in keys]
     fresh = [quoted(c).cast(stored.schema[c].dataType).alias(_NEW + c) for c in shared]

@@ -52,8 +52,9 @@ def pivot_panel(
     distinct_names = sum((F.bit_count(m) for m in maps), F.lit(0))
     wide = placed.groupBy(*index).agg(*cells, (F.count("__pos") == distinct_names).alias("__once"))
     message = f"repeated ({', '.join([*index, on])})"
-    guarded = must_hold(F.col("__once"), message, quoted(index[0])).alias(index[0])
-    return wide.select(guarded, *map(quoted, index[1:]), *map(quoted, columns))
+    # a filter, since the check must not go with a column that nobody selects
+    checked = wide.where(must_hold(F.col("__once"), message, F.lit(True)))
+    return checked.select(*map(quoted, index), *map(quoted, columns))
 
 
 def unpivot_panel(

@@ -89,8 +89,11 @@ def _upper_triangle(vectors: DataFrame, panel: list[str]) -> DataFrame:
 
 
 def _positions(vectors: DataFrame) -> list[int]:
-    """0 .. width - 1 of the vectors."""
-    return list(range(vectors.select(F.size("x")).first()[0]))
+    """0 .. width - 1 of the vectors, which must all be of one length."""
+    least, most = vectors.agg(F.min(F.size("x")), F.max(F.size("x"))).first()
+    if least != most:
+        raise ValueError(f"vectors of {least} to {most} numbers")
+    return list(range(most))
 
 
 def _cov_cells(vectors: DataFrame, panel: list[str]) -> DataFrame:

@@ -5,13 +5,16 @@ with the types the reader was given. A path that is no zip archive is read as on
 
 Options: ``root`` folder; ``members`` JSON list of [archive, member] pairs below it, or ``archives`` JSON list of
 globs with ``memberPrefix``; ``skipLines`` before the header; ``separator``; ``trailer``, a marker line to drop.
-Schema columns are looked up by name in each member's header; a name it lacks is null. The columns
+Schema columns are looked up by name in each member's header. One that it lacks fails the read, unless the JSON list
+``optional`` names it; then it is null. The columns
 ``_archive`` and ``_member`` give a row's origin when the schema names them.
 """
 
 from __future__ import annotations
 
+import csv
 import glob
+import io
 import json
 import os
 import zipfile
@@ -93,9 +96,20 @@ class _Reading:
             # the marker line has fewer fields than the header; any other odd row is damage
             return "skip" if row.text is not None and row.text.startswith(marker) else "error"
 
+        stream = io.BufferedReader(stream)
+        for _ in range(int(self._option("skipLines", "0"))):
+            stream.readline()
+        line = stream.readline().decode("utf-8-sig").rstrip("\r\n")
+        header = next(csv.reader([line], delimiter=self._option("separator", "|")), [])
+        optional = json.loads(self._option("optional", "[]"))
+        lacking = [f.name for f in wanted if f.name not in header and f.name not in optional]
+        if lacking:
+            raise ValueError(f"{part.archive} {part.member or ''}: no column {lacking} in {header}")
+        if not stream.peek(1):
+            return
         reader = pa_csv.open_csv(
             pa.PythonFile(stream, mode="r"),
-            read_options=pa_csv.ReadOptions(skip_rows=int(self._option("skipLines", "0")), block_size=4 << 20),
+            read_options=pa_csv.ReadOptions(column_names=header, block_size=4 << 20),
             parse_options=pa_csv.ParseOptions(delimiter=self._option("separator", "|"), invalid_row_handler=on_odd_row),
             convert_options=pa_csv.ConvertOptions(
                 column_types={f.name: f.type for f in wanted},
@@ -129,17 +143,19 @@ class ArchiveReader(_Reading, DataSourceReader):
 
 
 class ArchiveStreamReader(_Reading, DataSourceStreamReader):
-    """Archives in order of modification time, so a corrected archive of the same name is read again."""
+    """Archives that are new or changed since the offset, which names each archive with its size and time.
+
+    So a corrected archive of the same name is read again, and one that arrives late with an old time stamp is read at all.
+    """
 
     def initialOffset(self) -> dict:
-        return {"modified_ns": 0}
+        return {}
 
     def latestOffset(self) -> dict:
-        return {"modified_ns": max((os.stat(p).st_mtime_ns for p in self._archives()), default=0)}
+        return {p: [s.st_size, s.st_mtime_ns] for p, s in ((p, os.stat(p)) for p in self._archives())}
 
     def partitions(self, start: dict, end: dict) -> Sequence[Member]:
-        fresh = [p for p in self._archives() if start["modified_ns"] < os.stat(p).st_mtime_ns <= end["modified_ns"]]
-        return [m for path in fresh for m in self._members_of(path)]
+        return [m for path in sorted(p for p in end if end[p] != start.get(p)) for m in self._members_of(path)]
 
     def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
         return self._read(partition)
@@ -185,10 +201,13 @@ def scan_history(spark: SparkSession, root: str, spec: DatasetSpec, years: Seque
     return reader.load()
 
 
-def scan_text(spark: SparkSession, paths: Sequence[str], schema: T.StructType, skip_lines: int = 0) -> DataFrame:
-    """Unzipped delimited files of the same layout."""
+def scan_text(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType, skip_lines: int = 0, optional: Sequence[str] = ()
+) -> DataFrame:
+    """Unzipped delimited files of the same layout; ``optional`` columns may be absent from a file."""
     register(spark)
     reader = spark.read.format("archive").schema(schema).option("skipLines", skip_lines)
+    reader = reader.option("optional", json.dumps(list(optional)))
     return reader.option("archives", json.dumps(list(paths))).load()
 
 

@@ -7,14 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Blanks stay, quotes are doubled inside quotes, an empty text is a pair of quotes and a null is nothing. The reader needs
+# another mark for null, since it would take an empty text for one.
+_EXACT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "quote": '"', "escape": '"'}
+_READ, _WRITE = {"nullValue": "\u0000", "emptyValue": "", "multiLine": True}, {"nullValue": "", "emptyValue": '""'}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header. Without a schema the types are inferred, which reads the data twice."""
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(**_EXACT, **_READ)
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV that reads back as it was: blanks at the ends, empty texts, quotes and line breaks are kept."""
+    df.write.mode("overwrite").options(**_EXACT, **_WRITE).csv(path)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -7,9 +7,12 @@ must not run at the same time.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +21,14 @@ from pyspark.sql import types as T
 from panelwright.functions.frames import check_unique, require_columns
 from panelwright.functions.scalars import quoted
 from panelwright.operators.asof import RightSide, asof_update_many
+from panelwright.operators.skew import ROWS_PER_RANGE
 from panelwright.operators.keyed import dedupe_latest, update, upsert
 from panelwright.session import Staging
 from panelwright.specs import DATABASES, TableSpec
 
 YEAR = "year"
+#: File beside the years that names added columns; readers of the data skip names that start so.
+_ADDED = "_added_columns.json"
 
 
 @dataclass(frozen=True)
@@ -52,7 +58,7 @@ class PanelStore:
 
     def read(self, spec: TableSpec, years: int | Iterable[int] | None = None) -> DataFrame:
         """The table, or some years of it; an empty typed frame where nothing is stored."""
-        frame = self._stored(spec, years)
+        frame = self._stored(self.stored_spec(spec), years)
         return frame.drop(YEAR)
 
     def years(self, spec: TableSpec) -> list[int]:
@@ -88,15 +94,17 @@ class PanelStore:
     def apply(self, spec: TableSpec, changes: Sequence[Change], on_repeat: str = "latest") -> None:
         """Apply changes in order and rewrite the touched years once.
 
-        Repeated keys in a change: ``latest`` keeps the greatest row, ``error`` fails.
+        Repeated keys in a change: ``latest`` keeps the greatest row, ``error`` fails. A null in a key column or the date
+        fails before anything is written. Columns that an as-of update added earlier stay.
         """
         with Staging(self.spark) as staging:
             frames = staging.put_all([_known(spec, c.rows) for c in changes])
             staged = [replace(c, rows=f, keys=c.keys or spec.keys) for c, f in zip(changes, frames)]
+            spec = self.stored_spec(spec)
             existing = self.years(spec)
             touched: set[int] = set()
             for change in staged:
-                years = _years_of(change.rows)
+                years = _years_of(change.rows, change.keys)
                 touched.update(years if change.insert else [y for y in years if y in existing])
                 if on_repeat == "error" and not change.unique:
                     check_unique(change.rows, change.keys)
@@ -130,14 +138,15 @@ class PanelStore:
         fields = [
             f for r in rights for f in r.frame.schema.fields if f.name not in {*by, left_on, r.time, *r.drop}
         ]
-        wider = spec.widened(fields)
+        wider = self.stored_spec(spec).widened(fields)
         with Staging(self.spark) as staging:
             frames = staging.put_all([r.frame for r in rights])
             rights = [replace(r, frame=f) for r, f in zip(rights, frames)]
 
             def updated(stored: DataFrame) -> DataFrame:
-                # keys bound the rows per asset to one per session, so no key can be hot
-                return asof_update_many(stored, rights, left_on, by, strategy, rows_per_range=None)
+                # where ``by`` and the time are the whole key, it bounds the rows per asset to one per session
+                whole = set(spec.keys) <= {*by, left_on}
+                return asof_update_many(stored, rights, left_on, by, strategy, None if whole else ROWS_PER_RANGE)
 
             if only_changed and years:
                 concerned = list(dict.fromkeys(f.name for f in fields))
@@ -149,6 +158,7 @@ class PanelStore:
                 # one row per year at most
                 years = sorted(r[0] for r in changed.select(F.year(left_on)).distinct().collect())
             if years:
+                self._keep_columns(wider, spec)
                 self.replace_years(wider, updated(self._stored(wider, years).select(*map(quoted, wider.columns))))
         return wider
 
@@ -169,9 +179,32 @@ class PanelStore:
             .parquet(self.path(spec))
         )
 
+    def stored_spec(self, spec: TableSpec) -> TableSpec:
+        """The declared table with the columns that as-of updates have added to the stored one."""
+        fs, path = self._file(spec, _ADDED)
+        if not fs.exists(path):
+            return spec
+        stream = fs.open(path)
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return spec.widened(T.StructType.fromJson(json.loads(text)).fields)
+
+    def _keep_columns(self, wider: TableSpec, declared: TableSpec) -> None:
+        """Note the columns beyond the declared ones beside the years."""
+        added = [f for f in wider.schema.fields if f.name not in declared.columns]
+        if added:
+            fs, path = self._file(declared, _ADDED)
+            stream = fs.create(path, True)
+            stream.write(bytearray(T.StructType(added).json().encode()))
+            stream.close()
+
+    def _file(self, spec: TableSpec, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(spec), name)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def between(self, spec: TableSpec, start: date, end: date) -> DataFrame:
         """Rows of a date range; the years are pruned as well, a date predicate alone would not do that."""
-        frame = self._stored(spec, None).where(F.col(YEAR).between(start.year, end.year))
+        frame = self._stored(self.stored_spec(spec), None).where(F.col(YEAR).between(start.year, end.year))
         return frame.where(F.col("date").between(F.lit(start), F.lit(end))).drop(YEAR)
 
     def _has_root(self, spec: TableSpec) -> bool:
@@ -195,6 +228,11 @@ def _known(spec: TableSpec, rows: DataFrame) -> DataFrame:
     return rows.select([quoted(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields if f.name in rows.columns])
 
 
-def _years_of(rows: DataFrame) -> list[int]:
-    """Distinct years, at most one row each."""
-    return sorted(r[0] for r in rows.select(F.year("date")).distinct().collect() if r[0] is not None)
+def _years_of(rows: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Distinct years, at most one row each; fails if a key or the date is null."""
+    names = list(dict.fromkeys([*keys, "date"]))
+    null = reduce(or_, [quoted(k).isNull() for k in names])
+    found = rows.groupBy(F.year("date").alias("y")).agg(F.bool_or(null).alias("null")).collect()
+    if any(r["null"] for r in found):
+        raise ValueError(f"null key in {names}")
+    return sorted(r["y"] for r in found)
