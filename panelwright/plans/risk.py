@@ -18,7 +18,6 @@ from panelwright.operators.matrix import (
     asset_covariance_blocks,
     exposure_vectors,
     factor_matrix,
-
     long_cells,
     relabel,
     with_variance,
@@ -111,5 +110,3 @@ def daily_matrix(
     with Staging(spark) as staging:
         write_parquet(matrix_cells(staging, archive_root, session, block_size), target, "date")
     return session
-
-

@@ -216,5 +216,3 @@ class VendorJobs:
         # rows before the first start date match nothing, so only the far end needs a bound
         years = [y for y in self.store.years(ASSETS) if y <= last_year]
         self.store.update_asof(ASSETS, rights, "barrid", years=years)
-
-

@@ -8,8 +8,10 @@ from collections import Counter
 import duckdb
 import pytest
 
-from panelwright.plans.catalog import QUERIES
-from panelwright.plans.oracle import ORACLE
+from panelwright.plans import job_oracle, oracle
+from panelwright.plans.job_catalog import QUERIES
+
+ORACLE = {**oracle.ORACLE, **job_oracle.ORACLE}
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
