@@ -48,10 +48,6 @@ def at_latest(df: DataFrame, column: str) -> DataFrame:
     return df.where(quoted(column) == df.agg(F.max(quoted(column))).scalar())
 
 
-def in_year(df: DataFrame, column: str, year: int) -> DataFrame:
-    return df.where(F.year(quoted(column)) == year)
-
-
 def add_missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Append the columns of ``schema`` the frame lacks, as typed nulls."""
     have = set(df.columns)
@@ -76,13 +72,5 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"repeated key {list(keys)}")
 
 
-def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a side counted to hold at most ``max_rows``; else Spark decides.
-
-    The count reads no more than ``max_rows + 1`` rows.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def distinct_sorted(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct().orderBy(*columns)

@@ -74,6 +74,14 @@ WITH {_SIDES}
 SELECT l.event_id, l.user_id, r.match_id, r.match_value
 FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.ts >= r.ts
 """
+ORACLE["asof_backward_hot"] = f"""
+WITH {_SIDES}, one AS (SELECT ts, max(match_id) AS match_id FROM r GROUP BY 1)
+SELECT l.event_id, one.match_id FROM l ASOF LEFT JOIN one ON l.ts >= one.ts
+"""
+ORACLE["forward_fill_hot"] = """
+SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS)
+       OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase FROM events
+"""
 ORACLE["asof_forward"] = f"""
 WITH {_SIDES}
 SELECT l.event_id, l.user_id, r.match_id, r.match_value

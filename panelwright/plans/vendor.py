@@ -193,7 +193,7 @@ class VendorJobs:
         one pass over the table.
         """
         pending: list[RightSide] = []
-        reach: int | None = None
+        reach: tuple[int, int] | None = None
         sessions = self.sessions()
         with Staging(self.spark) as staging:
             wanted = maps or INTERVAL_MAPS
@@ -201,18 +201,18 @@ class VendorJobs:
                 cleaning(archive.scan_latest(self.spark, self.archive_root, data, sessions)) for data, cleaning in wanted
             ]
             for rows in staging.put_all(cleaned):
-                last = rows.agg(F.least(F.max("end_date"), F.lit(self.today))).first()[0]
-                if last is None:
+                first, last = rows.agg(F.min("start_date"), F.least(F.max("end_date"), F.lit(self.today))).first()
+                if first is None or last is None:
                     continue
-                if pending and last.year != reach:
-                    self._map(pending, reach)
+                if pending and (first.year, last.year) != reach:
+                    self._map(pending, *reach)
                     pending = []
-                reach = last.year
+                reach = (first.year, last.year)
                 pending.append(RightSide(rows, "start_date", ("start_date", "end_date"), ("end_date",)))
             if pending:
-                self._map(pending, reach)
+                self._map(pending, *reach)
 
-    def _map(self, rights: list[RightSide], last_year: int) -> None:
-        # rows before the first start date match nothing, so only the far end needs a bound
-        years = [y for y in self.store.years(ASSETS) if y <= last_year]
+    def _map(self, rights: list[RightSide], first_year: int, last_year: int) -> None:
+        # rows before the first start date match nothing, so their years are not read
+        years = [y for y in self.store.years(ASSETS) if first_year <= y <= last_year]
         self.store.update_asof(ASSETS, rights, "barrid", years=years)

@@ -17,12 +17,14 @@ import glob
 import io
 import json
 import os
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import date
 
 import pyarrow as pa
 from pyarrow import csv as pa_csv
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -165,7 +167,9 @@ class ArchiveStreamReader(_Reading, DataSourceStreamReader):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the source known. It is pickled by value: the process that plans a stream sees no shipped files."""
     ship_package(spark)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(ArchiveSource)
 
 

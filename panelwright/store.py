@@ -130,8 +130,9 @@ class PanelStore:
     ) -> TableSpec:
         """As-of updates of the stored rows of ``years`` (default all), in one pass and one rewrite.
 
-        Right-only columns widen the table; the widened spec is returned. ``only_changed`` rewrites only
-        years in which some value changes: a first pass over the columns concerned finds them.
+        Right-only columns widen the table; the widened spec is returned. The join runs once, over keys and the columns
+        concerned; its rows are staged and put into their years by key. ``only_changed`` keeps only rows in which some value
+        changes, so that other years are not rewritten.
         """
         by = [by] if isinstance(by, str) else list(by)
         years = sorted(set(self.years(spec)) & set(self.years(spec) if years is None else years))
@@ -143,23 +144,22 @@ class PanelStore:
             frames = staging.put_all([r.frame for r in rights])
             rights = [replace(r, frame=f) for r, f in zip(rights, frames)]
 
-            def updated(stored: DataFrame) -> DataFrame:
-                # where ``by`` and the time are the whole key, it bounds the rows per asset to one per session
-                whole = set(spec.keys) <= {*by, left_on}
-                return asof_update_many(stored, rights, left_on, by, strategy, None if whole else ROWS_PER_RANGE)
-
-            if only_changed and years:
-                concerned = list(dict.fromkeys(f.name for f in fields))
-                now = F.struct(*map(quoted, concerned))
-                narrow = self._stored(wider, years).select(
-                    *map(quoted, [*by, left_on]), *map(quoted, concerned), now.alias("__before")
-                )
-                changed = updated(narrow).where(~F.col("__before").eqNullSafe(now))
-                # one row per year at most
-                years = sorted(r[0] for r in changed.select(F.year(left_on)).distinct().collect())
-            if years:
+            # where ``by`` and the time are the whole key, it bounds the rows per asset to one per session
+            whole = set(spec.keys) <= {*by, left_on}
+            concerned = list(dict.fromkeys(f.name for f in fields))
+            now = F.struct(*map(quoted, concerned))
+            narrow = list(dict.fromkeys([*spec.keys, *by, left_on]))
+            stored = self._stored(wider, years).select(*map(quoted, narrow), *map(quoted, concerned), now.alias("__before"))
+            updated = asof_update_many(stored, rights, left_on, by, strategy, None if whole else ROWS_PER_RANGE)
+            if only_changed:
+                updated = updated.where(~F.col("__before").eqNullSafe(now))
+            changed = staging.put(updated.select(*map(quoted, dict.fromkeys([*spec.keys, *concerned]))))
+            # one row per year at most
+            touched = sorted(r[0] for r in changed.select(F.year("date")).distinct().collect()) if years else []
+            if touched:
                 self._keep_columns(wider, spec)
-                self.replace_years(wider, updated(self._stored(wider, years).select(*map(quoted, wider.columns))))
+                merged = update(self._stored(wider, touched).drop(YEAR), changed, spec.keys)
+                self.replace_years(wider, merged)
         return wider
 
     def replace_years(self, spec: TableSpec, rows: DataFrame) -> None:
