@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,8 +81,3 @@ def python_tasks(spark: SparkSession, batch_bytes: int = 16 << 20) -> None:
     ship_package(spark)
     if int(spark.conf.get(_BATCH_BYTES).rstrip("bB")) > 1 << 30:
         spark.conf.set(_BATCH_BYTES, str(batch_bytes))
-
-
-def fresh(prefix: str) -> str:
-    """A column name that no input has."""
-    return f"__{prefix}_{uuid.uuid4().hex[:8]}"

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwright.llm.common import join_bounded, pick, python_tasks, staged
+from panelwright.llm.common import join_bounded, pick, python_tasks, staged, words_of
 from panelwright.llm.components import components
 
 #: Segments beyond the least number, as a share: more of them tell apart better, and make more rows.
@@ -386,8 +386,8 @@ def _compared(like: Likeness):
 def one_of_each(df: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The frame with one row of each component, the one with its least id; all columns stay.
 
-    Rows with an empty set are kept. Of rows that repeat the kept id (or of rows without any id and with equal sets) one
-    is kept.
+    Rows with an empty set are kept. Of rows that repeat the kept id, or of rows without any id and of one text (case aside),
+    one is kept.
     """
     found = staged(set_components(df, like, doc_id, text), "components")
     stay = found.where("n_shingles = 0 or doc_id = component_id or component_id is null")
@@ -404,8 +404,6 @@ def one_of_each(df: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_i
 
 def _without_repeats(kept: DataFrame, repeated: DataFrame, text: str, like: Likeness) -> DataFrame:
     """Of rows of one id, or without id and of one text, a single one; rows without words all stay."""
-    from panelwright.llm.common import words_of
-
     ids = repeated.select(F.coalesce("doc_id", F.lit(-1)).alias("__k"), F.col("doc_id").isNull().alias("__n"))
     keyed = kept.withColumn("__k", F.coalesce("__id", F.lit(-1))).withColumn("__n", F.col("__id").isNull())
     alone = join_bounded(keyed, ids, ["__k", "__n"], "left_anti")

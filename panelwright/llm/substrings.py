@@ -52,7 +52,7 @@ def gear_hash(data: bytes) -> np.ndarray:
 
 
 def chunk_ends(words: list[bytes], cut: Cut) -> np.ndarray:
-    """Number of words before each chunk's end. The texts's words alone count, joined by one blank."""
+    """Number of words before each chunk's end. The text's words alone count, joined by one blank."""
     if not words:
         return np.empty(0, np.int64)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
