@@ -23,7 +23,6 @@ from panelwright.plans import vendor as V
 from panelwright.plans.catalog import QUERIES, _day, _price_source, _store, _sum, _t, query
 from panelwright.session import ship_package, shared_path
 from panelwright.sources import archive, objects
-from panelwright.store import PanelStore
 
 TODAY = date(1999, 6, 15)
 FAR = "20991231"
