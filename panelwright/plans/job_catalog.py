@@ -290,11 +290,11 @@ def metadata_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One day's rows with all text columns that the table declares."""
+    """The newest session's rows with all text columns that the table declares."""
     vendor = Vendor(spark, sf_dir)
-    vendor.with_assets()
+    (session,) = vendor.jobs(vendor.with_assets()).sessions(1)
     texts = [name for name, kind in api.assets_columns() if kind == "string"]
-    return api.load_assets_by_date(vendor.store, date(1996, 7, 1), ["date", *texts, "price"])
+    return api.load_assets_by_date(vendor.store, session, ["date", *texts, "price"])
 
 
 # --- composites -------------------------------------------------------------------------------------

@@ -72,7 +72,7 @@ ORACLE["load_by_date"] = f"""
 WITH {_SOLD} SELECT date, CAST(NULL AS VARCHAR) AS rootid, barrid, CAST(NULL AS VARCHAR) AS issuerid, CAST(NULL AS VARCHAR) AS instrument,
        CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS cusip, CAST(NULL AS VARCHAR) AS ticker, price_source, 'USD' AS currency,
        CAST(NULL AS VARCHAR) AS iso_country_code, CAST(NULL AS VARCHAR) AS iso_currency_code, price
-FROM ({_ASSETS}) WHERE date = DATE '1996-07-01'
+FROM ({_ASSETS}) WHERE date = (SELECT date FROM newest)
 """
 _ALL = f"""
 SELECT date, barrid, max(o_totalprice) AS price, max(l_tax) AS specific_return, max(l_discount) + 1 AS specific_risk,
