@@ -72,6 +72,14 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _log_share(x: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The entry at ``place`` of each row's log-softmax; overwrites ``x``."""
+    x -= x.max(axis=1, keepdims=True)
+    found = x[np.arange(len(x)), place]
+    np.exp(x, out=x)
+    return found - np.log(x.sum(axis=1))
+
+
 def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(cls, kind="stable")
     ends = np.cumsum(np.bincount(cls, minlength=CLASSES))
@@ -92,10 +100,9 @@ def log_probabilities(net: Net, around: np.ndarray, target: np.ndarray) -> np.nd
     """``log p(target | neighbours)``; ``around`` has one row per relative position."""
     h = _hidden(net, around)
     cls, place = np.divmod(target, PER_CLASS)
-    at = np.arange(len(target))
-    result = _log_softmax(h @ net.a + net.c)[at, cls]
+    result = _log_share(h @ net.a + net.c, cls)
     for k, rows in _by_class(cls):
-        result[rows] += _log_softmax(h[rows] @ net.u[k] + net.v[k])[np.arange(len(rows)), place[rows]]
+        result[rows] += _log_share(h[rows] @ net.u[k] + net.v[k], place[rows])
     return result
 
 
