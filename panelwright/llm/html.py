@@ -420,8 +420,7 @@ def train(pages: DataFrame | None = None, html: str = "html", layouts: int = LAY
     doms = [parse(made.page()) for _ in range(layouts)]
     labels = [_labels(d) for d in doms]
     if pages is not None:
-        rows = pick(pages, html).where(F.length(html) < 1 << 18).orderBy(F.xxhash64(html)).limit(sample).collect()
-        for dom in (parse(r[0]) for r in rows):
+        for dom in map(parse, _chosen(pages, html, sample)):
             meant = _meant(dom)
             if meant is not None:
                 doms.append(dom)
@@ -430,6 +429,16 @@ def train(pages: DataFrame | None = None, html: str = "html", layouts: int = LAY
     return fit_trees(x, np.concatenate(labels))
 
 
+def _chosen(pages: DataFrame, html: str, sample: int) -> list[str]:
+    """Different pages with the least hashes; the hashes are chosen first, so that no task sends pages that are not used."""
+    hashed = pick(pages, html).where(F.length(html) < 1 << 18).withColumn("__h", F.xxhash64(html))
+    least = [r[0] for r in hashed.select("__h").distinct().orderBy("__h").limit(sample).collect()]
+    if not least:
+        return []
+    rows = hashed.where(F.col("__h") <= least[-1]).dropDuplicates(["__h"]).collect()
+    return [r[html] for r in sorted(rows, key=lambda r: r["__h"])]
+
+
 def extract(df: DataFrame, html: str = "html", output: str = "text", trees: Trees | None = None) -> DataFrame:
     """The frame with the main text of each page: decoded, white space in a block as one blank, blocks joined by a blank.
 
