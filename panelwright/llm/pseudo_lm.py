@@ -27,8 +27,8 @@ SIDE, WIDTH, CLASSES, PER_CLASS = 2, 16, 32, 32
 NAMED = 24 * PER_CLASS
 IDS = CLASSES * PER_CLASS
 _EDGE = IDS  # stands before and after a document
-#: Rounds of training; in each, every document gives every ``STRIDE``-th of its positions.
-ROUNDS, STRIDE = 2, 8
+#: Rounds of training; each takes another residue of every document's positions, so that together they take all of them once.
+ROUNDS = 2
 _BATCH, _SCORE_BATCH = 1024, 1 << 15
 _PIECES, _SALTS = 16, 32
 _REMEMBERED = 300_000
@@ -67,9 +67,12 @@ class Net:
         return net
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Overwrites ``x``."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
 
 
 def _log_share(x: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -80,13 +83,19 @@ def _log_share(x: np.ndarray, place: np.ndarray) -> np.ndarray:
     return found - np.log(x.sum(axis=1))
 
 
-def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(cls, kind="stable")
-    ends = np.cumsum(np.bincount(cls, minlength=CLASSES))
-    for k in range(CLASSES):
-        rows = order[(ends[k - 1] if k else 0) : ends[k]]
-        if len(rows):
-            yield k, rows
+def _by_class(cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Rows in order of their class, and each class with where its rows begin and end in that order."""
+    ends = np.cumsum(np.bincount(cls, minlength=CLASSES)).tolist()
+    return np.argsort(cls, kind="stable"), [(k, a, b) for k, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
+def _place_scores(net: Net, h: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """Scores of the places in each row's class, for rows in order of their class."""
+    scores = np.empty((len(h), PER_CLASS), h.dtype)
+    for k, a, b in spans:
+        np.matmul(h[a:b], net.u[k], out=scores[a:b])
+        scores[a:b] += net.v[k]
+    return scores
 
 
 def _hidden(net: Net, around: np.ndarray) -> np.ndarray:
@@ -101,8 +110,8 @@ def log_probabilities(net: Net, around: np.ndarray, target: np.ndarray) -> np.nd
     h = _hidden(net, around)
     cls, place = np.divmod(target, PER_CLASS)
     result = _log_share(h @ net.a + net.c, cls)
-    for k, rows in _by_class(cls):
-        result[rows] += _log_share(h[rows] @ net.u[k] + net.v[k], place[rows])
+    order, spans = _by_class(cls)
+    result[order] += _log_share(_place_scores(net, h[order], spans), place[order])
     return result
 
 
@@ -112,17 +121,21 @@ def gradient(net: Net, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     grad = Net(np.zeros_like(net.flat))
     h = _hidden(net, around)
     cls, place = np.divmod(target, PER_CLASS)
-    up = np.exp(_log_softmax(h @ net.a + net.c))
+    up = _softmax(h @ net.a + net.c)
     up[np.arange(n), cls] -= 1
     up /= n
     grad.a[:], grad.c[:] = h.T @ up, up.sum(axis=0)
     back = up @ net.a.T
-    for k, rows in _by_class(cls):
-        own = np.exp(_log_softmax(h[rows] @ net.u[k] + net.v[k]))
-        own[np.arange(len(rows)), place[rows]] -= 1
-        own /= n
-        grad.u[k], grad.v[k] = h[rows].T @ own, own.sum(axis=0)
-        back[rows] += own @ net.u[k].T
+    order, spans = _by_class(cls)
+    sorted_h, sorted_back = h[order], np.empty_like(h)
+    own = _softmax(_place_scores(net, sorted_h, spans))
+    own[np.arange(n), place[order]] -= 1
+    own /= n
+    for k, a, b in spans:
+        np.matmul(sorted_h[a:b].T, own[a:b], out=grad.u[k])
+        own[a:b].sum(axis=0, out=grad.v[k])
+        np.matmul(own[a:b], net.u[k].T, out=sorted_back[a:b])
+    back[order] += sorted_back
     back *= 1 - h * h
     grad.b[:] = back.sum(axis=0)
     for k in range(2 * SIDE):
@@ -138,15 +151,22 @@ class Learner:
 
     def __init__(self, net: Net, rate: float):
         self.net, self.rate, self.steps = net, rate, 0
-        self.slope, self.square = np.zeros_like(net.flat), np.zeros_like(net.flat)
+        self.slope, self.square, self.room = np.zeros_like(net.flat), np.zeros_like(net.flat), np.empty_like(net.flat)
 
     def step(self, around: np.ndarray, target: np.ndarray) -> None:
         g = gradient(self.net, around, target)
         self.steps += 1
-        self.slope += 0.1 * (g - self.slope)
-        self.square += 0.001 * (g * g - self.square)
-        size = self.rate * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
-        self.net.flat -= (size * self.slope / (np.sqrt(self.square) + 1e-8)).astype(np.float32)
+        self.slope *= 0.9
+        self.slope += np.multiply(g, 0.1, out=self.room)
+        self.square *= 0.999
+        np.multiply(g, g, out=g)
+        self.square += np.multiply(g, 0.001, out=g)
+        size = self.rate * float(np.sqrt(1 - 0.999**self.steps)) / (1 - 0.9**self.steps)  # a NumPy number would widen the vectors
+        np.sqrt(self.square, out=g)
+        g += 1e-8
+        np.divide(self.slope, g, out=g)
+        g *= size
+        self.net.flat -= g
 
 
 class _Ids(dict):
@@ -178,6 +198,12 @@ def encode(texts: list[bytes | None], ids: _Ids) -> tuple[np.ndarray, np.ndarray
     return stream, positions, counts
 
 
+def _of_round(positions: np.ndarray, counts: np.ndarray, round_: int, rounds: int) -> np.ndarray:
+    """The positions whose place in their own document leaves ``round_`` by ``rounds``."""
+    place = np.arange(len(positions)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return positions[place % rounds == round_]
+
+
 def _around(stream: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return np.stack([stream[positions + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))])
 
@@ -195,7 +221,7 @@ def vocabulary(df: DataFrame, text: str = "text") -> tuple[list[bytes], np.ndarr
     return [r.word.encode() for r in rows], counts
 
 
-def _learn(sent, round_: int, rate: float):
+def _learn(sent, round_: int, rate: float, rounds: int = ROUNDS):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -216,8 +242,8 @@ def _learn(sent, round_: int, rate: float):
 
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
-                stream, positions, _ = encode(batch.column("text").slice(a, 512).to_pylist(), ids)
-                chosen = positions[round_::STRIDE]
+                stream, positions, counts = encode(batch.column("text").slice(a, 512).to_pylist(), ids)
+                chosen = _of_round(positions, counts, round_, rounds)
                 if len(chosen):
                     kept.append((_around(stream, chosen), stream[chosen].astype(np.int64)))
                 if sum(len(k[1]) for k in kept) >= 64 * _BATCH:
@@ -245,7 +271,7 @@ def _summed(table: pa.Table) -> pa.Table:
 
 
 def train(df: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float = 0.01) -> tuple[np.ndarray, list[bytes]]:
-    """Weights and vocabulary learnt from all documents; the start weights if there are no words."""
+    """Weights and vocabulary learnt from all positions of all documents; the start weights if there are no words."""
     spark = df.sparkSession
     python_tasks(spark)
     named, counts = vocabulary(df, text)
@@ -253,7 +279,7 @@ def train(df: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float =
     texts = pick(df, text).select(F.col(text).cast("binary").alias("text"))
     for round_ in range(rounds):
         sent = spark.sparkContext.broadcast((flat, named))
-        learnt = texts.mapInArrow(_learn(sent, round_, rate / (1 + round_)), _SUMS)
+        learnt = texts.mapInArrow(_learn(sent, round_, rate / (1 + round_), rounds), _SUMS)
         partial = learnt.withColumn("salt", F.col("task") % _SALTS).groupBy("piece", "salt").applyInArrow(lambda t: _summed(t.drop_columns("salt")), _SUMS)
         sums = sorted(partial.groupBy("piece").applyInArrow(_summed, _SUMS).collect())  # the network once, whatever the input
         if sums:

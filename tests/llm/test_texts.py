@@ -2,9 +2,11 @@
 
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -162,6 +164,23 @@ def test_lm_prefers_the_order_it_has_seen(spark, odd):
     assert rows[3].log_prob == rows[4].log_prob < 0 and rows[5].n_words == 30_001
 
 
+def test_lm_learns_from_every_position_of_every_document(monkeypatch):
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (*range(12), 1, 1, 1, 700)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([t.encode() for t in texts])})
+    sent = SimpleNamespace(value=(pseudo_lm.Net.start().flat, [b"w0", b"w1"]))
+    learnt = [next(iter(pseudo_lm._learn(sent, k, 0.01)(iter([batch])))).column("n")[0].as_py() for k in range(pseudo_lm.ROUNDS)]
+    assert sum(learnt) == sum(len(t.split()) for t in texts)
+
+
+def test_lm_rounds_take_each_position_once():
+    counts = np.array([1, 0, 1, 7, 2])
+    positions = np.arange(11) + 100
+    parts = [pseudo_lm._of_round(positions, counts, k, 3) for k in range(3)]
+    assert sorted(np.concatenate(parts)) == positions.tolist()
+    assert parts[0].tolist() == [100, 101, 102, 105, 108, 109]
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
