@@ -3,7 +3,7 @@
 Every token is predicted from the tokens around it, two on either side, and a document's score is the sum of the conditional
 log-probabilities. The network is small: position-wise embeddings of the neighbours are added and squashed, and the token is
 predicted in two steps, its class and its place in the class. The vocabulary is counted over all documents; it names the most
-frequent words, and all others share hashed ids.
+frequent words, and all others share hashed ids. A word's probability is that of its id times its share of the id's occurrences.
 
 Training is data-parallel: in each round every task starts from the same weights, learns from its share of all documents, and
 the weights are averaged by the tokens behind them, in two levels of groups of bounded size.
@@ -16,16 +16,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import ascii_lower, pick, put, python_tasks, staged, words_of
+from panelwright.llm.common import ascii_lower, join_bounded, pick, put, python_tasks, staged, words_of
 
 #: Neighbours on each side, numbers per embedding, classes and ids in a class.
 SIDE, WIDTH, CLASSES, PER_CLASS = 2, 16, 32, 32
 #: Words with an id of their own; the other ids are shared by hash.
 NAMED = 24 * PER_CLASS
 IDS = CLASSES * PER_CLASS
+SHARED = IDS - NAMED
 _EDGE = IDS  # stands before and after a document
 #: Rounds of training; each takes another residue of every document's positions, so that together they take all of them once.
 ROUNDS = 2
@@ -177,12 +178,12 @@ class _Ids(dict):
         super().__init__(self.named)
 
     def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
+        from xxhash import xxh64_intdigest
 
         if len(self) >= _REMEMBERED:
             self.clear()
             self.update(self.named)
-        value = self[word] = NAMED + xxh3_64_intdigest(word) % (IDS - NAMED)
+        value = self[word] = NAMED + xxh64_intdigest(word, 42) % SHARED  # as _shared_id
         return value
 
 
@@ -208,17 +209,42 @@ def _around(stream: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return np.stack([stream[positions + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))])
 
 
-def vocabulary(df: DataFrame, text: str = "text") -> tuple[list[bytes], np.ndarray]:
-    """The most frequent words over all documents, A-Z lowered, by count and then by word, ``NAMED`` at most; and how often each
-    id occurs, the shared ones taken alike."""
-    words = pick(df, text).select(F.explode(words_of(ascii_lower(F.col(text)))).alias("word"))
+@dataclass
+class Vocabulary:
+    """``named``: the words with an id of their own. ``counts``: how often each id occurs. ``shares``: for each other word,
+    ``word, share``, the logarithm of its part of its id's occurrences; a distributed table, since it grows with the corpus."""
+
+    named: list[bytes]
+    counts: np.ndarray
+    shares: DataFrame
+
+
+def _shared_id(word: Column) -> Column:
+    """Place of a word's id among the shared ones."""
+    return F.pmod(F.xxhash64(word), F.lit(SHARED)).cast("int")
+
+
+def _lower_words(text: str) -> Column:
+    return words_of(ascii_lower(F.col(text).cast("string")))
+
+
+def vocabulary(df: DataFrame, text: str = "text") -> Vocabulary:
+    """Counted over all documents, A-Z lowered. The most frequent words, by count and then by word, are named, ``NAMED`` at most."""
+    words = pick(df, text).select(F.explode(_lower_words(text)).alias("word"))
     counted = staged(words.groupBy("word").agg(F.count("*").alias("n")), "words")
     rows = counted.orderBy(F.desc("n"), "word").limit(NAMED).collect()
-    rest = (counted.agg(F.sum("n")).first()[0] or 0) - sum(r.n for r in rows)
-    counts = np.full(IDS, rest / (IDS - NAMED))
-    counts[:NAMED] = 0
+    counts = np.zeros(IDS)
     counts[: len(rows)] = [r.n for r in rows]
-    return [r.word.encode() for r in rows], counts
+    others = counted.where(~F.col("word").isin([r.word for r in rows])).withColumn("id", _shared_id(F.col("word")))
+    for r in others.groupBy("id").agg(F.sum("n").alias("n")).collect():  # one row per shared id at most
+        counts[NAMED + r.id] = r.n
+    shares = others.select("word", (F.log("n") - _log_total(counts, F.col("id"))).alias("share"))
+    return Vocabulary([r.word.encode() for r in rows], counts, shares)
+
+
+def _log_total(counts: np.ndarray, shared: Column) -> Column:
+    """Logarithm of the occurrences of a shared id, of 1 if it has none."""
+    return F.get(F.array(*[F.lit(float(x)) for x in np.log(np.maximum(counts[NAMED:], 1))]), shared)
 
 
 def _learn(sent, round_: int, rate: float, rounds: int = ROUNDS):
@@ -270,31 +296,54 @@ def _summed(table: pa.Table) -> pa.Table:
     return pa.table({"piece": table.column("piece").slice(0, 1), "task": table.column("task").slice(0, 1), "n": pa.array([n], pa.int64()), "w": pa.array([w.tolist()], pa.list_(pa.float64()))})
 
 
-def train(df: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float = 0.01) -> tuple[np.ndarray, list[bytes]]:
+def train(df: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float = 0.01) -> tuple[np.ndarray, Vocabulary]:
     """Weights and vocabulary learnt from all positions of all documents; the start weights if there are no words."""
     spark = df.sparkSession
     python_tasks(spark)
-    named, counts = vocabulary(df, text)
-    flat = Net.start(counts).flat
+    words = vocabulary(df, text)
+    flat = Net.start(words.counts).flat
     texts = pick(df, text).select(F.col(text).cast("binary").alias("text"))
     for round_ in range(rounds):
-        sent = spark.sparkContext.broadcast((flat, named))
+        sent = spark.sparkContext.broadcast((flat, words.named))
         learnt = texts.mapInArrow(_learn(sent, round_, rate / (1 + round_), rounds), _SUMS)
         partial = learnt.withColumn("salt", F.col("task") % _SALTS).groupBy("piece", "salt").applyInArrow(lambda t: _summed(t.drop_columns("salt")), _SUMS)
         sums = sorted(partial.groupBy("piece").applyInArrow(_summed, _SUMS).collect())  # the network once, whatever the input
         if sums:
             flat = np.concatenate([np.array(r["w"]) / r["n"] for r in sums]).astype(np.float32)
-    return flat, named
+    return flat, words
+
+
+def _share_sums(df: DataFrame, words: Vocabulary, text: str) -> DataFrame:
+    """``__key, __share``: for each distinct text with words that are not named, the sum of their log-shares in their ids.
+
+    Every such word is one row of a join by word. The frequent words are named, so no word can be hot: each has fewer
+    occurrences than any of the ``NAMED``. Rows of equal texts are added up by key first and divided by their number.
+    """
+    texts = pick(df, text).select(_key(text).alias("__key"), F.col(text))
+    met = texts.select("__key", F.explode(_lower_words(text)).alias("word")).where(~F.col("word").isin([w.decode() for w in words.named]))
+    # a word that was never counted is taken as one more of its id
+    unseen = -_log_total(words.counts, _shared_id(F.col("word")))
+    joined = met.join(words.shares.hint("shuffle_hash"), "word", "left")
+    each = joined.select("__key", F.coalesce("share", unseen).alias("share"), F.lit(0).alias("copy"))
+    sums = each.unionByName(texts.select("__key", F.lit(0.0).alias("share"), F.lit(1).alias("copy"))).groupBy("__key").agg(F.sum("share").alias("s"), F.sum("copy").alias("n"))
+    return staged(sums.where("s <> 0").select("__key", (F.col("s") / F.col("n")).alias("__share")), "shares")
+
+
+def _key(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string"))
 
 
-def score(df: DataFrame, model: tuple[np.ndarray, list[bytes]], text: str = "text") -> DataFrame:
+def score(df: DataFrame, model: tuple[np.ndarray, Vocabulary], text: str = "text") -> DataFrame:
     """The frame with ``n_words``, ``log_prob`` (summed over all words) and ``mean_log_prob``.
 
-    A null or empty text has no words, a sum of 0 and a null mean. Words without an id of their own count with the probability
-    of their shared id. Repeated rows get equal scores. Columns named like an output are replaced. One pass, no shuffle.
+    A null or empty text has no words, a sum of 0 and a null mean. A word without an id of its own counts with the probability
+    of its shared id times its share of the id's occurrences in the training texts, a word they lack as one occurrence. Repeated
+    rows get equal scores. Columns named like an output are replaced. The network takes one pass; the words without an id of
+    their own are joined with their shares, and one number per text is joined back.
     """
     python_tasks(df.sparkSession)
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    flat, words = model
+    sent = df.sparkSession.sparkContext.broadcast((flat, words.named))
 
     @F.arrow_udf("struct<n:long,p:double>")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -315,8 +364,10 @@ def score(df: DataFrame, model: tuple[np.ndarray, list[bytes]], text: str = "tex
             arrays = [pa.array(np.concatenate(x) if x else [], k) for x, k in ((sizes, pa.int64()), (sums, pa.float64()))]
             yield pa.StructArray.from_arrays(arrays, ["n", "p"])
 
-    made = put(df, "__scored", scored(F.col(text).cast("binary")))
+    made = put(df, "__scored", scored(F.col(text).cast("binary"))).withColumn("__key", _key(text))
+    made = join_bounded(made, _share_sums(df, words, text), ["__key"]).drop("__key")
+    total = F.col("__scored.p") + F.coalesce("__share", F.lit(0.0))
     made = put(made, "n_words", F.col("__scored.n"))
-    made = put(made, "log_prob", F.round("__scored.p", 4))
-    mean = F.when(F.col("n_words") > 0, F.round(F.col("__scored.p") / F.col("n_words"), 6))
-    return put(made, "mean_log_prob", mean).drop("__scored")
+    made = put(made, "log_prob", F.round(total, 4))
+    mean = F.when(F.col("n_words") > 0, F.round(total / F.col("n_words"), 6))
+    return put(made, "mean_log_prob", mean).drop("__scored", "__share")

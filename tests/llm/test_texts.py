@@ -181,6 +181,27 @@ def test_lm_rounds_take_each_position_once():
     assert parts[0].tolist() == [100, 101, 102, 105, 108, 109]
 
 
+def test_lm_words_of_a_shared_id_share_its_probability(spark):
+    times = {f"word{k}": 1 + (k % 3) for k in range(3000)}
+    corpus = [w for w, n in times.items() for _ in range(n)]
+    model = pseudo_lm.train(spark.createDataFrame([(w,) for w in corpus], "text string"))
+    rows = pseudo_lm.score(spark.createDataFrame([(w,) for w in [*times, "word3", "word5", "Never seen"]], "text string"), model).collect()
+    found = {r.text: r.log_prob for r in rows}
+    # all words have the same neighbours, none, so their probabilities are one distribution
+    assert abs(sum(np.exp(found[w]) for w in times) - 1) < 1e-2
+    assert len({r.log_prob for r in rows if r.text == "word3"}) == 1
+    two = spark.createDataFrame([("word0 word3",), ("word0 word3",)], "text string")
+    a, b = pseudo_lm.score(two, model).collect()
+    assert a == b and a.n_words == 2
+
+
+def test_lm_ids_of_workers_and_of_the_shares_agree(spark):
+    words = ["a", "Straße", "日本", "x" * 70, "\u0001"]
+    rows = spark.createDataFrame([(w,) for w in words], "word string").select("word", pseudo_lm._shared_id(pseudo_lm.F.col("word")).alias("id")).collect()
+    ids = pseudo_lm._Ids([])
+    assert all(ids[r.word.encode()] == pseudo_lm.NAMED + r.id for r in rows)
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
