@@ -1,8 +1,9 @@
 """Repeated passages across documents, by content-defined chunks.
 
 A gear hash rolls over the bytes of a text; a chunk ends after a word where the hash has a given pattern. Chunk ends
-depend on a few bytes before them only, so an insertion moves no chunk but its own. Chunks are deduplicated by digest: the
-document with the least id keeps a chunk, and runs of chunks that others repeat are removed if they are long enough.
+depend on a few bytes before them only, so an insertion moves no chunk but its own. Groups of successive chunks that hold some
+words are deduplicated by digest: the document with the least id keeps a group, and runs of overlapping groups that others
+repeat are removed if they are long enough. So chunks count only next to the neighbours they have in another document.
 """
 
 from __future__ import annotations
@@ -28,12 +29,14 @@ class Cut:
     """``every``: words of a chunk on average. ``longest``: words after which a chunk ends anyway.
 
     ``min_words``: least run of repeated chunks that counts as a passage. A repeated passage loses the chunks that its ends
-    cut through, about ``2 * every + 3`` words, so passages of 50 words are found by runs of 20.
+    cut through, about ``2 * every + 3`` words, so most passages of 50 words are found by runs of 20.
+    ``together``: words of successive chunks that must stand in one other document as they are.
     """
 
     every: int = 5
     longest: int = 64
     min_words: int = 20
+    together: int = 12
 
 
 def gear_hash(data: bytes) -> np.ndarray:
@@ -69,7 +72,22 @@ def chunk_ends(words: list[bytes], cut: Cut) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def _chunks(cut: Cut, places: bool):
+def chunk_groups(ends: np.ndarray, together: int) -> list[tuple[int, int]]:
+    """Words before and after each group: the shortest runs of chunks with ``together`` words from each chunk on and up to each chunk.
+
+    With pairs of neighbours that have as many words each, they cover every chunk and every border within a run of that many words.
+    """
+    starts = np.append(0, ends[:-1]) if len(ends) else ends
+    last = np.searchsorted(ends, starts + together)
+    onward = [(a, int(ends[k])) for a, k in zip(starts.tolist(), last.tolist()) if k < len(ends)]
+    first = np.searchsorted(starts, ends - together, side="right") - 1
+    back = [(int(starts[k]), b) for b, k in zip(ends.tolist(), first.tolist()) if k >= 0]
+    long = ends - starts >= together
+    pairs = [(int(starts[k]), int(ends[k + 1])) for k in np.flatnonzero(long[:-1] & long[1:]).tolist()]
+    return sorted({*onward, *back, *pairs})
+
+
+def _groups(cut: Cut, places: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
@@ -78,16 +96,15 @@ def _chunks(cut: Cut, places: bool):
                 digests, docs, at = [], [], []
                 for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
                     words = (text.as_py() or b"").split()
-                    ends = chunk_ends(words, cut)
-                    starts = np.append(0, ends[:-1]) if len(ends) else ends
-                    digests += [xxh3_64_intdigest(b" ".join(words[a:b])) for a, b in zip(starts.tolist(), ends.tolist())]
-                    docs.append(np.full(len(ends), doc, np.int64))
-                    at.append(np.stack([np.arange(len(ends)), starts, ends - starts]).astype(np.int32))
+                    groups = chunk_groups(chunk_ends(words, cut), min(cut.together, cut.min_words))
+                    digests += [xxh3_64_intdigest(b" ".join(words[a:b])) for a, b in groups]
+                    docs.append(np.full(len(groups), doc, np.int64))
+                    at.append(np.array(groups, np.int32).reshape(-1, 2).T)
                 columns = [np.array(digests, np.uint64).view(np.int64), np.concatenate(docs)]
                 names = ["digest", "doc"]
                 if places:
                     columns += list(np.concatenate(at, axis=1))
-                    names += ["chunk", "word", "n"]
+                    names += ["word", "after"]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return run
@@ -97,7 +114,7 @@ def repeated_passages(df: DataFrame, cut: Cut = Cut(), doc_id: str = "doc_id", t
     """``doc_id, first_word, n_words, source_id``: passages that a document with a lesser id has as well.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, counted from 0; white space between them does not matter. ``source_id`` is the least
-    id that has one of the passage's chunks. Passages within one document do not count. Null and empty texts have none. Rows
+    id that has a group of the passage's chunks. Passages within one document do not count. Null and empty texts have none. Rows
     whose id is null or repeated are left alone and give nothing, since no other row could be told to keep what they share.
 
     Whole texts are cut twice. Digests are aggregated to their least and greatest document before they are shuffled; the
@@ -108,15 +125,18 @@ def repeated_passages(df: DataFrame, cut: Cut = Cut(), doc_id: str = "doc_id", t
     texts = texts.where("doc_id is not null")
     several = texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     texts = join_bounded(texts, staged(several, "repeated-ids"), ["doc_id"], "left_anti")
-    seen = texts.mapInArrow(_chunks(cut, False), "digest long, doc long")
+    seen = texts.mapInArrow(_groups(cut, False), "digest long, doc long")
     firsts = seen.groupBy("digest").agg(F.min("doc").alias("source"), F.max("doc").alias("last")).where("source < last")
     firsts = staged(firsts.select("digest", "source"), "chunks")
-    placed = texts.mapInArrow(_chunks(cut, True), "digest long, doc long, chunk int, word int, n int")
-    again = placed.join(firsts, "digest").where("doc > source").select("doc", "chunk", "word", "n", "source")
-    in_order = Window.partitionBy("doc").orderBy("chunk")
-    runs = again.withColumn("run", F.col("chunk") - F.row_number().over(in_order))
+    placed = texts.mapInArrow(_groups(cut, True), "digest long, doc long, word int, after int")
+    again = placed.join(firsts, "digest").where("doc > source").select("doc", "word", "after", "source")
+    in_order = Window.partitionBy("doc").orderBy("word", "after")
+    so_far = F.max("after").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    # groups that only touch have no group over their border, so nothing says that they belong together
+    begins = again.withColumn("new", F.when(F.col("word") < so_far, 0).otherwise(1))
+    runs = begins.withColumn("run", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
     found = runs.groupBy("doc", "run").agg(
-        F.min("word").alias("first_word"), F.sum("n").cast("int").alias("n_words"), F.min("source").alias("source_id")
+        F.min("word").alias("first_word"), (F.max("after") - F.min("word")).alias("n_words"), F.min("source").alias("source_id")
     )
     return found.where(F.col("n_words") >= cut.min_words).select(F.col("doc").alias("doc_id"), "first_word", "n_words", "source_id")
 

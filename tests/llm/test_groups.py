@@ -292,6 +292,37 @@ def test_insertions_move_only_near_chunks(words, at, new):
         assert max(map(len, after)) >= cut.longest or Counter(far) <= Counter(after)
 
 
+def test_chunks_from_unrelated_places_make_no_passage(spark):
+    rng = np.random.default_rng(7)
+    cut = substrings.Cut()
+    words = [f"{rng.integers(10**9):x}" for _ in range(400)]
+    ends = substrings.chunk_ends([w.encode() for w in words], cut)
+    chunks = [words[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+    cutting = [c for c in chunks if len(c) > 1 and len(c[-1]) >= 8 and len(c[-2]) >= 7]  # the look-back ends inside of them
+    short = [c for c in cutting if len(c) < cut.together // 2]
+    apart = [" ".join(cutting[0] + c) for c in short]
+    rows = [*enumerate(apart), (1000, " ".join(w for c in cutting[:1] + short for w in c))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(short) > 10 and substrings.repeated_passages(frame).where("doc_id = 1000").collect() == []
+
+
+def test_one_word_repeated_in_one_document_is_no_passage(spark):
+    words = [f"w{k}" for k in range(200)]
+    cutting = next(w for w in words if len(substrings.chunk_ends([w.encode()] * 40, substrings.Cut())) > 30)
+    frame = spark.createDataFrame([(1, f"{cutting} " * 8), (2, f"{cutting} " * 60)], "doc_id long, text string")
+    assert substrings.repeated_passages(frame).collect() == []
+
+
+@given(st.lists(st.integers(1, 30), max_size=40))
+def test_groups_cover_every_chunk_of_long_runs(sizes):
+    ends = np.cumsum(sizes, dtype=np.int64)
+    groups = substrings.chunk_groups(ends, 12)
+    assert all(b - a >= 12 for a, b in groups)
+    if sum(sizes) >= 12:
+        assert {w for a, b in groups for w in range(a, b)} == set(range(sum(sizes)))
+        assert all(any(a < e < b for a, b in groups) for e in ends[:-1].tolist())
+
+
 def test_gear_hash_is_the_rolling_one():
     data = bytes(np.random.default_rng(2).integers(0, 256, 200, dtype=np.uint8))
     want, h = [], 0
