@@ -81,3 +81,25 @@ def python_tasks(spark: SparkSession, batch_bytes: int = 16 << 20) -> None:
     ship_package(spark)
     if int(spark.conf.get(_BATCH_BYTES).rstrip("bB")) > 1 << 30:
         spark.conf.set(_BATCH_BYTES, str(batch_bytes))
+
+
+class Replaced:
+    """A table that is written anew in every step of a loop: each version cuts lineage in the shared folder, and the one before
+    it is removed once its successor is complete, so two versions exist at most."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.path = spark, name, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = shared_path(self.spark, f"llm-{self.name}")
+        df.write.parquet(path)
+        if self.path:
+            remove(self.spark, self.path)
+        self.path = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontaminate, html, jaccard, mixing, pseudo_lm, quality, substrings, tokens, toxicity, warc
+from panelwright.llm import (
+    ball_kmeans,
+    decontaminate,
+    hard_negatives,
+    html,
+    jaccard,
+    mixing,
+    pseudo_lm,
+    quality,
+    substrings,
+    suffixes,
+    tokens,
+    toxicity,
+    warc,
+)
 from panelwright.llm.common import pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +40,8 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # only this query needs it
+
     docs = _documents(spark, sf_dir, "doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
     sized = docs.withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
@@ -151,3 +166,100 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.repeated_passages(_documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", "first_word", "n_words", "source_id")
+
+
+@query
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    sized = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    cut = suffixes.without_repeats(sized, length=50)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+#: Bytes as hexadecimal digits, all 50-byte strings of all documents, the bytes they cover, and what is left.
+ORACLE["op11_suffix_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS k FROM (SELECT r, doc_id, h, unnest(range(len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+f AS (SELECT k, min(doc_id) AS first FROM s GROUP BY k),
+g AS (SELECT r, i, max(i + 50) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until
+      FROM s JOIN f USING (k) WHERE doc_id > first),
+runs AS (SELECT r, i, sum(CASE WHEN until IS NULL OR i > until THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM g),
+spans AS (SELECT r, run, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY r, run),
+pieces AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM spans
+           UNION ALL SELECT r, max(b), NULL FROM spans GROUP BY r),
+kept AS (SELECT r, string_agg(CASE WHEN b IS NULL THEN substr(h, 2 * a + 1) ELSE substr(h, 2 * a + 1, 2 * (b - a)) END, '' ORDER BY a) AS h
+         FROM pieces p JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, len(d.h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""
+
+#: Rows of {embeddings} whose vector is whole, its components scaled and rounded down.
+_WHOLE_SQL = """SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pick(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine(rows.withColumn("label", moved))
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+ORACLE["op12_hard_negatives"] = f"""
+WITH w AS ({_WHOLE_SQL.format(scale=256)} AND label IS NOT NULL),
+e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v FROM w),
+a AS (SELECT * FROM e WHERE vec_id % 50 = 0),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, list_inner_product(a.v, e.v)::BIGINT AS score
+      FROM a JOIN e ON a.vec_id <> e.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pick(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "label", "embedding")
+    coded, codebooks = ball_kmeans.compress(rows)
+    summed = ball_kmeans.label_errors(coded)
+    code, digest = F.lower(F.hex("code")).alias("code"), F.lit(ball_kmeans.codebooks_digest(codebooks)).alias("codebooks_sha256")
+    return summed.select("vec_id", code, "error", "label_error", digest)
+
+
+def _codes_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Each round assigns every part to the nearest entry and averages the parts of each entry."""
+    steps = [
+        f"w AS ({_WHOLE_SQL.format(scale=1024)})",
+        "v AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label, v FROM w)",
+        f"x AS MATERIALIZED (SELECT r, p, list_slice(v, p * len(v) // {parts} + 1, (p + 1) * len(v) // {parts}) AS x FROM v, range({parts}) t(p))",
+        f"c0 AS (SELECT p, r AS e, x AS c FROM x WHERE r < {entries})",
+    ]
+    for k in range(rounds + 1):
+        square = "list_inner_product(x, x) + list_inner_product(c, c) - 2 * list_inner_product(x, c)"
+        steps.append(f"a{k} AS MATERIALIZED (SELECT r, p, min(({square})::BIGINT * {entries} + e) AS best FROM x JOIN c{k} USING (p) GROUP BY r, p)")
+        if k < rounds:
+            steps.append(
+                f"m{k} AS (SELECT p, e, list(floor(s / n) ORDER BY j) AS c FROM (SELECT p, best % {entries} AS e, j, sum(x[j]) AS s, count(*) AS n"
+                f" FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS j FROM x JOIN a{k} USING (r, p)) GROUP BY ALL) GROUP BY p, e)"
+            )
+            steps.append(f"c{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (p, e))")
+    return f"""WITH {", ".join(steps)},
+    o AS (SELECT r, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code, sum(best // {entries})::BIGINT AS error FROM a{rounds} GROUP BY r),
+    b AS (SELECT sha256(string_agg(c[j]::BIGINT::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256
+          FROM (SELECT p, e, c, unnest(range(1, len(c) + 1)) AS j FROM c{rounds}))
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM v JOIN o USING (r), b"""
+
+
+ORACLE["op13_vector_codes"] = _codes_sql()
