@@ -1,17 +1,20 @@
 """The archive scans, vendor jobs and composites over the test tables, one query each.
 
-The vendor files are made from whole tables: tasks write one zip archive per session or year below the shared folder, and the
-jobs read them as they would a vendor's. Customers are assets and order days are sessions.
+The vendor files are made from whole tables: tasks write one archive tree below the shared folder, as streams of sorted lines, and
+the jobs read it as they would a vendor's. Customers are assets and order days are sessions.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 import zipfile
+from collections.abc import Iterator
 from datetime import date
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,47 +87,101 @@ def full_covariances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def local_root(spark: SparkSession) -> str:
     """A fresh archive root below the shared folder, as a path of the mount."""
-    return shared_path(spark, "archives").removeprefix("file://").removeprefix("file:")
-
-
-def put_archives(rows: DataFrame, data: sp.DatasetSpec, root: str, archive_of: Column, member_of: Column) -> None:
-    """Write the rows as members of zip archives, in the tasks: one group per archive, which holds a session or a year."""
-    ship_package(rows.sparkSession)
-    names, skip, marker = data.raw.fieldNames(), data.skip_lines, sp.END_OF_FILE
-
-    def write(group: pd.DataFrame) -> pd.DataFrame:
-        path = os.path.join(root, group["archive"].iloc[0])
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        part = f"{path}.{os.getpid()}.part"
-        with zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED) as out:
-            for member, lines in group.groupby("member")["line"]:
-                out.writestr(member, "\n".join(["preamble"] * skip + ["|".join(names), *lines, marker, ""]))
-        os.replace(part, path)  # whole or not at all, also when a task runs twice
-        return pd.DataFrame({"archive": [path]})
-
-    line = F.concat_ws("|", *[F.coalesce(S.quoted(c).cast("string"), F.lit("")) for c in names])
-    placed = rows.select(archive_of.alias("archive"), member_of.alias("member"), line.alias("line"))
-    placed.groupBy("archive").applyInPandas(write, "archive string").write.format("noop").mode("overwrite").save()
-
-
-def put_daily(rows: DataFrame, data: sp.DatasetSpec, root: str, day: Column | None = None) -> None:
+    path = shared_path(spark, "archives")
+    scheme, _, rest = path.rpartition(":")
+    if scheme not in ("", "file"):
+        raise RuntimeError(f"archives need a folder that every executor has mounted, not {path}")
+    return "/" + rest.lstrip("/") if scheme else path
+
+
+class _Writer:
+    """One zip archive after the other, written member by member and line by line."""
+
+    def __init__(self, root: str, heads: list[str]):
+        self.root, self.heads = root, heads
+        self.archive = self.member = self.zip = self.stream = None
+
+    def put(self, archive: str, member: str, kind: int, lines: list[str]) -> None:
+        if archive != self.archive:
+            self.close()
+            self.archive, self.path = archive, os.path.join(self.root, archive)
+            os.makedirs(os.path.dirname(self.path), exist_ok=True)
+            self.part = f"{self.path}.{uuid.uuid4().hex}.part"
+            self.zip = zipfile.ZipFile(self.part, "w", zipfile.ZIP_DEFLATED)
+        if member != self.member:
+            self.end_member()
+            self.member, self.stream = member, self.zip.open(member, "w")
+            self.stream.write(self.heads[kind].encode())
+        self.stream.write(("\n".join(lines) + "\n").encode())
+
+    def end_member(self) -> None:
+        if self.stream:
+            self.stream.write(f"{sp.END_OF_FILE}\n".encode())
+            self.stream.close()
+        self.member = self.stream = None
+
+    def close(self) -> None:
+        if self.zip:
+            self.end_member()
+            self.zip.close()
+            os.replace(self.part, self.path)  # whole or not at all, also when a task runs twice
+        self.archive = self.zip = None
+
+
+#: Rows of one dataset, and the archive and member of each.
+Part = tuple[DataFrame, sp.DatasetSpec, Column, Column]
+
+
+def put_archives(parts: list[Part], root: str) -> None:
+    """Write the rows as members of zip archives. Datasets may share archives, so all of them are dealt by archive and sorted by
+    member at once; a task streams its archives one line after the other."""
+    spark = parts[0][0].sparkSession
+    ship_package(spark)
+    heads = ["preamble\n" * data.skip_lines + "|".join(data.raw.fieldNames()) + "\n" for _, data, _, _ in parts]
+
+    def placed(kind: int, part: Part) -> DataFrame:
+        rows, data, archive_of, member_of = part
+        line = F.concat_ws("|", *[F.coalesce(S.quoted(c).cast("string"), F.lit("")) for c in data.raw.fieldNames()])
+        return rows.select(archive_of.alias("archive"), member_of.alias("member"), F.lit(kind).alias("kind"), line.alias("line"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer, written = _Writer(root, heads), 0
+        for batch in batches:
+            archives, members = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("archive", "member"))
+            new = np.flatnonzero((archives[1:] != archives[:-1]) | (members[1:] != members[:-1])) + 1 if batch.num_rows else []
+            for a, b in zip([0, *new], [*new, batch.num_rows]):
+                if a < b:
+                    writer.put(archives[a], members[a], batch.column("kind")[int(a)].as_py(), batch.column("line").slice(a, b - a).to_pylist())
+            written += batch.num_rows
+        writer.close()
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["n"])
+
+    lines = reduce(DataFrame.unionByName, [placed(k, p) for k, p in enumerate(parts)])
+    dealt = lines.repartition("archive").sortWithinPartitions("archive", "member", "line")
+    dealt.mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+
+
+def daily_part(rows: DataFrame, data: sp.DatasetSpec, day: Column | None = None) -> Part:
+    """An archive per session."""
     day = F.col("DataDate") if day is None else day
     name = F.concat(F.lit(f"{data.daily_folder}/{data.daily_zip}_"), F.substring(day, 3, 6), F.lit(".zip"))
-    put_archives(rows, data, root, name, F.concat(F.lit(f"{data.member}."), day))
+    return rows, data, name, F.concat(F.lit(f"{data.member}."), day)
 
 
-def put_history(rows: DataFrame, data: sp.DatasetSpec, root: str) -> None:
+def history_part(rows: DataFrame, data: sp.DatasetSpec) -> Part:
+    """An archive per year, or one per half year where a year may have several."""
     year = F.substring("DataDate", 1, 4)
     half = F.when(F.substring("DataDate", 5, 2) <= "06", "01").otherwise("02") if data.history_many else F.lit("")
     name = F.concat(F.lit(f"{data.history_folder}/{data.history_zip}_"), year, half, F.lit(".zip"))
-    put_archives(rows, data, root, name, F.concat(F.lit(f"{data.member}."), F.col("DataDate")))
+    return rows, data, name, F.concat(F.lit(f"{data.member}."), F.col("DataDate"))
 
 
-class Vendor:
-    """A vendor's archives, a store and the jobs between them.
+def put_daily(rows: DataFrame, data: sp.DatasetSpec, root: str, day: Column | None = None) -> None:
+    put_archives([daily_part(rows, data, day)], root)
 
-    Each dataset gets a root of its own where datasets share an archive name, so no archive is written twice.
-    """
+
+class Vendor:
+    """A vendor's archive tree, a store and the jobs between them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self.store = spark, sf_dir, _store(spark)
@@ -134,24 +191,29 @@ class Vendor:
     def jobs(self, root: str) -> V.VendorJobs:
         return V.VendorJobs(self.store, root, self.calendar, TODAY)
 
-    def daily(self, data: sp.DatasetSpec) -> str:
-        root = local_root(self.spark)
-        put_daily(raw_rows(self.spark, self.sf_dir, data), data, root)
-        return root
+    def _rows(self, data: sp.DatasetSpec) -> DataFrame:
+        return raw_rows(self.spark, self.sf_dir, data)
 
-    def history(self, data: sp.DatasetSpec) -> str:
+    def tree(self, daily=(), history=(), latest=()) -> str:
+        """One tree with the datasets in their daily and history archives; ``latest`` ones come whole with the newest session."""
         root = local_root(self.spark)
-        put_history(raw_rows(self.spark, self.sf_dir, data), data, root)
+        parts = [daily_part(self._rows(d), d) for d in daily] + [history_part(self._rows(d), d) for d in history]
+        if latest:
+            (session,) = self.jobs(root).sessions(1)
+            parts += [daily_part(self._rows(d), d, F.lit(f"{session:%Y%m%d}")) for d in latest]
+        put_archives(parts, root)
         return root
 
-    def latest(self, data: sp.DatasetSpec, root: str) -> str:
-        """Interval files come whole, in the newest session's archive."""
-        (session,) = self.jobs(root).sessions(1)
-        put_daily(raw_rows(self.spark, self.sf_dir, data), data, root, F.lit(f"{session:%Y%m%d}"))
-        return root
+    def daily(self, data: sp.DatasetSpec) -> str:
+        return self.tree(daily=[data])
+
+    def history(self, data: sp.DatasetSpec) -> str:
+        return self.tree(history=[data])
 
-    def with_assets(self) -> str:
-        self.jobs(root := self.history(sp.RETURNS_DATA)).history(self.first, self.last, V.RETURNS_FEED)
+    def with_assets(self, *latest: sp.DatasetSpec) -> str:
+        """The tree, with the returns of all years in the store."""
+        root = self.tree(history=[sp.RETURNS_DATA], latest=latest)
+        self.jobs(root).history(self.first, self.last, V.RETURNS_FEED)
         return root
 
 
@@ -266,9 +328,7 @@ def factor_returns_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _map_job(spark: SparkSession, sf_dir: str, *maps) -> DataFrame:
     vendor = Vendor(spark, sf_dir)
-    root = vendor.with_assets()
-    for data in {m[0].name: m[0] for m in maps}.values():
-        vendor.latest(data, root)
+    root = vendor.with_assets(*{m[0].name: m[0] for m in maps}.values())
     vendor.jobs(root).map_intervals(*maps)
     return vendor.store.read(sp.ASSETS)
 
@@ -300,30 +360,37 @@ def load_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- composites -------------------------------------------------------------------------------------
 
 
-def _composite(spark: SparkSession, sf_dir: str, daily: bool) -> DataFrame:
-    """The composites read one archive tree; here each dataset has its own, so its steps run one by one in their order."""
-    vendor = Vendor(spark, sf_dir)
-    for feed in (*V.ASSET_FEEDS, V.EXPOSURE_FEED, V.COVARIANCE_FEED):
-        jobs = vendor.jobs((vendor.daily if daily else vendor.history)(feed.data))
-        if daily:
-            jobs.daily(feed)
-        else:
-            jobs.history(vendor.first, vendor.last, feed)
-    mapped = vendor.latest(sp.IDS_DATA, local_root(spark))
-    vendor.jobs(mapped).map_intervals(V.TICKERS, V.CUSIPS)
-    assets = vendor.store.read(sp.ASSETS).select("date", "barrid", "price", "specific_return", "specific_risk", "daily_volume", "ticker", "cusip")
-    exposed = vendor.store.read(sp.EXPOSURES).select("date", "barrid", S.quoted(sp.FACTORS[0]).alias("f0"))
-    return assets.join(exposed, ["date", "barrid"], "left")
+def _model_rows(store, *more: Column) -> DataFrame:
+    """Rows of the assets table with exposures, covariances and factor returns of the first factor beside them."""
+    assets = store.read(sp.ASSETS).select("date", "barrid", "price", "specific_return", "specific_risk", "daily_volume", "ticker", "cusip", *more)
+    first = S.quoted(sp.FACTORS[0])
+    exposed = store.read(sp.EXPOSURES).select("date", "barrid", first.alias("f0"))
+    varied = store.read(sp.COVARIANCES).where(F.col("factor_1") == sp.FACTORS[0]).select("date", first.alias("c0"))
+    returned = store.read(sp.FACTOR_RETURNS).select("date", F.round(first, 6).alias("r0"))
+    return assets.join(exposed, ["date", "barrid"], "left").join(varied, "date", "left").join(returned, "date", "left")
+
+
+_NAMES = ("name", "issuerid", "rootid", "iso_country_code")
+_MODEL_DATA = (*(f.data for f in V.ASSET_FEEDS), sp.EXPOSURE_DATA, sp.COVARIANCE_DATA)
 
 
 @query
 def risk_model_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _composite(spark, sf_dir, daily=True)
+    """The daily composite over one archive tree; all four tables, identifiers and metadata."""
+    vendor = Vendor(spark, sf_dir)
+    root = vendor.tree(daily=(*_MODEL_DATA, sp.FACTOR_RETURN_DATA), latest=(sp.IDS_DATA, sp.IDENTITY_DATA))
+    composite.risk_model_daily(vendor.jobs(root))
+    return _model_rows(vendor.store, *_NAMES)
 
 
 @query
 def risk_model_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _composite(spark, sf_dir, daily=False)
+    """The backfill composite over one archive tree, started again after its last step: what was done is not done again."""
+    vendor = Vendor(spark, sf_dir)
+    jobs = vendor.jobs(vendor.tree(history=_MODEL_DATA, latest=(sp.IDS_DATA, sp.IDENTITY_DATA)))
+    composite.risk_model_backfill(jobs, vendor.first, vendor.last, run="whole-history")
+    composite.risk_model_backfill(jobs, vendor.first, vendor.last, run="whole-history")
+    return _model_rows(vendor.store, *_NAMES).drop("r0")
 
 
 @query

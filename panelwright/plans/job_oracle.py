@@ -75,13 +75,21 @@ WITH {_SOLD} SELECT date, CAST(NULL AS VARCHAR) AS rootid, barrid, CAST(NULL AS
 FROM ({_ASSETS}) WHERE date = (SELECT date FROM newest)
 """
 _ALL = f"""
+, who AS (SELECT barrid, 'name ' || max(o_custkey) AS name, max(o_orderpriority) AS issuerid, max(o_orderstatus) AS rootid FROM sold GROUP BY 1),
+c AS (SELECT date, max(l_discount) AS c0 FROM sold WHERE line = 0 AND l_suppkey % 7 = 0 GROUP BY 1),
+r AS (SELECT date, round(max(l_tax) * 100, 6) AS r0 FROM sold WHERE line = 0 AND date = (SELECT date FROM newest) GROUP BY 1),
+model AS (
 SELECT date, barrid, max(o_totalprice) AS price, max(l_tax) AS specific_return, max(l_discount) + 1 AS specific_risk,
        round(sum(l_quantity), 2) AS daily_volume, CASE WHEN {_YEARS} THEN 'T' || max(o_custkey) END AS ticker,
-       CASE WHEN {_YEARS} THEN max(o_orderstatus) END AS cusip, max(CASE WHEN line = 0 THEN l_quantity END) AS f0
-FROM sold GROUP BY 1, 2
+       CASE WHEN {_YEARS} THEN max(o_orderstatus) END AS cusip, CASE WHEN {_YEARS} THEN max(name) END AS name,
+       CASE WHEN {_YEARS} THEN max(issuerid) END AS issuerid, CASE WHEN {_YEARS} THEN max(rootid) END AS rootid,
+       CASE WHEN {_YEARS} THEN 'USA' END AS iso_country_code, max(CASE WHEN line = 0 THEN l_quantity END) AS f0
+FROM sold JOIN who USING (barrid) GROUP BY 1, 2)
 """
-ORACLE["risk_model_daily"] = f"WITH {_SOLD} SELECT * FROM ({_ALL}) WHERE date IN (SELECT date FROM recent)"
-ORACLE["risk_model_backfill"] = f"WITH {_SOLD} {_ALL}"
+ORACLE["risk_model_daily"] = f"""
+WITH {_SOLD} {_ALL} SELECT model.*, c0, r0 FROM model LEFT JOIN c USING (date) LEFT JOIN r USING (date) WHERE date IN (SELECT date FROM recent)
+"""
+ORACLE["risk_model_backfill"] = f"WITH {_SOLD} {_ALL} SELECT model.*, c0 FROM model LEFT JOIN c USING (date)"
 ORACLE["price_backfill"] = """
 WITH p AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, l_partkey FROM lineitem)
 SELECT 'crsp_events' AS "table", CAST(year(date) AS INTEGER) AS year, count(*)::BIGINT AS n FROM p WHERE date BETWEEN DATE '1996-07-01' AND DATE '1999-03-31' GROUP BY 2

@@ -1,13 +1,16 @@
 """The ``archive`` data source: delimited members of zip archives, read in parallel.
 
-One partition per member; its bytes are decompressed and parsed as a stream of Arrow batches inside the task,
-with the types the reader was given. A path that is no zip archive is read as one plain delimited file.
+Members are packed into partitions by their compressed bytes, in the order of the archives and of their directories: a
+task opens an archive once and reads its run of members, each decompressed and parsed as a stream of Arrow batches with
+the types the reader was given. The directories themselves are read in tasks by ``listing``, so that the driver
+opens no archive. A path that is no zip archive is read as one plain delimited file.
 
 Options: ``root`` folder; ``members`` JSON list of [archive, member] pairs below it, or ``archives`` JSON list of
-globs with ``memberPrefix``; ``skipLines`` before the header; ``separator``; ``trailer``, a marker line to drop.
+globs with ``memberPrefix``, or ``packs``, members that were listed and packed before; ``slots``, the tasks to pack members
+for that the reader lists itself; ``skipLines`` before the header; ``separator``; ``trailer``, a marker line to drop.
 Schema columns are looked up by name in each member's header. One that it lacks fails the read, unless the JSON list
-``optional`` names it; then it is null. The columns
-``_archive`` and ``_member`` give a row's origin when the schema names them.
+``optional`` names it; then it is null. The columns ``_archive``, ``_member`` and ``_line`` (rows before it in the member)
+give a row's origin when the schema names them.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ import json
 import os
 import sys
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from datetime import date
+from itertools import groupby
 
 import pyarrow as pa
 from pyarrow import csv as pa_csv
@@ -33,14 +37,51 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from panelwright.session import ship_package
 from panelwright.specs import END_OF_FILE, DatasetSpec
 
-ORIGIN = ("_archive", "_member")
+ORIGIN = ("_archive", "_member", "_line")
+#: Most compressed bytes of a partition, unless one member is larger; what opening a member counts for.
+PACK_BYTES, OPEN_BYTES = 16 << 20, 16 << 10
+#: Rows of small members that are handed on together.
+_TOGETHER = 1 << 15
 
+#: An archive, a member (none: a plain file), and its compressed bytes.
+Sized = tuple[str, str | None, int]
 
-class Member(InputPartition):
-    def __init__(self, archive: str, member: str | None):
-        super().__init__((archive, member))
-        self.archive = archive
-        self.member = member
+
+class Pack(InputPartition):
+    """Members that one task reads, one after the other."""
+
+    def __init__(self, members: list[tuple[str, str | None]]):
+        super().__init__(members)
+        self.members = members
+
+
+def pack(members: Iterable[Sized], slots: int) -> list[list[tuple[str, str | None]]]:
+    """Runs of successive members of about equal bytes: at least one run per slot if there are as many members, none of
+    more than ``PACK_BYTES`` unless it is one member."""
+    members = list(members)
+    total = sum(size + OPEN_BYTES for *_, size in members)
+    most = min(PACK_BYTES, total / max(slots, 1))
+    packs, filled = [], 0.0
+    for archive, member, size in members:
+        if not packs or filled + size + OPEN_BYTES > most:
+            packs.append([])
+            filled = 0.0
+        packs[-1].append((archive, member))
+        filled += size + OPEN_BYTES
+    return packs
+
+
+def directory(path: str, prefix: str = "", only: str | None = None) -> list[Sized]:
+    """Members of an archive with a prefix, or one by name, from the archive's directory alone; in its order.
+
+    A member that is not there is listed all the same, so that reading it fails.
+    """
+    if not zipfile.is_zipfile(path):
+        return [(path, None, os.path.getsize(path))]
+    with zipfile.ZipFile(path) as archive:
+        if only is not None:
+            return [(path, only, archive.getinfo(only).compress_size if only in archive.NameToInfo else 0)]
+        return [(path, i.filename, i.compress_size) for i in archive.infolist() if i.filename.startswith(prefix)]
 
 
 class ArchiveSource(DataSource):
@@ -73,23 +114,30 @@ class _Reading:
         found = {p for pattern in json.loads(self._option("archives", "[]")) for p in glob.glob(self._path(pattern))}
         return sorted(found)
 
-    def _members_of(self, path: str) -> list[Member]:
-        """Members with the wanted prefix, from the archive's directory alone."""
-        if not zipfile.is_zipfile(path):
-            return [Member(path, None)]
-        prefix = self._option("memberPrefix")
-        with zipfile.ZipFile(path) as archive:
-            return [Member(path, name) for name in archive.namelist() if name.startswith(prefix)]
-
-    def _read(self, part: Member) -> Iterator[pa.RecordBatch]:
-        if part.member is None:
-            with open(part.archive, "rb") as stream:
-                yield from self._batches(stream, part)
-            return
-        with zipfile.ZipFile(part.archive) as archive, archive.open(part.member) as stream:
-            yield from self._batches(stream, part)
-
-    def _batches(self, stream, part: Member) -> Iterator[pa.RecordBatch]:
+    def _packs(self, members: Iterable[Sized]) -> list[Pack]:
+        members = list(members)
+        slots = int(self._option("slots", "0")) or len(members)
+        return [Pack(p) for p in pack(members, slots)]
+
+    def _read(self, part: Pack) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for path, run in groupby(part.members, key=lambda m: m[0]):
+            names = [name for _, name in run]
+            if names == [None]:
+                with open(path, "rb") as stream:
+                    yield from self._batches(stream, path, "")
+                continue
+            with zipfile.ZipFile(path) as archive:
+                for name in names:
+                    with archive.open(name) as stream:
+                        for batch in self._batches(stream, path, name):
+                            held.append(batch)
+                            if sum(b.num_rows for b in held) >= _TOGETHER:
+                                yield from _joined(held)
+                                held = []
+        yield from _joined(held)
+
+    def _batches(self, stream, path: str, member: str) -> Iterator[pa.RecordBatch]:
         target = to_arrow_schema(self.schema)
         wanted = [f for f in target if f.name not in ORIGIN]
         marker = self._option("trailer", END_OF_FILE)
@@ -106,7 +154,7 @@ class _Reading:
         optional = json.loads(self._option("optional", "[]"))
         lacking = [f.name for f in wanted if f.name not in header and f.name not in optional]
         if lacking:
-            raise ValueError(f"{part.archive} {part.member or ''}: no column {lacking} in {header}")
+            raise ValueError(f"{path} {member}: no column {lacking} in {header}")
         if not stream.peek(1):
             return
         reader = pa_csv.open_csv(
@@ -121,26 +169,40 @@ class _Reading:
                 strings_can_be_null=True,
             ),
         )
-        origin = dict(zip(ORIGIN, (os.path.basename(part.archive), part.member or "")))
+        line = 0
         for batch in reader:
+            n = batch.num_rows
+            origin = {
+                "_archive": lambda: pa.repeat(pa.scalar(os.path.basename(path)), n),
+                "_member": lambda: pa.repeat(pa.scalar(member), n),
+                "_line": lambda: pa.array(range(line, line + n), pa.int64()),
+            }
             arrays = [
-                pa.repeat(pa.scalar(origin[f.name]), batch.num_rows)
-                if f.name in ORIGIN
-                else batch.column(batch.schema.get_field_index(f.name)).cast(f.type)
+                origin[f.name]() if f.name in ORIGIN else batch.column(batch.schema.get_field_index(f.name)).cast(f.type)
                 for f in target
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
+            line += n
+
+
+def _joined(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Small batches as one."""
+    return pa.Table.from_batches(batches).combine_chunks().to_batches() if batches else []
 
 
 class ArchiveReader(_Reading, DataSourceReader):
-    def partitions(self) -> Sequence[Member]:
+    def partitions(self) -> Sequence[Pack]:
+        packed = json.loads(self._option("packs", "[]"))
+        if packed:
+            return [Pack([(path, name) for path, name in p]) for p in packed]
         named = json.loads(self._option("members", "[]"))
         if named:
             # an archive that is not there is skipped; a member that is not there fails the read
-            return [Member(self._path(a), m) for a, m in named if os.path.exists(self._path(a))]
-        return [m for path in self._archives() for m in self._members_of(path)]
+            found = [(self._path(a), m) for a, m in named if os.path.exists(self._path(a))]
+            return self._packs(x for path, m in found for x in directory(path, only=m))
+        return self._packs(x for path in self._archives() for x in directory(path, self._option("memberPrefix")))
 
-    def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
         return iter(()) if partition is None else self._read(partition)
 
 
@@ -156,10 +218,11 @@ class ArchiveStreamReader(_Reading, DataSourceStreamReader):
     def latestOffset(self) -> dict:
         return {p: [s.st_size, s.st_mtime_ns] for p, s in ((p, os.stat(p)) for p in self._archives())}
 
-    def partitions(self, start: dict, end: dict) -> Sequence[Member]:
-        return [m for path in sorted(p for p in end if end[p] != start.get(p)) for m in self._members_of(path)]
+    def partitions(self, start: dict, end: dict) -> Sequence[Pack]:
+        fresh = sorted(p for p in end if end[p] != start.get(p))
+        return self._packs(x for path in fresh for x in directory(path, self._option("memberPrefix")))
 
-    def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
         return self._read(partition)
 
     def commit(self, end: dict) -> None:
@@ -173,36 +236,78 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(ArchiveSource)
 
 
-def _reader(spark: SparkSession, root: str, spec: DatasetSpec):
+def listing(spark: SparkSession, root: str, wanted: Sequence[tuple[str, str, str | None]]) -> list[list[Sized]]:
+    """For each (glob of archives, prefix of members, member by name or none) the members that are there.
+
+    The globs are looked up and the directories read in tasks. The driver gets one narrow row per member, as it does per
+    file of any table.
+    """
+    register(spark)
+    rows = [(i, *w) for i, w in enumerate(wanted)]
+    slots = max(1, min(len(rows), spark.sparkContext.defaultParallelism))
+    # dealt by position: one glob may stand for many archives
+    asked = spark.createDataFrame(rows, "i int, pattern string, prefix string, only string").repartitionByRange(slots, "i")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                paths = sorted(glob.glob(os.path.join(glob.escape(root), row["pattern"])))
+                members = (m for path in paths for m in directory(path, row["prefix"], row["only"]))
+                found += [(row["i"], k, *m) for k, m in enumerate(members)]
+            columns = list(zip(*found)) if found else [()] * 5
+            kinds = (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["i", "k", "archive", "member", "size"])
+
+    result: list[list[Sized]] = [[] for _ in wanted]
+    for r in sorted(asked.mapInArrow(look, "i int, k int, archive string, member string, size long").collect()):
+        result[r.i].append((r.archive, r.member, r.size))
+    return result
+
+
+def _scan(spark: SparkSession, root: str, spec: DatasetSpec, members: Iterable[Sized], origin: bool = False) -> DataFrame:
+    packs = pack(members, spark.sparkContext.defaultParallelism)
+    schema = with_origin(spec.raw) if origin else spec.raw
+    if not packs:
+        return spark.createDataFrame([], schema)
     register(spark)
-    return spark.read.format("archive").schema(spec.raw).option("root", root).option("skipLines", spec.skip_lines)
+    reader = spark.read.format("archive").schema(schema).option("root", root).option("skipLines", spec.skip_lines)
+    return reader.option("packs", json.dumps(packs)).load()
 
 
-def scan_sessions(spark: SparkSession, root: str, spec: DatasetSpec, sessions: Sequence[date]) -> DataFrame:
+def with_origin(schema: T.StructType) -> T.StructType:
+    """The schema with the columns that tell where a row stands."""
+    origin = [T.StructField(n, T.LongType() if n == "_line" else T.StringType()) for n in ORIGIN]
+    return T.StructType([*schema.fields, *origin])
+
+
+def _of_sessions(spark: SparkSession, root: str, spec: DatasetSpec, sessions: Sequence[date]) -> list[list[Sized]]:
+    return listing(spark, root, [(glob.escape(spec.daily_archive(s)), "", spec.daily_member(s)) for s in sessions])
+
+
+def scan_sessions(spark: SparkSession, root: str, spec: DatasetSpec, sessions: Sequence[date], origin: bool = False) -> DataFrame:
     """One member per session; sessions without an archive are skipped, none at all is an error."""
-    found = [s for s in sessions if os.path.exists(os.path.join(root, spec.daily_archive(s)))]
+    found = [m for members in _of_sessions(spark, root, spec, sessions) for m in members]
     if not found:
         raise FileNotFoundError(f"no archive of {spec.name} for {len(sessions)} sessions below {root}")
-    pairs = [[spec.daily_archive(s), spec.daily_member(s)] for s in found]
-    return _reader(spark, root, spec).option("members", json.dumps(pairs)).load()
+    return _scan(spark, root, spec, found, origin)
 
 
-def scan_latest(spark: SparkSession, root: str, spec: DatasetSpec, sessions: Sequence[date]) -> DataFrame:
+def scan_latest(spark: SparkSession, root: str, spec: DatasetSpec, sessions: Sequence[date], origin: bool = False) -> DataFrame:
     """The newest of the sessions that has an archive; an empty frame if none has."""
-    found = [s for s in sessions if os.path.exists(os.path.join(root, spec.daily_archive(s)))]
-    if not found:
-        return spark.createDataFrame([], spec.raw)
-    return scan_sessions(spark, root, spec, [max(found)])
+    in_order = sorted(sessions)
+    there = [members for members in _of_sessions(spark, root, spec, in_order) if members]
+    return _scan(spark, root, spec, there[-1] if there else [], origin)
 
 
-def scan_history(spark: SparkSession, root: str, spec: DatasetSpec, years: Sequence[int]) -> DataFrame:
+def scan_history(spark: SparkSession, root: str, spec: DatasetSpec, years: Sequence[int], origin: bool = False) -> DataFrame:
     """All members of the dataset in the archives of the years, in one scan; each year must have one."""
-    globs = [spec.history_archives(y) for y in years]
-    for year, pattern in zip(years, globs):
-        if not glob.glob(os.path.join(root, pattern)):
+    found = listing(spark, root, [(spec.history_archives(y), spec.member, None) for y in years])
+    for year, members in zip(years, found):
+        if not members and not glob.glob(os.path.join(glob.escape(root), spec.history_archives(year))):
             raise FileNotFoundError(f"no history archive of {spec.name} for {year} below {root}")
-    reader = _reader(spark, root, spec).option("archives", json.dumps(globs)).option("memberPrefix", spec.member)
-    return reader.load()
+    # a name may hold two of the years
+    return _scan(spark, root, spec, dict.fromkeys(m for members in found for m in members), origin)
 
 
 def scan_text(
@@ -226,5 +331,6 @@ def stream_daily(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame
         .option("archives", json.dumps([pattern]))
         .option("memberPrefix", spec.member + ".")
         .option("skipLines", spec.skip_lines)
+        .option("slots", spark.sparkContext.defaultParallelism)
         .load()
     )

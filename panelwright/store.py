@@ -29,6 +29,8 @@ from panelwright.specs import DATABASES, TableSpec
 YEAR = "year"
 #: File beside the years that names added columns; readers of the data skip names that start so.
 _ADDED = "_added_columns.json"
+#: Folder beside the tables for the steps that are done.
+_STEPS = "_steps"
 
 
 @dataclass(frozen=True)
@@ -202,6 +204,20 @@ class PanelStore:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(spec), name)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
+    def is_noted(self, run: str, step: str) -> bool:
+        """Whether a step of a run is done."""
+        fs, path = self._step(run, step)
+        return fs.exists(path)
+
+    def note(self, run: str, step: str) -> None:
+        """An empty file that says that a step of a run is done."""
+        fs, path = self._step(run, step)
+        fs.create(path, True).close()
+
+    def _step(self, run: str, step: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{_STEPS}/{run}", step)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def between(self, spec: TableSpec, start: date, end: date) -> DataFrame:
         """Rows of a date range; the years are pruned as well, a date predicate alone would not do that."""
         frame = self._stored(self.stored_spec(spec), None).where(F.col(YEAR).between(start.year, end.year))

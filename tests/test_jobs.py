@@ -249,3 +249,26 @@ def test_stream_takes_up_new_and_corrected_archives(spark, jobs, tmp_path):
     start_feed(jobs, v.RETURNS_FEED, checkpoint).awaitTermination()
     assert asset(jobs, D3, "USA1")["price"] == 77.0 and asset(jobs, D3, "USA2")["price"] == 10.0
     assert jobs.store.read(sp.ASSETS).count() == 6
+
+
+def test_a_run_that_broke_off_goes_on_with_the_step_it_had_reached(jobs, monkeypatch):
+    done = []
+    feeds = type(jobs).daily
+
+    def daily(self, *feed):
+        done.append(feed[0].data.name)
+        if feed[0].data.name == "covariances" and done.count("covariances") == 1:
+            raise OSError("broken off")
+        feeds(self, *feed)
+
+    monkeypatch.setattr(type(jobs), "daily", daily)
+    with pytest.raises(OSError):
+        composite.risk_model_daily(jobs, run="today")
+    assert not jobs.store.is_noted("today", "covariances") and jobs.store.is_noted("today", "exposures")
+    composite.risk_model_daily(jobs, run="today")
+    assert done == ["returns", "exposures", "covariances", "covariances"]
+    assert jobs.store.read(sp.COVARIANCES).count() and jobs.store.read(sp.FACTOR_RETURNS).count()
+    composite.risk_model_daily(jobs, run="today")
+    assert len(done) == 4
+    composite.risk_model_daily(jobs, run="tomorrow")
+    assert len(done) == 7

@@ -130,3 +130,36 @@ def test_member_without_rows_and_long_member(spark, tmp_path):
     assert archive.scan_text(spark, [f"{tmp_path}/empty.txt"], schema, 2).count() == 0
     both = archive.scan_text(spark, [f"{tmp_path}/*.txt"], schema, 2)
     assert both.selectExpr("count(*)", "sum(Price)").first()[:] == (120_000, sum(r[1] for r in many))
+
+
+def test_members_are_packed_by_bytes_in_order(spark, tmp_path):
+    sized = [("a", f"m{i}", 40_000 if i == 7 else 400) for i in range(50)]
+    for slots in (1, 3, 8, 1000):
+        packs = archive.pack(sized, slots)
+        assert [m for p in packs for m in p] == [(a, m) for a, m, _ in sized]
+        assert min(slots, 8) <= len(packs) <= 2 * slots + 1
+    large = [("a", f"m{i}", archive.PACK_BYTES // 2) for i in range(10)] + [("a", "huge", 5 * archive.PACK_BYTES), ("a", "z", 1)]
+    assert [len(p) for p in archive.pack(large, 1)] == [1] * 12
+    assert archive.pack([], 4) == []
+
+
+def test_many_members_in_few_tasks(spark, tmp_path):
+    sessions = [date(2023, 1 + i // 28, 1 + i % 28) for i in range(300)]
+    rows = {d: [row("A", d, float(i)), row("B", d, -float(i))] for i, d in enumerate(sessions)}
+    put_history(str(tmp_path), RETURNS_DATA, 2023, rows)
+    got = archive.scan_history(spark, str(tmp_path), RETURNS_DATA, [2023], origin=True)
+    assert got.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism + 1
+    kept = [(r["DataDate"], r["!Barrid"], r["Price"], r["_line"]) for r in got.collect() if r["!Barrid"] in "AB"]
+    assert kept == [(ymd(d), b, s * i, k) for i, d in enumerate(sessions) for k, (b, s) in enumerate([("A", 1.0), ("B", -1.0)])]
+    assert {r["_archive"] for r in got.select("_archive").distinct().collect()} == {"SMD_USSLOW_100_D_2023.zip"}
+
+
+def test_listing_names_absent_members_and_skips_absent_archives(spark, tmp_path):
+    root = f"{tmp_path}/odd [name]"
+    put_daily(root, RETURNS_DATA, D[0], [row("A", D[0])])
+    here = RETURNS_DATA.daily_archive(D[0])
+    found = archive.listing(spark, root, [(here, "", "gone"), ("nothing*.zip", "", None), (here, "USSLOW", None), (here, "x", None)])
+    assert [[m[1] for m in f] for f in found] == [["gone"], [], [RETURNS_DATA.daily_member(D[0])], []]
+    assert found[0][0][2] == 0 < found[2][0][2]
+    with pytest.raises(Exception, match="gone"):
+        archive._scan(spark, root, RETURNS_DATA, found[0]).collect()
