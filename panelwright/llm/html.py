@@ -9,6 +9,7 @@ against its ancestor.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -57,14 +58,15 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+_LABEL = re.compile(r'data-label="([01])"')
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _NAMED = ("class", "id", "role", "aria-label", "itemprop", "name")
 
 
 @lru_cache(maxsize=20_000)
-def _groups(attributes: str) -> tuple[int, int]:
-    """Bit set of the token groups in an element's attributes, and its training label (-1 if it has none)."""
-    bits, label = 0, -1
+def _groups(attributes: str) -> int:
+    """Bit set of the token groups in an element's attributes."""
+    bits = 0
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in _NAMED:
@@ -74,9 +76,7 @@ def _groups(attributes: str) -> tuple[int, int]:
                     bits |= 1 << group
         elif name == "hidden" or name == "style" and "display:none" in value.replace(" ", ""):
             bits |= 1 << 5
-        elif name == "data-label":
-            label = int(value)
-    return bits, label
+    return bits
 
 
 @dataclass
@@ -90,10 +90,14 @@ class Dom:
     runs: list[tuple[int, str, int]] = field(default_factory=list)  # node, text, characters in links
 
 
-def parse(html: str) -> Dom:
-    """Forgiving parse of a whole page. Character references are decoded; a blank stands for a line break element."""
+def parse(html: str, labelled: bool = False) -> Dom:
+    """Forgiving parse of a whole page. Character references are decoded; a blank stands for a line break element.
+
+    Only generated pages are ``labelled``; in any other page the attribute that holds their labels means nothing.
+    """
     dom = Dom()
     stack: list[tuple[str, int]] = [("html", 0)]
+    open_ = Counter()  # elements of each name on the stack, so that an end without a start is not looked for
     pieces: list[str] = []
     linked = in_link = 0
     end = len(html)
@@ -130,21 +134,23 @@ def parse(html: str) -> Dom:
                 if not close:
                     closes = _CLOSES.get(tag, ("p",))
                     while stack[-1][0] in closes and len(stack) > 1:
-                        stack.pop()
-                    bits, label = _groups(attributes) if attributes else (0, -1)
+                        open_[stack.pop()[0]] -= 1
+                    bits = _groups(attributes) if attributes else 0
+                    mark = _LABEL.search(attributes) if labelled else None
                     if tag in ("html", "body"):
                         dom.bits[0] |= bits
                     else:
                         stack.append((tag, len(dom.kind)))
+                        open_[tag] += 1
                         dom.kind.append(KINDS[tag])
                         dom.parent.append(stack[-2][1])
                         dom.bits.append(bits)
-                        dom.label.append(label)
+                        dom.label.append(int(mark[1]) if mark else -1)
                 elif tag not in ("html", "body"):
-                    for k in range(len(stack) - 1, 0, -1):
-                        if stack[k][0] == tag:
-                            del stack[k:]
-                            break
+                    if open_[tag]:
+                        while (ended := stack.pop()[0]) != tag:
+                            open_[ended] -= 1
+                        open_[tag] -= 1
                     in_link = 0
             elif tag == "a":
                 in_link = 0 if close else 1
@@ -162,6 +168,19 @@ def parse(html: str) -> Dom:
     return dom
 
 
+def _depths(dom: Dom) -> list[int]:
+    """Depth of each node; parents come before their children."""
+    found = [0]
+    for up in dom.parent[1:]:
+        found.append(found[up] + 1)
+    return found
+
+
+def _levels(depth: np.ndarray) -> list[np.ndarray]:
+    """Nodes of each depth, in page order."""
+    return np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1]) if len(depth) else []
+
+
 def describe(doms: list[Dom]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features, parents and depths of the nodes of several pages, one after the other. A page's root is its own parent."""
     counts = np.array([len(d.kind) for d in doms])
@@ -182,17 +201,11 @@ def describe(doms: list[Dom]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     capital = np.bincount(node, np.array([r[1][:1].isupper() for r in runs], float), n)
 
     root = np.arange(n) == parent
-    depth = np.zeros(n, np.int64)
-    level, todo = np.where(root, 0, -1), ~root
-    while todo.any():  # one step per level of the deepest page
-        ready = todo & (level[parent] >= 0)
-        level[ready] = level[parent[ready]] + 1
-        todo &= ~ready
-    depth = level
+    depth = np.concatenate([_depths(d) for d in doms])
     above = np.zeros(n, np.int64)  # token groups and roles of proper ancestors
     role = np.select([kind == 4, np.isin(kind, (5, 6, 7, 8, 13))], [1 << 20, 1 << 21], 0)
     text, link, tags, leaves = own.copy(), own_link.copy(), np.ones(n), stops.copy()
-    by_level = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)] if n else []
+    by_level = _levels(depth)
     for nodes in by_level[1:]:
         above[nodes] = above[parent[nodes]] | bits[parent[nodes]] | role[parent[nodes]]
     for nodes in by_level[:0:-1]:
@@ -243,7 +256,7 @@ def decode(odds: np.ndarray, parent: np.ndarray, depth: np.ndarray) -> np.ndarra
     a child is kept if its parent is and its subtree gains. A root's own text is kept if its own log-odds are positive.
     """
     worth = odds.astype(float).copy()
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)] if len(odds) else []
+    levels = _levels(depth)
     for nodes in levels[:0:-1]:
         np.add.at(worth, parent[nodes], np.maximum(worth[nodes], 0))
     open_ = depth == 0
@@ -417,7 +430,7 @@ def train(pages: DataFrame | None = None, html: str = "html", layouts: int = LAY
     """Fit the trees on ``layouts`` generated pages, and on up to ``sample`` rows of ``pages`` whose own semantic elements tell
     what is meant. Both numbers bound what the driver holds."""
     made = Layouts()
-    doms = [parse(made.page()) for _ in range(layouts)]
+    doms = [parse(made.page(), labelled=True) for _ in range(layouts)]
     labels = [_labels(d) for d in doms]
     if pages is not None:
         for dom in map(parse, _chosen(pages, html, sample)):
