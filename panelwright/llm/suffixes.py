@@ -31,12 +31,12 @@ TOKEN = 8
 _LEAD = 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text taken at once in a task, and behind one bucket on average.
-_BLOCK, _BUCKET = 4 << 20, 10 << 20
+_BLOCK, _BUCKET = 4 << 20, 7 << 20
 #: Most buckets (beyond, they grow), least bytes of documents from which splitters are drawn, sampled suffixes per bucket and in all.
 _MOST_BUCKETS, _SAMPLE, _PER_BUCKET, _MOST_SAMPLED = 1 << 20, 32 << 20, 64, 1 << 22
 #: Bytes of text for each chosen suffix of 50-byte strings, about.
 _APART = 22
-_SLICE = 1 << 16
+_SLICE = 1 << 14
 
 
 # --- chosen suffixes, in tasks ----------------------------------------------------------------------
@@ -71,28 +71,31 @@ def choose(data: np.ndarray, ends: np.ndarray, length: int) -> Suffixes:
     if n <= 0:
         return Suffixes(*(np.empty(0, np.int64) for _ in range(4)))
     # hash above, place below: the least is the first of the least hashes
-    least = (tokens(data) * _ODD) & np.uint64(0xFFFFFFFF00000000)
-    least |= np.arange(len(least), dtype=np.uint64)
+    least = tokens(data)
+    least *= _ODD
+    least &= np.uint64(0xFFFFFFFF00000000)
+    least |= np.arange(len(least), dtype=np.uint32)
     span = 1
     while 2 * span <= width:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
     if span < width:
         least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
-    named = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    named = least.astype(np.uint32)  # the place
+    del least
     valid = np.zeros(n + 1, np.int8)
     begins = np.append(0, ends[:-1])
     whole = ends - begins >= length
     np.add.at(valid, begins[whole], 1)
     np.add.at(valid, ends[whole] - length + 1, -1)
-    valid = np.cumsum(valid[:-1]).astype(bool)
-    before = np.append(False, valid[:-1])
-    fresh = valid & (~before | (named != np.append(-1, named[:-1])))
+    valid = np.cumsum(valid[:-1], dtype=np.int8).view(bool)
+    fresh = valid.copy()
+    fresh[1:] &= ~valid[:-1] | (named[1:] != named[:-1])
     start = np.flatnonzero(fresh)
     # a run ends before the next fresh start, or with the text's last string
     last = np.searchsorted(ends, start, side="right")
     stop = np.minimum(np.append(start[1:], n), ends[last] - length + 1)
-    return Suffixes(start, stop - start, named[start], last)
+    return Suffixes(start, stop - start, named[start].astype(np.int64), last)
 
 
 def _lead(data: np.ndarray, found: Suffixes, length: int) -> np.ndarray:
@@ -221,8 +224,8 @@ class Bucket:
 
         texts, columns = [], []
         inflate = zstandard.ZstdDecompressor()
-        for row in rows:
-            raw = inflate.decompress(row)
+        for k, row in enumerate(rows):
+            raw, rows[k] = inflate.decompress(row), None
             m, n = np.frombuffer(raw, "<i8", 2)
             parts, at = [], 16
             for kind, count in (("<i8", m), ("<i8", m), ("<i8", m), ("<i8", n), ("u1", n), ("u1", n)):
