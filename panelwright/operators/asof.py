@@ -1,7 +1,8 @@
 """As-of joins: per key, the right row nearest in time to each left row.
 
 Both sides are stacked and ordered once per key; a running "last right row" then gives every left row its
-match, with no range condition and no candidate pairs. Several right sides share the one shuffle and sort.
+match, with no range condition and no candidate pairs. Several right sides share the one shuffle and sort. Large keys are
+parted into ranges, each of which starts from the last right row of the ranges before it.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from pyspark.sql import types as T
 
 from panelwright.functions.frames import require_columns
 from panelwright.functions.scalars import distance, quoted
-from panelwright.operators.skew import ROWS_PER_RANGE, Layout, all_ranges, hot_layout, with_ranges
+from panelwright.operators.skew import ROWS_PER_RANGE, carried, range_cuts, with_ranges
 
 STRATEGIES = ("backward", "forward", "nearest")
+_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
 
 
 @dataclass(frozen=True)
@@ -126,58 +128,64 @@ def _match(
     time_type = left.schema[left_on].dataType
     rows = [_right_rows(r, cols, by, left, time_type) for r, cols in zip(rights, kept)]
     names = [f"__r{i}" for i in range(len(rows))]
-    lefts = left.withColumns({"__t": quoted(left_on), "__side": F.lit(1)})
-
-    layout = None
-    if rows_per_range is not None:
-        narrow = [lefts.select(*map(quoted, by), "__t", F.lit(True).alias("__is_left"))]
-        narrow += [r.select(*map(quoted, by), "__t", F.lit(False).alias("__is_left")) for r in rows]
-        layout = hot_layout(_stack(narrow), by, "__t", rows_per_range, counted="__is_left")
-    sides = [_one_per_time(r, by).withColumnRenamed("__r", n).withColumn("__side", F.lit(0)) for r, n in zip(rows, names)]
-    lefts = with_ranges(lefts, layout, by, "__t")
-    sides = [with_ranges(s, layout, by, "__t") for s in sides]
-
-    # Left rows do not look at one another, so a range too full to cut is salted, its right rows repeated.
-    pieces = F.coalesce(F.element_at("__salts", F.col("__g") + 1), F.lit(1))
+    # by content: the same when a lost task is run again, and different for the rows of one time
+    salt = F.xxhash64(*map(quoted, left.columns))
     no_match = quoted(left_on).isNull()
     for c in by:
         no_match = no_match | quoted(c).isNull()
-    # Salted by the row's content: the same when a lost task is run again, and even where input is clustered.
-    salt = F.xxhash64(*map(quoted, left.columns))
-    piece = F.when(no_match, -1 - F.pmod(salt, F.lit(1024))).otherwise(F.pmod(salt, pieces)).cast("int")
-    lefts = lefts.withColumn("__piece", piece).drop("__salts", "__hot")
-    pieced = [
-        s.withColumn("__piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("__salts", "__hot") for s in sides
-    ]
-    stacked = _stack([lefts, *pieced])
-
-    group = Window.partitionBy(*map(quoted, by), "__g", "__piece")
-    running = (Window.unboundedPreceding, Window.currentRow)
+    # rows that match nothing are dealt out, so that a frequent null is no large key
+    piece = F.when(no_match, -1 - F.pmod(salt, F.lit(1024))).otherwise(0).cast("int")
+    lefts = left.withColumns({"__t": quoted(left_on), "__h": salt, "__side": F.lit(1), "__piece": piece})
+    sides = [_one_per_time(r, by).withColumnRenamed("__r", n) for r, n in zip(rows, names)]
+
+    layout, place = None, F.struct("__t", "__h")
+    if rows_per_range is not None:
+        narrow = [lefts.where("__piece = 0").select(*map(quoted, by), "__t", "__h")]
+        narrow += [r.select(*map(quoted, by), "__t", F.lit(_FIRST).alias("__h")) for r in rows]
+        layout = range_cuts(_stack(narrow), by, place, rows_per_range)
+
     # "forward" is "backward" read from the end; a frame up to unboundedFollowing would be quadratic
-    ahead = group.orderBy(F.col("__t").desc(), "__side").rowsBetween(*running)
-    behind = group.orderBy("__t", "__side").rowsBetween(*running)
-    wanted = {"backward": [behind], "forward": [ahead], "nearest": [behind, ahead]}[strategy]
-    picks = {f"{n}_{k}": F.last(n, ignorenulls=True).over(w) for n in names for k, w in enumerate(wanted)}
-    matched = stacked.withColumns(picks).where("__side = 1").drop(*names, "__side")
+    directions = {"backward": ("behind",), "forward": ("ahead",), "nearest": ("behind", "ahead")}[strategy]
+    # a cut may part the left rows of one time: the right row then stands before them all, or after them all
+    copies = {d: [s.withColumnsRenamed({n: f"{n}_{d}"}) for s, n in zip(sides, names)] for d in directions}
+    placed = {
+        d: [s.withColumns({"__h": F.lit(_FIRST if d == "behind" else _LAST), "__side": F.lit(0), "__piece": F.lit(0)}) for s in copies[d]]
+        for d in directions
+    }
+    group, order = [*by, "__piece"], ["__t"]
+    if layout is not None:
+        lefts = with_ranges(lefts, layout, by, place)
+        placed = {d: [with_ranges(s, layout, by, place) for s in placed[d]] for d in directions}
+        group, order = [*group, "__g"], ["__t", "__h"]
+    stacked = _stack([lefts, *(s for d in directions for s in placed[d])])
+    running = (Window.unboundedPreceding, Window.currentRow)
+    by_group = Window.partitionBy(*map(quoted, group))
+    windows = {
+        "behind": by_group.orderBy(*order, "__side").rowsBetween(*running),
+        "ahead": by_group.orderBy(*[F.desc(c) for c in order], "__side").rowsBetween(*running),
+    }
+    picks = {f"{n}_{d}": F.last(f"{n}_{d}", ignorenulls=True).over(windows[d]) for n in names for d in directions}
+    matched = stacked.withColumns(picks).where("__side = 1")
 
     if layout is not None:
-        for k, window in enumerate(wanted):
-            opening = _openings(layout, sides, names, by, forward=window is ahead)
-            opening = opening.withColumnsRenamed({n: f"__o_{n}" for n in names})
-            # one row per range of a hot key: bounded, see MAX_RANGES
-            matched = matched.join(F.broadcast(opening), [*by, "__g"], "left").withColumns(
-                {
-                    f"{n}_{k}": F.when(F.col("__piece") >= 0, F.coalesce(f"{n}_{k}", f"__o_{n}"))
-                    for n in names
-                }
+        for d in directions:
+            states = [f"{n}_{d}" for n in names]
+            pick = F.max if d == "behind" else F.min
+            # the struct starts with its time, and is unique per time
+            closing = [s.where("__parted").groupBy(*map(quoted, by), "__g").agg(pick(c).alias(c)) for s, c in zip(placed[d], states)]
+            merged = closing[0]
+            for other in closing[1:]:
+                merged = merged.join(other, [*by, "__g"], "full")
+            opening = carried(layout, merged, by, states, backwards=d == "ahead").withColumnsRenamed({c: f"__o_{c}" for c in states})
+            matched = layout.joined(matched, opening, [*by, "__g"]).withColumns(
+                {c: F.when(F.col("__piece") == 0, F.coalesce(c, f"__o_{c}")) for c in states}
             )
-            matched = matched.drop(*[f"__o_{n}" for n in names])
 
     final = {}
     for i, n in enumerate(names):
-        best = F.col(f"{n}_0")
+        best = F.col(f"{n}_{directions[0]}")
         if strategy == "nearest":
-            best = _nearer(best, F.col(f"{n}_1"), time_type)
+            best = _nearer(best, F.col(f"{n}_ahead"), time_type)
         final[f"__m{i}"] = best
     return matched.withColumns(final)
 
@@ -204,21 +212,6 @@ def _one_per_time(rows: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _openings(
-    layout: Layout, sides: Sequence[DataFrame], names: Sequence[str], by: list[str], forward: bool
-) -> DataFrame:
-    """For every range of a hot key, the last right row before it (or, forward, the first after it)."""
-    order = F.col("__g").desc() if forward else F.col("__g").asc()
-    earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    pick = F.min if forward else F.max
-    frame = all_ranges(layout, by)
-    for side, name in zip(sides, names):
-        # the struct starts with its time, and is unique per time
-        edge = side.where("__hot").groupBy(*by, "__g").agg(pick(name).alias(name))
-        frame = frame.join(edge, [*by, "__g"], "left")
-    return frame.select(*by, "__g", *[F.last(n, ignorenulls=True).over(earlier).alias(n) for n in names])
-
-
 def _nearer(back: Column, ahead: Column, time_type: T.DataType) -> Column:
     """The closer match; backward wins a tie."""
     before, after = distance(back["__at"], F.col("__t"), time_type), distance(F.col("__t"), ahead["__at"], time_type)

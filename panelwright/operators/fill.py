@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.scalars import quoted
-from panelwright.operators.skew import ROWS_PER_RANGE, all_ranges, hot_layout, with_ranges
+from panelwright.operators.skew import ROWS_PER_RANGE, carried, range_cuts, with_ranges
 
 
 def forward_fill(
@@ -22,36 +22,31 @@ def forward_fill(
 ) -> DataFrame:
     """Each null of ``columns`` becomes the last non-null value before it within its key.
 
-    Hot keys are filled range by range, each range starting from the last values of the ranges before it.
-    ``rows_per_range=None`` leaves that out, for tables whose keys bound the rows per ``by`` anyway.
+    Large keys are filled range by range, each range starting from the last values of the ranges before it; a range ends
+    anywhere in the order, also among rows of one time. ``rows_per_range=None`` leaves that out, for tables whose keys bound
+    the rows per ``by`` anyway. Rows that are equal in all of ``order`` come in the order of a hash of their content.
     """
     by = [by] if isinstance(by, str) else list(by)
     order = [order] if isinstance(order, str) else list(order)
     running = (Window.unboundedPreceding, Window.currentRow)
-    # as a struct the key compares null-safely, so the rows of a null key are split like any other
-    keyed = df.withColumn("__k", F.struct(*map(quoted, by)))
-    layout = None if rows_per_range is None else hot_layout(keyed, ["__k"], order[0], rows_per_range)
+    # as a struct the key compares null-safely, so the rows of a null key are parted like any other
+    keyed = df.withColumns({"__k": F.struct(*map(quoted, by)), "__h": F.xxhash64(*map(quoted, df.columns))})
+    place = F.struct(*map(quoted, order), "__h")
+    layout = None if rows_per_range is None else range_cuts(keyed, ["__k"], place, rows_per_range)
     if layout is None:
         window = Window.partitionBy(*map(quoted, by)).orderBy(*map(quoted, order)).rowsBetween(*running)
         return df.withColumns({c: F.last(quoted(c), ignorenulls=True).over(window) for c in columns})
 
-    ranged = with_ranges(keyed, layout, ["__k"], order[0]).drop("__salts")
-    window = Window.partitionBy(*map(quoted, by), "__g").orderBy(*map(quoted, order)).rowsBetween(*running)
+    ranged = with_ranges(keyed, layout, ["__k"], place)
+    window = Window.partitionBy("__k", "__g").orderBy(*map(quoted, order), "__h").rowsBetween(*running)
     filled = ranged.withColumns({c: F.last(quoted(c), ignorenulls=True).over(window) for c in columns})
-
-    place = F.struct(*map(quoted, order))
+    # a carry has the last value of each column by itself
     closing = (
-        ranged.where(F.col("__hot") & reduce(or_, [quoted(c).isNotNull() for c in columns]))
+        ranged.where(F.col("__parted") & reduce(or_, [quoted(c).isNotNull() for c in columns]))
         .groupBy("__k", "__g")
         .agg(*[F.max_by(quoted(c), F.when(quoted(c).isNotNull(), place)).alias(c) for c in columns])
     )
-    earlier = Window.partitionBy("__k").orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)
-    opening = (
-        all_ranges(layout, ["__k"])
-        .join(closing, ["__k", "__g"], "left")
-        .select("__k", "__g", *[F.last(quoted(c), ignorenulls=True).over(earlier).alias(f"__open_{c}") for c in columns])
-    )
-    # one row per range of a hot key: bounded, see MAX_RANGES
-    return filled.join(F.broadcast(opening), ["__k", "__g"], "left").select(
+    opening = carried(layout, closing, ["__k"], columns).withColumnsRenamed({c: f"__open_{c}" for c in columns})
+    return layout.joined(filled, opening, ["__k", "__g"]).select(
         [F.coalesce(quoted(c), quoted(f"__open_{c}")).alias(c) if c in columns else quoted(c) for c in df.columns]
     )

@@ -1,11 +1,12 @@
-"""Splitting of hot keys into time ranges, for operators that order rows within a key.
+"""Prefix scans over keys of any size, for operators that carry a state along the rows of a key.
 
-A key's rows must be seen in time order, so a hot key cannot simply be salted. It is cut into ranges of
-time holding about equally many rows (by counts in slices of the key's time span, and in slices of the
-slices that are too full); the state at the start of each range (the last row of the ranges
-before it) is computed from per-range aggregates and joined in. Keys below the threshold stay whole.
+A key's rows must be seen in order, so a large key cannot simply be salted. All rows are thought of as one sequence by key and
+place, and a sample of it gives cuts about every so many rows. A cut that falls inside a key parts the key there; keys that hold
+no cut stay whole, so without large keys nothing is parted. Rows are then dealt by key and range, each range is scanned by
+itself, and the state at its start is an exclusive scan over one closing state per range.
 
-The cuts are a small table made before the plan that uses them, so all its parts cut at the same places.
+A place is a whole order tuple, at last a hash of the row, so rows of one time can be parted as well; any type with
+an order will do. The cuts are a small table made before the plan that uses them, so all its parts cut at the same places.
 """
 
 from __future__ import annotations
@@ -16,109 +17,70 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.functions.scalars import ordinal, quoted
+from panelwright.functions.scalars import quoted
 
 ROWS_PER_RANGE = 2_000_000
-# A key is hot only above this share of all rows. It bounds hot keys and cuts, hence what is broadcast.
-MAX_RANGES = 10_000
-UNITS_PER_SPAN = 4_096
+#: Sampled rows per range: the ranges then differ by an eighth or so.
+SAMPLED_PER_RANGE = 64
+#: Cuts up to which the table of cuts is broadcast; there is one cut for every ``rows_per_range`` rows.
+BROADCAST_CUTS = 100_000
 
 
 @dataclass(frozen=True)
 class Layout:
-    """The cuts of the hot keys, and the largest number of cuts of one key."""
+    """``by`` and ``__cuts`` (ascending range starts after the first) of the keys that are parted, the number of all cuts and
+    the largest number of one key."""
 
     frame: DataFrame
+    total: int
     longest: int
 
+    def joined(self, df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+        """Left join with a table of one row per key or range of this layout."""
+        return df.join(F.broadcast(other) if self.total <= BROADCAST_CUTS else other, list(on), "left")
 
-def hot_layout(
-    rows: DataFrame, by: Sequence[str], time: str, rows_per_range: int = ROWS_PER_RANGE, counted: str | None = None
-) -> Layout | None:
-    """Cuts of the hot keys: ``by``, ``__cuts`` (sorted range starts after the first), ``__salts``.
 
-    ``__salts[g]`` is the number of pieces range ``g`` needs because it cannot be cut further (many rows
-    at one time); it counts the rows whose boolean column ``counted`` is true, if given. At most
-    MAX_RANGES keys and 2 * MAX_RANGES cuts come back.
+def range_cuts(rows: DataFrame, by: Sequence[str], place: Column, rows_per_range: int = ROWS_PER_RANGE) -> Layout | None:
+    """Cuts of the keys that hold about ``rows_per_range`` rows or more; None if there are none, which leaves the plan as
+    simple as it would be without skew.
 
-    The rows per key are counted at once, reading only the key and time columns. None if no key is hot, which
-    leaves the plan as simple as it would be without skew, or if the time type has no even scale.
+    One pass counts, and only if there are rows for two ranges another one samples key and place. Exact copies of a
+    row have one place and stay together. Rows with a null in a key are left out.
     """
-    position = ordinal(quoted(time), rows.schema[time].dataType)
-    if position is None:
-        return None
     by = list(by)
-    weight = F.lit(1) if counted is None else quoted(counted).cast("int")
-    placed = rows.select(*map(quoted, by), quoted(time).alias("__t"), position.alias("__p"), weight.alias("__w"))
-    placed = placed.dropna(subset=[*by, "__t"])
-    per_key = placed.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__p").alias("__lo"), F.max("__p").alias("__hi")
-    )
-    largest, total = per_key.agg(F.max("__n"), F.sum("__n")).first()
-    if largest is None or largest <= rows_per_range:
+    narrow = rows.select(*map(quoted, by), place.alias("__at")).dropna(subset=by)
+    total = narrow.count()
+    if total < 2 * rows_per_range:
+        return None
+    share = min(1.0, SAMPLED_PER_RANGE / rows_per_range)
+    apart = max(1, round(rows_per_range * share))
+    rank = F.row_number().over(Window.partitionBy(*map(quoted, by)).orderBy("__at"))
+    chosen = narrow.sample(share, 11).withColumn("__i", rank).where(F.col("__i") % apart == 0)
+    listed = chosen.groupBy(*map(quoted, by)).agg(F.sort_array(F.collect_set("__at")).alias("__cuts"))
+    # a cut for every ``rows_per_range`` rows; taken once, so that all parts of a plan use the same cuts
+    cuts = listed.collect()
+    if not cuts:
         return None
-    limit = F.lit(max(rows_per_range, -(-total // MAX_RANGES))).cast("bigint")
-    hot = per_key.where(F.col("__n") > limit)
-
-    # at most MAX_RANGES rows each: more keys, or units of keys, above the limit cannot exist
-    coarse = placed.join(F.broadcast(hot), by).withColumn("__u", _unit())
-    units = _counted(coarse.drop("__lo", "__hi"), [*by, "__u"])
-    full = units.where(F.col("__c") > limit).select(*by, "__u", "__lo", "__hi")
-    fine = coarse.drop("__lo", "__hi").join(F.broadcast(full), [*by, "__u"]).withColumn("__v", _unit())
-    units = units.where(F.col("__c") <= limit).withColumn("__v", F.lit(0).cast("bigint"))
-    units = units.unionByName(_counted(fine.drop("__lo", "__hi"), [*by, "__u", "__v"]))
-    before = Window.partitionBy(*by).orderBy("__u", "__v").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (
-        units.withColumn("__g", F.floor(F.coalesce(F.sum("__c").over(before), F.lit(0)) / limit))
-        .groupBy(*by, "__g")
-        .agg(F.min("__t").alias("__t"), F.sum("__w").alias("__w"))
-        .withColumn("__s", F.greatest(F.lit(1), F.ceil(F.col("__w") / (limit * 2))).cast("int"))
-    )
-    # at most MAX_RANGES ranges for all keys together, give or take one per key
-    listed = ranges.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("__t", "__s"))).alias("__r"))
-    layout = listed.select(
-        *by,
-        F.slice(F.col("__r.__t"), F.lit(2), F.greatest(F.size("__r") - 1, F.lit(0))).alias("__cuts"),
-        F.col("__r.__s").alias("__salts"),
-    )
-    # bounded as above; taken once, so that all parts of a plan use the same cuts and none counts again
-    cuts = layout.collect()
-    frame = rows.sparkSession.createDataFrame(cuts, layout.schema)
-    return Layout(frame, max((len(r["__cuts"]) for r in cuts), default=0))
-
-
-def _unit() -> Column:
-    """Number of the slice of ``__lo`` .. ``__hi`` that ``__p`` lies in."""
-    span = F.col("__hi") - F.col("__lo")
-    slice_ = F.floor((F.col("__p") - F.col("__lo")) * F.lit(UNITS_PER_SPAN) / F.nullif(span, F.lit(0.0)))
-    return F.least(F.coalesce(slice_, F.lit(0)), F.lit(UNITS_PER_SPAN - 1)).cast("bigint")
-
-
-def _counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__c"),
-        F.sum("__w").alias("__w"),
-        F.min("__t").alias("__t"),
-        F.min("__p").alias("__lo"),
-        F.max("__p").alias("__hi"),
-    )
-
-
-def with_ranges(df: DataFrame, layout: Layout | None, by: Sequence[str], time: str) -> DataFrame:
-    """Adds ``__g``, the number of the row's range; ``__salts`` of its key; ``__hot``. Keys that are not hot have range 0."""
-    if layout is None:
-        return df.withColumns(
-            {"__g": F.lit(0), "__salts": F.lit(None).cast("array<int>"), "__hot": F.lit(False)}
-        )
-    ranged = df.join(F.broadcast(layout.frame), list(by), "left").withColumn("__g", F.lit(0))
-    # Number of cuts at or before the time, by binary search, one column per halving: so it stays in generated
+    sizes = [len(r["__cuts"]) for r in cuts]
+    return Layout(rows.sparkSession.createDataFrame(cuts, listed.schema), sum(sizes), max(sizes))
+
+
+def with_ranges(df: DataFrame, layout: Layout, by: Sequence[str], place: Column) -> DataFrame:
+    """Adds ``__g``, the number of the row's range within its key (0 if it is not parted), and ``__parted``."""
+    ranged = layout.joined(df.withColumn("__at", place), layout.frame, by).withColumn("__g", F.lit(0))
+    # Number of cuts at or before the place, by binary search, one column per halving: so it stays in generated
     # code. An array function with a lambda would copy the cuts for every row.
     for step in (1 << k for k in reversed(range(layout.longest.bit_length()))):
         at = F.col("__g") + F.lit(step)
-        ranged = ranged.withColumn("__g", F.when(F.get("__cuts", at - 1) <= quoted(time), at).otherwise(F.col("__g")))
-    return ranged.withColumn("__hot", F.col("__cuts").isNotNull()).drop("__cuts")
-
-
-def all_ranges(layout: Layout, by: Sequence[str]) -> DataFrame:
-    """One row ``by``, ``__g`` per range of every hot key."""
-    return layout.frame.select(*by, F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__g"))
+        ranged = ranged.withColumn("__g", F.when(F.get("__cuts", at - 1) <= F.col("__at"), at).otherwise(F.col("__g")))
+    return ranged.withColumn("__parted", F.col("__cuts").isNotNull()).drop("__cuts", "__at")
+
+
+def carried(layout: Layout, closing: DataFrame, by: Sequence[str], states: Sequence[str], backwards: bool = False) -> DataFrame:
+    """``by``, ``__g`` and the state that each range of a parted key starts from: per column of ``states`` the last non-null
+    closing state of the ranges before it (``backwards``: after it). ``closing`` has a row per key and range at most."""
+    ranges = layout.frame.select(*map(quoted, by), F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__g"))
+    order = F.col("__g").desc() if backwards else F.col("__g").asc()
+    earlier = Window.partitionBy(*map(quoted, by)).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    met = ranges.join(closing, [*by, "__g"], "left")
+    return met.select(*map(quoted, by), "__g", *[F.last(quoted(s), ignorenulls=True).over(earlier).alias(s) for s in states])

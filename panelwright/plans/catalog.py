@@ -191,8 +191,8 @@ def asof_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def asof_backward_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events are one key and come from one partition; the key is cut into ranges of time."""
-    left, right = (side.withColumn("user_id", F.lit(1)).coalesce(1) for side in _events(spark, sf_dir))
+    """All events are one key; it is parted into ranges."""
+    left, right = (side.withColumn("user_id", F.lit(1)) for side in _events(spark, sf_dir))
     matched = asof_join(left, right, "ts", "ts", "user_id", "backward", ["match_id"], tie_break=["match_id"], rows_per_range=HOT_ROWS)
     return matched.select("event_id", "match_id")
 
@@ -200,7 +200,7 @@ def asof_backward_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def forward_fill_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events are one key; the fill goes range by range."""
-    events = _t(spark, sf_dir, "events").coalesce(1)
+    events = _t(spark, sf_dir, "events")
     marked = events.select("event_id", F.lit(1).alias("one"), "ts", F.when(F.col("event_type") == "purchase", F.col("value")).alias("last_purchase"))
     filled = forward_fill(marked, "one", ["ts", "event_id"], ["last_purchase"], rows_per_range=HOT_ROWS)
     return filled.select("event_id", "last_purchase")

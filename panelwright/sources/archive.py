@@ -53,6 +53,7 @@ class Pack(InputPartition):
     def __init__(self, members: list[tuple[str, str | None]]):
         super().__init__(members)
         self.members = members
+        self.archive = members[0][0]
 
 
 def pack(members: Iterable[Sized], slots: int) -> list[list[tuple[str, str | None]]]:

@@ -3,10 +3,11 @@ from datetime import date, datetime, timedelta
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from panelwright.operators.asof import RightSide, asof_join, asof_update, asof_update_many
 from panelwright.operators.fill import forward_fill
-from panelwright.operators.skew import hot_layout
+from panelwright.operators.skew import range_cuts, with_ranges
 
 
 def brute(left, right, strategy):
@@ -54,27 +55,71 @@ def test_asof_against_brute_force(spark, strategy, rows_per_range):
     assert sorted((x.lid, x.v) for x in out.collect()) == brute(left, right, strategy)
 
 
-def test_hot_layout_resolves_clusters(spark):
-    """Two busy seconds and one row years away: the coarse slices cannot part them, the fine ones can."""
+def ranges_of(df, by, place, rows_per_range):
+    """Rows per key and range."""
+    layout = range_cuts(df, by, place, rows_per_range)
+    if layout is None:
+        return None
+    counts = with_ranges(df, layout, by, place).groupBy(*by, "__g", "__parted").count().collect()
+    return {(*(r[b] for b in by), r["__g"]): (r["count"], r["__parted"]) for r in counts}
+
+
+def test_one_key_of_all_rows_is_parted_evenly(spark):
+    """Two busy seconds and one row years away, as times and as texts."""
     base = datetime(2024, 1, 1)
-    rows = [("k", base + timedelta(milliseconds=i)) for i in range(2000)] + [("k", datetime(1990, 1, 1))]
-    layout = hot_layout(spark.createDataFrame(rows, "k string, t timestamp_ntz"), ["k"], "t", 100).frame.collect()[0]
-    assert len(layout["__cuts"]) >= 15 and set(layout["__salts"]) == {1}
-    numbers = spark.range(1000).selectExpr("'k' k", "id / 1e9 t")
-    assert len(hot_layout(numbers, ["k"], "t", 100).frame.collect()[0]["__cuts"]) >= 8
+    rows = [("k", base + timedelta(milliseconds=i), f"{i:06}") for i in range(4000)] + [("k", datetime(1990, 1, 1), "x")]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, s string").repartition(3)
+    for order in (["t"], ["s"]):
+        found = ranges_of(df, ["k"], F.struct(*order), 100)
+        assert 35 <= len(found) <= 45 and max(n for n, _ in found.values()) < 250
+
+
+def test_rows_of_one_time_are_parted(spark):
+    df = spark.range(4000).selectExpr("1 k", "date'2024-01-01' t", "xxhash64(id) h")
+    found = ranges_of(df, ["k"], F.struct("t", "h"), 100)
+    assert 35 <= len(found) <= 45 and max(n for n, _ in found.values()) < 250
 
 
-def test_hot_layout_cuts_only_hot_keys(spark):
+def test_only_large_keys_are_parted(spark):
     left, _ = fixture(3, 0.6)
     df = spark.createDataFrame(left, "lid int, k string, t timestamp_ntz")
-    layout = {r.k: r for r in hot_layout(df, ["k"], "t", 60).frame.collect()}
-    assert set(layout) >= {"hot"}
-    hot = layout["hot"]
-    assert len(hot["__cuts"]) >= 2 and hot["__cuts"] == sorted(hot["__cuts"])
-    assert len(hot["__salts"]) == len(hot["__cuts"]) + 1 and max(hot["__salts"]) > 1
-    assert hot_layout(df, ["k"], "t", 10_000) is None
-    assert hot_layout(df.limit(0), ["k"], "t", 10) is None
-    assert hot_layout(df.withColumn("t", df.k), ["k"], "t", 10) is None
+    found = ranges_of(df, ["k"], F.struct("t", "lid"), 100)
+    assert {k for (k, _), (_, parted) in found.items() if parted} == {"hot"}
+    assert sum(n for n, _ in found.values()) == len(left)
+    assert ranges_of(df, ["k"], F.struct("t"), 10_000) is None
+    assert ranges_of(df.limit(0), ["k"], F.struct("t"), 10) is None
+
+
+def test_cuts_beyond_the_broadcast_limit_are_joined(spark, monkeypatch):
+    from panelwright.operators import skew
+
+    monkeypatch.setattr(skew, "BROADCAST_CUTS", 0)
+    test_asof_against_brute_force(spark, "nearest", 40)
+    test_forward_fill_against_pandas(spark, 20)
+
+
+@pytest.mark.parametrize("strategy", ["backward", "forward", "nearest"])
+def test_left_rows_of_one_time_in_several_ranges_see_the_same_row(spark, strategy):
+    base = datetime(2024, 1, 1)
+    left = [(i, "hot", base + timedelta(seconds=[5, 5, 5, 7][i % 4])) for i in range(800)]
+    right = [("hot", base + timedelta(seconds=s), s) for s in (1, 5, 6, 9)]
+    l = spark.createDataFrame(left, "lid int, k string, t timestamp_ntz").repartition(4)
+    r = spark.createDataFrame(right, "k string, rt timestamp_ntz, v int")
+    out = asof_join(l, r, "t", "rt", "k", strategy, ["v"], rows_per_range=50)
+    assert sorted((x.lid, x.v) for x in out.collect()) == brute(left, right, strategy)
+
+
+@pytest.mark.parametrize("strategy", ["backward", "forward"])
+def test_text_times(spark, strategy):
+    left = [(i, "k", f"{i * 7 % 900:04}") for i in range(900)]
+    right = [("k", f"{i * 31 % 900:04}", i) for i in range(60)]
+    l, r = spark.createDataFrame(left, "lid int, k string, t string"), spark.createDataFrame(right, "k string, rt string, v int")
+    out = asof_join(l, r, "t", "rt", "k", strategy, ["v"], rows_per_range=40)
+    want = []
+    for lid, _, t in left:
+        fits = [(rt, v) for _, rt, v in right if (rt <= t if strategy == "backward" else rt >= t)]
+        want.append((lid, (max(fits) if strategy == "backward" else min(fits))[1] if fits else None))
+    assert sorted((x.lid, x.v) for x in out.collect()) == want
 
 
 @pytest.mark.parametrize("rows_per_range", [None, 20])
