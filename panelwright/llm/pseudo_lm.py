@@ -2,8 +2,9 @@
 
 Every token is predicted from the tokens around it, two on either side, and a document's score is the sum of the conditional
 log-probabilities. The network is small: position-wise embeddings of the neighbours are added and squashed, and the token is
-predicted in two steps, its class and its place in the class. The vocabulary is counted over all documents; it names the most
-frequent words, and all others share hashed ids. A word's probability is that of its id times its share of the id's occurrences.
+predicted in two steps, its class and its place in the class. The vocabulary is counted over all documents. It names the most
+frequent words; any other word is predicted as one id for all of them, and then spelled: a byte at a time, each by the byte
+before it, from counts over all such words. So all words have a probability, and these add up to one.
 
 Training is data-parallel: in each round every task starts from the same weights, learns from its share of all documents, and
 the weights are averaged by the tokens behind them, in two levels of groups of bounded size.
@@ -16,23 +17,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import ascii_lower, join_bounded, pick, put, python_tasks, staged, words_of
+from panelwright.llm.common import pick, put, python_tasks, staged
 
 #: Neighbours on each side, numbers per embedding, classes and ids in a class.
 SIDE, WIDTH, CLASSES, PER_CLASS = 2, 16, 32, 32
-#: Words with an id of their own; the other ids are shared by hash.
-NAMED = 24 * PER_CLASS
+#: Ids that are predicted: the named words and, last, one for all others. As neighbours these are told apart by hash.
 IDS = CLASSES * PER_CLASS
-SHARED = IDS - NAMED
-_EDGE = IDS  # stands before and after a document
+NAMED = IDS - 1
+SHARED = 256
+_EDGE = IDS + SHARED  # stands before and after a document
 #: Rounds of training; each takes another residue of every document's positions, so that together they take all of them once.
 ROUNDS = 2
-_BATCH, _SCORE_BATCH = 1024, 1 << 15
+#: Positions of a step, at first and at most; positions scored at once; texts encoded at once.
+_LEAST_BATCH, _BATCH, _SCORE_BATCH, _TEXTS = 256, 4096, 4096, 512
 _PIECES, _SALTS = 16, 32
-_REMEMBERED = 300_000
+_END = 256  # of a word, in spelling
+_PLACES = np.random.default_rng(97).integers(1, 1 << 32, 64, dtype=np.uint32) | np.uint32(1)
 
 
 @dataclass
@@ -41,7 +45,7 @@ class Net:
 
     flat: np.ndarray
 
-    SHAPES = (("e", (2 * SIDE, IDS + 1, WIDTH)), ("b", (WIDTH,)), ("a", (WIDTH, CLASSES)), ("c", (CLASSES,)), ("u", (CLASSES, WIDTH, PER_CLASS)), ("v", (CLASSES, PER_CLASS)))
+    SHAPES = (("e", (2 * SIDE, IDS + SHARED + 1, WIDTH)), ("b", (WIDTH,)), ("a", (WIDTH, CLASSES)), ("c", (CLASSES,)), ("u", (CLASSES, WIDTH, PER_CLASS)), ("v", (CLASSES, PER_CLASS)))
 
     def __post_init__(self) -> None:
         at = 0
@@ -87,7 +91,7 @@ def _log_share(x: np.ndarray, place: np.ndarray) -> np.ndarray:
 def _by_class(cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Rows in order of their class, and each class with where its rows begin and end in that order."""
     ends = np.cumsum(np.bincount(cls, minlength=CLASSES)).tolist()
-    return np.argsort(cls, kind="stable"), [(k, a, b) for k, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+    return np.argsort(cls.astype(np.uint8), kind="stable"), [(k, a, b) for k, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
 
 
 def _place_scores(net: Net, h: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
@@ -100,10 +104,10 @@ def _place_scores(net: Net, h: np.ndarray, spans: list[tuple[int, int, int]]) ->
 
 
 def _hidden(net: Net, around: np.ndarray) -> np.ndarray:
-    total = net.b + net.e[0][around[0]]
+    total = net.b + net.e[0].take(around[0], axis=0)
     for k in range(1, 2 * SIDE):
-        total += net.e[k][around[k]]
-    return np.tanh(total)
+        total += net.e[k].take(around[k], axis=0)
+    return np.tanh(total, out=total)
 
 
 def log_probabilities(net: Net, around: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -140,10 +144,10 @@ def gradient(net: Net, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     back *= 1 - h * h
     grad.b[:] = back.sum(axis=0)
     for k in range(2 * SIDE):
-        order = np.argsort(around[k], kind="stable")
-        ids = around[k][order]
-        first = np.flatnonzero(np.diff(ids, prepend=-1))
-        grad.e[k][ids[first]] = np.add.reduceat(back[order], first, axis=0)
+        order = np.argsort(around[k].astype(np.uint16), kind="stable")  # short numbers are sorted by counting
+        ids = around[k].take(order)
+        first = np.append(0, np.flatnonzero(ids[1:] != ids[:-1]) + 1)
+        grad.e[k][ids[first]] = np.add.reduceat(back.take(order, axis=0), first, axis=0)
     return grad.flat
 
 
@@ -170,33 +174,69 @@ class Learner:
         self.net.flat -= g
 
 
-class _Ids(dict):
-    """Word to id; hashed ids are remembered up to a bound."""
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of several whole texts one after the other, A-Z lowered, and the number of each text."""
+    if not pa.types.is_string(texts.type):
+        texts = pc.cast(texts, options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
+    filled = pc.greater(pc.binary_length(words), 0)
+    row = np.repeat(np.arange(len(sizes)), sizes)[filled.to_numpy(zero_copy_only=False)]
+    return words.filter(filled), np.bincount(row, minlength=len(sizes))
+
+
+def _letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all words, and where each word begins and ends; no word is empty."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4)
+    data = np.frombuffer(words.buffers()[2], np.uint8, int(offsets[-1])) if len(words) and words.buffers()[2] else np.empty(0, np.uint8)
+    return data, offsets[:-1].astype(np.int64), offsets[1:].astype(np.int64)
+
+
+def spelled(words: pa.Array, table: np.ndarray) -> np.ndarray:
+    """Sum of ``table[byte, next byte]`` of each word, from and to its ends."""
+    if not len(words):
+        return np.empty(0)
+    data, begin, end = _letters(words)
+    base = int(begin[0])
+    data, begin, end = data[base:], begin - base, end - base
+    before = np.empty(len(data), np.int64)
+    before[1:] = data[:-1]
+    before[begin] = _END
+    return np.add.reduceat(table[before, data], begin) + table[data[end - 1], _END]
+
+
+class Ids:
+    """Ids of words as neighbours: named words have their own, others share some by a hash of their bytes."""
 
     def __init__(self, named: list[bytes]):
-        self.named = {w: i for i, w in enumerate(named)}
-        super().__init__(self.named)
+        self.named = pa.array([w.decode(errors="replace") for w in named], pa.string())
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        if not len(words):
+            return np.empty(0, np.uint16)
+        found = pc.index_in(words, value_set=self.named).fill_null(-1).to_numpy(zero_copy_only=False)
+        data, begin, end = _letters(words)
+        base = int(begin[0])
+        place = np.arange(int(end[-1]) - base) - np.repeat(begin - base, end - begin)
+        h = np.add.reduceat((data[base:].astype(np.uint32) + np.uint32(1)) * _PLACES[place & 63], begin - base)
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+        return np.where(found >= 0, found, IDS + (h >> np.uint32(8)) % np.uint32(SHARED)).astype(np.uint16)
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
 
-        if len(self) >= _REMEMBERED:
-            self.clear()
-            self.update(self.named)
-        value = self[word] = NAMED + xxh64_intdigest(word, 42) % SHARED  # as _shared_id
-        return value
+def encode(texts: pa.Array, ids: Ids) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.DictionaryArray]:
+    """The ids of several whole texts with edges around each, the positions of their words, the words of each, and all of them."""
+    words, counts = split(texts)
+    words = words.dictionary_encode()
+    total = int(counts.sum())
+    stream = np.full(total + 2 * SIDE * len(counts), _EDGE, np.uint16)
+    positions = np.arange(total) + np.repeat(SIDE + 2 * SIDE * np.arange(len(counts)), counts)
+    stream[positions] = ids.of(words.dictionary)[words.indices.to_numpy()]
+    return stream, positions, counts, words
 
 
-def encode(texts: list[bytes | None], ids: _Ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ids of several whole texts with edges around each, the positions of their words, and the words of each."""
-    split = [(t or b"").lower().split() for t in texts]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    stream = np.full(int(counts.sum()) + 2 * SIDE * len(split), _EDGE, np.int32)
-    start = np.cumsum(np.append(0, counts[:-1] + 2 * SIDE)) + SIDE if len(split) else counts
-    for a, n, words in zip(start.tolist(), counts.tolist(), split):
-        stream[a : a + n] = np.fromiter(map(ids.__getitem__, words), np.int32, n)
-    positions = np.repeat(start - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(int(counts.sum())) if len(split) else counts
-    return stream, positions, counts
+def _targets(stream: np.ndarray, positions: np.ndarray) -> np.ndarray:
+    """What is predicted: named words by their ids, all others by one."""
+    return np.minimum(stream[positions], IDS - 1).astype(np.int64)
 
 
 def _of_round(positions: np.ndarray, counts: np.ndarray, round_: int, rounds: int) -> np.ndarray:
@@ -211,40 +251,70 @@ def _around(stream: np.ndarray, positions: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Vocabulary:
-    """``named``: the words with an id of their own. ``counts``: how often each id occurs. ``shares``: for each other word,
-    ``word, share``, the logarithm of its part of its id's occurrences; a distributed table, since it grows with the corpus."""
+    """``named``: the words with an id of their own. ``counts``: how often each id occurs. ``spelling``: log-probability of a byte
+    after a byte, over all other words, with the ends of words as a 257th; the first row is divided by what named words would take."""
 
     named: list[bytes]
     counts: np.ndarray
-    shares: DataFrame
-
-
-def _shared_id(word: Column) -> Column:
-    """Place of a word's id among the shared ones."""
-    return F.pmod(F.xxhash64(word), F.lit(SHARED)).cast("int")
-
-
-def _lower_words(text: str) -> Column:
-    return words_of(ascii_lower(F.col(text).cast("string")))
+    spelling: np.ndarray
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and their counts in every few texts; adding up goes on map-side in Spark."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, 8 * _TEXTS):
+            met = split(batch.column("text").slice(a, 8 * _TEXTS))[0].value_counts()
+            yield pa.RecordBatch.from_arrays([met.field("values"), met.field("counts").cast(pa.int64())], ["word", "n"])
+
+
+def _count_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of successive bytes, ends of words included, by the words' counts."""
+    total = np.zeros((257, 257))
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        words, n = batch.column("word"), batch.column("n").to_numpy().astype(float)
+        data, begin, end = _letters(words)
+        base = int(begin[0])
+        data, begin, end = data[base:].astype(np.int64), begin - base, end - base
+        before = np.append(0, data[:-1])
+        before[begin] = _END
+        weight = np.repeat(n, end - begin)
+        total += np.bincount(before * 257 + data[: len(before)], weight, 257 * 257).reshape(257, 257)
+        total[:, _END] += np.bincount(data[end - 1], n, 257)
+    pair = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int32()), pa.array(total.reshape(-1)[pair].astype(np.int64))], ["pair", "n"])
+
+
+def spelling(pairs: np.ndarray, named: list[bytes]) -> np.ndarray:
+    """Log-probabilities of the next byte; every byte may follow every other. The named words are left out of the distribution."""
+    table = np.log((pairs + 0.05) / (pairs + 0.05).sum(axis=1, keepdims=True))
+    if named:
+        taken = np.exp(spelled(pa.array([w.decode(errors="replace") for w in named], pa.string()), table)).sum()
+        table[_END] -= np.log1p(-min(taken, 0.999999))
+    return table
 
 
 def vocabulary(df: DataFrame, text: str = "text") -> Vocabulary:
     """Counted over all documents, A-Z lowered. The most frequent words, by count and then by word, are named, ``NAMED`` at most."""
-    words = pick(df, text).select(F.explode(_lower_words(text)).alias("word"))
-    counted = staged(words.groupBy("word").agg(F.count("*").alias("n")), "words")
+    met = _texts(df, text).mapInArrow(_count_words, "word string, n long")
+    counted = staged(met.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
     rows = counted.orderBy(F.desc("n"), "word").limit(NAMED).collect()
     counts = np.zeros(IDS)
     counts[: len(rows)] = [r.n for r in rows]
-    others = counted.where(~F.col("word").isin([r.word for r in rows])).withColumn("id", _shared_id(F.col("word")))
-    for r in others.groupBy("id").agg(F.sum("n").alias("n")).collect():  # one row per shared id at most
-        counts[NAMED + r.id] = r.n
-    shares = others.select("word", (F.log("n") - _log_total(counts, F.col("id"))).alias("share"))
-    return Vocabulary([r.word.encode() for r in rows], counts, shares)
+    counts[NAMED] = total - counts[:NAMED].sum()
+    frequent = df.sparkSession.createDataFrame([(r.word,) for r in rows], "word string")
+    others = counted.join(F.broadcast(frequent), "word", "left_anti")
+    pairs = np.zeros(257 * 257)
+    for r in others.mapInArrow(_count_letters, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 257 x 257 at most
+        pairs[r.pair] = r.n
+    named = [r.word.encode() for r in rows]
+    return Vocabulary(named, counts, spelling(pairs.reshape(257, 257), named))
 
 
-def _log_total(counts: np.ndarray, shared: Column) -> Column:
-    """Logarithm of the occurrences of a shared id, of 1 if it has none."""
-    return F.get(F.array(*[F.lit(float(x)) for x in np.log(np.maximum(counts[NAMED:], 1))]), shared)
+def _texts(df: DataFrame, text: str) -> DataFrame:
+    return pick(df, text).select(F.col(text).cast("string").alias("text"))
 
 
 def _learn(sent, round_: int, rate: float, rounds: int = ROUNDS):
@@ -252,27 +322,30 @@ def _learn(sent, round_: int, rate: float, rounds: int = ROUNDS):
         from pyspark import TaskContext
 
         flat, named = sent.value
-        net, ids, seen = Net(flat.copy()), _Ids(named), 0
+        net, ids, seen = Net(flat.copy()), Ids(named), 0
         learner = Learner(net, rate)
         kept: list[tuple[np.ndarray, np.ndarray]] = []
 
         def learn(least: int) -> int:
             around, target = np.concatenate([k[0] for k in kept], axis=1), np.concatenate([k[1] for k in kept])
             order = np.random.default_rng(len(target)).permutation(len(target))
-            stop = len(order) if least == 1 else len(order) // _BATCH * _BATCH
-            for a in range(0, stop, _BATCH):
-                part = order[a : a + _BATCH]
+            at = 0
+            while len(order) - at >= least:
+                size = max(_LEAST_BATCH, min(_BATCH, (seen + at) // 32))  # large steps once much is seen
+                part = order[at : at + size]
                 learner.step(around[:, part], target[part])
+                at += len(part)
+            stop = at
             kept[:] = [(around[:, order[stop:]], target[order[stop:]])]
             return stop
 
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                stream, positions, counts = encode(batch.column("text").slice(a, 512).to_pylist(), ids)
+            for a in range(0, batch.num_rows, _TEXTS):
+                stream, positions, counts, _ = encode(batch.column("text").slice(a, _TEXTS), ids)
                 chosen = _of_round(positions, counts, round_, rounds)
                 if len(chosen):
-                    kept.append((_around(stream, chosen), stream[chosen].astype(np.int64)))
-                if sum(len(k[1]) for k in kept) >= 64 * _BATCH:
+                    kept.append((_around(stream, chosen), _targets(stream, chosen)))
+                if sum(len(k[1]) for k in kept) >= 32 * _BATCH:
                     seen += learn(_BATCH)
         if kept and len(np.concatenate([k[1] for k in kept])):
             seen += learn(1)
@@ -302,7 +375,7 @@ def train(df: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float =
     python_tasks(spark)
     words = vocabulary(df, text)
     flat = Net.start(words.counts).flat
-    texts = pick(df, text).select(F.col(text).cast("binary").alias("text"))
+    texts = _texts(df, text)
     for round_ in range(rounds):
         sent = spark.sparkContext.broadcast((flat, words.named))
         learnt = texts.mapInArrow(_learn(sent, round_, rate / (1 + round_), rounds), _SUMS)
@@ -313,61 +386,42 @@ def train(df: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float =
     return flat, words
 
 
-def _share_sums(df: DataFrame, words: Vocabulary, text: str) -> DataFrame:
-    """``__key, __share``: for each distinct text with words that are not named, the sum of their log-shares in their ids.
-
-    Every such word is one row of a join by word. The frequent words are named, so no word can be hot: each has fewer
-    occurrences than any of the ``NAMED``. Rows of equal texts are added up by key first and divided by their number.
-    """
-    texts = pick(df, text).select(_key(text).alias("__key"), F.col(text))
-    met = texts.select("__key", F.explode(_lower_words(text)).alias("word")).where(~F.col("word").isin([w.decode() for w in words.named]))
-    # a word that was never counted is taken as one more of its id
-    unseen = -_log_total(words.counts, _shared_id(F.col("word")))
-    joined = met.join(words.shares.hint("shuffle_hash"), "word", "left")
-    each = joined.select("__key", F.coalesce("share", unseen).alias("share"), F.lit(0).alias("copy"))
-    sums = each.unionByName(texts.select("__key", F.lit(0.0).alias("share"), F.lit(1).alias("copy"))).groupBy("__key").agg(F.sum("share").alias("s"), F.sum("copy").alias("n"))
-    return staged(sums.where("s <> 0").select("__key", (F.col("s") / F.col("n")).alias("__share")), "shares")
-
-
-def _key(text: str) -> Column:
-    return F.xxhash64(F.col(text).cast("string"))
-
-
 def score(df: DataFrame, model: tuple[np.ndarray, Vocabulary], text: str = "text") -> DataFrame:
     """The frame with ``n_words``, ``log_prob`` (summed over all words) and ``mean_log_prob``.
 
     A null or empty text has no words, a sum of 0 and a null mean. A word without an id of its own counts with the probability
-    of its shared id times its share of the id's occurrences in the training texts, a word they lack as one occurrence. Repeated
-    rows get equal scores. Columns named like an output are replaced. The network takes one pass; the words without an id of
-    their own are joined with their shares, and one number per text is joined back.
+    that any such word stands there, times that of its spelling; so does a word that training has never met. Repeated
+    rows get equal scores. Columns named like an output are replaced. One pass, no shuffle.
+
+    The weights depend a little on how training was partitioned, since each task learns from its own share before the shares
+    are averaged: on the test tables scores move by a few hundredths of themselves between one task and many.
     """
     python_tasks(df.sparkSession)
     flat, words = model
-    sent = df.sparkSession.sparkContext.broadcast((flat, words.named))
+    sent = df.sparkSession.sparkContext.broadcast((flat, words.named, words.spelling))
 
     @F.arrow_udf("struct<n:long,p:double>")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        flat, named = sent.value
-        net, ids = Net(flat), _Ids(named)
+        flat, named, table = sent.value
+        net, ids = Net(flat), Ids(named)
         for batch in batches:
             sizes, sums = [], []
-            for a in range(0, len(batch), 512):
-                stream, positions, counts = encode(batch.slice(a, 512).to_pylist(), ids)
+            for a in range(0, len(batch), _TEXTS):
+                stream, positions, counts, words = encode(batch.slice(a, _TEXTS), ids)
                 found = np.empty(len(positions))
                 for b in range(0, len(positions), _SCORE_BATCH):
                     part = positions[b : b + _SCORE_BATCH]
-                    found[b : b + _SCORE_BATCH] = log_probabilities(net, _around(stream, part), stream[part].astype(np.int64))
-                total = np.append(0, np.cumsum(found))
-                ends = np.cumsum(counts)
+                    found[b : b + _SCORE_BATCH] = log_probabilities(net, _around(stream, part), _targets(stream, part))
+                letters = spelled(words.dictionary, table)[words.indices.to_numpy()]
+                found += np.where(stream[positions] < IDS, 0, letters)
                 sizes.append(counts)
-                sums.append(total[ends] - total[ends - counts])
+                sums.append(np.bincount(np.repeat(np.arange(len(counts)), counts), found, len(counts)))
             arrays = [pa.array(np.concatenate(x) if x else [], k) for x, k in ((sizes, pa.int64()), (sums, pa.float64()))]
             yield pa.StructArray.from_arrays(arrays, ["n", "p"])
 
-    made = put(df, "__scored", scored(F.col(text).cast("binary"))).withColumn("__key", _key(text))
-    made = join_bounded(made, _share_sums(df, words, text), ["__key"]).drop("__key")
-    total = F.col("__scored.p") + F.coalesce("__share", F.lit(0.0))
+    made = put(df, "__scored", scored(F.col(text).cast("string")))
+    total = F.col("__scored.p")
     made = put(made, "n_words", F.col("__scored.n"))
     made = put(made, "log_prob", F.round(total, 4))
     mean = F.when(F.col("n_words") > 0, F.round(total / F.col("n_words"), 6))
-    return put(made, "mean_log_prob", mean).drop("__scored", "__share")
+    return put(made, "mean_log_prob", mean).drop("__scored")

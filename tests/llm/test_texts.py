@@ -1,5 +1,7 @@
 """Token counts, quality rules, pseudo-likelihood and toxicity against plain Python, and on odd rows."""
 
+import itertools
+import math
 import re
 from collections import Counter
 from types import SimpleNamespace
@@ -181,25 +183,79 @@ def test_lm_rounds_take_each_position_once():
     assert parts[0].tolist() == [100, 101, 102, 105, 108, 109]
 
 
-def test_lm_words_of_a_shared_id_share_its_probability(spark):
-    times = {f"word{k}": 1 + (k % 3) for k in range(3000)}
-    corpus = [w for w, n in times.items() for _ in range(n)]
-    model = pseudo_lm.train(spark.createDataFrame([(w,) for w in corpus], "text string"))
-    rows = pseudo_lm.score(spark.createDataFrame([(w,) for w in [*times, "word3", "word5", "Never seen"]], "text string"), model).collect()
-    found = {r.text: r.log_prob for r in rows}
-    # all words have the same neighbours, none, so their probabilities are one distribution
-    assert abs(sum(np.exp(found[w]) for w in times) - 1) < 1e-2
-    assert len({r.log_prob for r in rows if r.text == "word3"}) == 1
-    two = spark.createDataFrame([("word0 word3",), ("word0 word3",)], "text string")
-    a, b = pseudo_lm.score(two, model).collect()
-    assert a == b and a.n_words == 2
-
-
-def test_lm_ids_of_workers_and_of_the_shares_agree(spark):
-    words = ["a", "Straße", "日本", "x" * 70, "\u0001"]
-    rows = spark.createDataFrame([(w,) for w in words], "word string").select("word", pseudo_lm._shared_id(pseudo_lm.F.col("word")).alias("id")).collect()
-    ids = pseudo_lm._Ids([])
-    assert all(ids[r.word.encode()] == pseudo_lm.NAMED + r.id for r in rows)
+def test_lm_spelled_words_are_one_distribution():
+    """All words of up to six letters of a small alphabet, named ones aside, and what longer ones take."""
+    pairs = np.zeros((257, 257))
+    for word, n in ((b"ab", 5), (b"ba", 3), (b"aab", 2), (b"b", 4)):
+        for x, y in zip([256, *word], [*word, 256]):
+            pairs[x, y] += n
+    table = np.log(np.maximum(pairs, 1e-300) / np.maximum(pairs.sum(axis=1, keepdims=True), 1e-300))
+    words = ["".join(w) for n in range(1, 13) for w in itertools.product("ab", repeat=n)]
+    found = np.exp(pseudo_lm.spelled(pa.array(words), table))
+    assert abs(found.sum() - 1) < 0.02
+    plain = [math.exp(sum(table[x, y] for x, y in zip([256, *w.encode()], [*w.encode(), 256]))) for w in words]
+    assert np.allclose(found, plain)
+    named = pseudo_lm.spelling(pairs, [b"ab", b"b"])
+    rest = np.exp(pseudo_lm.spelled(pa.array([w for w in words if w not in ("ab", "b")]), named)).sum()
+    free = np.exp(pseudo_lm.spelled(pa.array(words), pseudo_lm.spelling(pairs, []))).sum()
+    taken = np.exp(pseudo_lm.spelled(pa.array(["ab", "b"]), pseudo_lm.spelling(pairs, []))).sum()
+    assert abs(rest - (free - taken) / (1 - taken)) < 1e-9
+
+
+def plain_log_prob(text, flat, words):
+    """A document's score word by word."""
+    net, named = pseudo_lm.Net(flat.astype(float)), {w.decode(): i for i, w in enumerate(words.named)}
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    ids = pseudo_lm.Ids(words.named)
+    near = [pseudo_lm._EDGE] * 2 + [int(ids.of(pa.array([w]))[0]) for w in found] + [pseudo_lm._EDGE] * 2
+    total = 0.0
+    for k, word in enumerate(found):
+        h = np.tanh(net.b + sum(net.e[j][near[k + p]] for j, p in enumerate((0, 1, 3, 4))))
+        target = named.get(word, pseudo_lm.IDS - 1)
+        cls, place = divmod(target, pseudo_lm.PER_CLASS)
+        for scores, at in ((h @ net.a + net.c, cls), (h @ net.u[cls] + net.v[cls], place)):
+            total += scores[at] - math.log(np.exp(scores).sum())
+        if word not in named:
+            data = word.encode()
+            total += sum(words.spelling[x, y] for x, y in zip([256, *data], [*data, 256]))
+    return len(found), total
+
+
+def test_lm_scores_against_plain_python(spark, odd):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    flat, words = pseudo_lm.train(docs)
+    extra = spark.createDataFrame([("Never seen wörds \u000b at all 日本",), ("the THE the",), (" ",)], "text string")
+    rows = pseudo_lm.score(docs.limit(10).unionByName(extra), (flat, words)).collect()
+    assert len(rows) == 13
+    for r in rows:
+        n, total = plain_log_prob(r.text or "", flat, words)
+        assert r.n_words == n and abs(r.log_prob - total) < 1e-3 * max(1, n)
+
+
+def test_lm_words_are_counted_as_plain_python_does(spark, odd):
+    words = pseudo_lm.vocabulary(odd)
+    plain = Counter(w for r in odd.collect() for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")))
+    order = sorted(plain, key=lambda w: (-plain[w], w.encode()))[: pseudo_lm.NAMED]
+    assert [w.decode() for w in words.named] == order
+    assert words.counts[: len(order)].tolist() == [plain[w] for w in order] and words.counts.sum() == sum(plain.values())
+
+
+def test_lm_ids_depend_on_the_word_alone():
+    words = ["a", "Straße", "日本", "x" * 70, "\u0001", "b"]
+    ids = pseudo_lm.Ids([b"b"])
+    together = ids.of(pa.array(words))
+    assert together.tolist() == [int(ids.of(pa.array([w]))[0]) for w in words] == ids.of(pa.array(["zz", *words])[1:]).tolist()
+    assert together[-1] == 0 and all(pseudo_lm.IDS <= i < pseudo_lm.IDS + pseudo_lm.SHARED for i in together[:-1])
+
+
+def test_lm_scores_move_little_with_the_partitioning(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").cache()
+    found = []
+    for n in (1, 4):
+        model = pseudo_lm.train(docs.repartition(n, "doc_id"))
+        found.append({r.doc_id: r.log_prob for r in pseudo_lm.score(docs, model).collect()})
+    moved = [abs(found[0][i] - p) / max(1, abs(p)) for i, p in found[1].items()]
+    assert np.mean(moved) < 0.05
 
 
 def test_toxicity_on_held_out_rows(spark):
