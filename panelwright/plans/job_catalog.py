@@ -26,6 +26,7 @@ from panelwright.plans import vendor as V
 from panelwright.plans.catalog import QUERIES, _day, _price_source, _store, _sum, _t, query
 from panelwright.session import ship_package, shared_path
 from panelwright.sources import archive, objects
+from panelwright.streaming.incremental import start_feed
 
 TODAY = date(1999, 6, 15)
 FAR = "20991231"
@@ -128,6 +129,8 @@ class _Writer:
         self.archive = self.zip = None
 
 
+#: Optional column of rows to be written: their order within a member, before the order of their lines.
+_PLACE = "__place"
 #: Rows of one dataset, and the archive and member of each.
 Part = tuple[DataFrame, sp.DatasetSpec, Column, Column]
 
@@ -142,7 +145,8 @@ def put_archives(parts: list[Part], root: str) -> None:
     def placed(kind: int, part: Part) -> DataFrame:
         rows, data, archive_of, member_of = part
         line = F.concat_ws("|", *[F.coalesce(S.quoted(c).cast("string"), F.lit("")) for c in data.raw.fieldNames()])
-        return rows.select(archive_of.alias("archive"), member_of.alias("member"), F.lit(kind).alias("kind"), line.alias("line"))
+        place = F.col(_PLACE) if _PLACE in rows.columns else F.lit(0)
+        return rows.select(archive_of.alias("archive"), member_of.alias("member"), F.lit(kind).alias("kind"), place.alias("place"), line.alias("line"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, written = _Writer(root, heads), 0
@@ -157,7 +161,7 @@ def put_archives(parts: list[Part], root: str) -> None:
         yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["n"])
 
     lines = reduce(DataFrame.unionByName, [placed(k, p) for k, p in enumerate(parts)])
-    dealt = lines.repartition("archive").sortWithinPartitions("archive", "member", "line")
+    dealt = lines.repartition("archive").sortWithinPartitions("archive", "member", "place", "line")
     dealt.mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
 
 
@@ -439,4 +443,84 @@ def risk_model_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.select("date", "id_i", "id_j", F.round("value", 6).alias("value"))
 
 
+def _daily_matrix_tree(vendor: Vendor) -> str:
+    """What the matrix job reads for the newest session: model files of stocks and, in archives of their own, of every fifth
+    asset as a fund, the covariances, and all assets' identities and ids."""
+    root = local_root(vendor.spark)
+    (session,) = vendor.jobs(root).sessions(1)
+    day = f"{session:%Y%m%d}"
+    parts = []
+    for data, moved in ((sp.EXPOSURE_DATA, sp.MATRIX_EXPOSURE_DATA), (sp.RISK_DATA, sp.MATRIX_RISK_DATA)):
+        rows = raw_rows(vendor.spark, vendor.sf_dir, data).where(F.col("DataDate") == day)
+        fund = F.substring("!Barrid", -1, 1).isin("0", "5")
+        parts += [daily_part(rows.where(~fund), moved[0]), daily_part(rows.where(fund), moved[1])]
+        # an archive must be there even on a day without funds; its one asset is no member of the matrix
+        nobody = vendor.spark.createDataFrame([("none", *[None] * (len(data.raw) - 2), day)], data.raw)
+        parts.append(daily_part(nobody, moved[1]))
+    stamped = full_covariances(vendor.spark, vendor.sf_dir).withColumn("DataDate", F.lit(day)).select(sp.COVARIANCE_DATA.raw.fieldNames())
+    parts.append(daily_part(stamped, sp.MATRIX_COVARIANCE_DATA))
+    parts += [daily_part(raw_rows(vendor.spark, vendor.sf_dir, d), d, F.lit(day)) for d in (sp.IDENTITY_DATA, sp.IDS_DATA)]
+    put_archives(parts, root)
+    return root
+
+
+@query
+def daily_matrix_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily matrix from archives, written by date and read again."""
+    vendor = Vendor(spark, sf_dir)
+    target = shared_path(spark, "matrix")
+    risk.daily_matrix(spark, _daily_matrix_tree(vendor), vendor.calendar, TODAY, target)
+    return spark.read.parquet(target).select("date", "ticker_i", "ticker_j", F.round("value", 6).alias("value"))
+
+
+# --- corrections and streams ------------------------------------------------------------------------
+
+
+@query
+def corrections_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each price is listed too high first and corrected further down in the same member: what arrived last is kept."""
+    vendor = Vendor(spark, sf_dir)
+    rows = raw_rows(spark, sf_dir, sp.RETURNS_DATA)
+    wrong = rows.withColumns({"Price": F.col("Price") + 1000, _PLACE: F.lit(1)})
+    put_archives([daily_part(wrong.unionByName(rows.withColumn(_PLACE, F.lit(2))), sp.RETURNS_DATA)], root := local_root(spark))
+    vendor.jobs(root).daily(V.RETURNS_FEED)
+    return vendor.store.read(sp.ASSETS).select("date", "barrid", "price", "price_source")
+
+
+@query
+def archive_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily archives as a stream, taken up in two runs. Between them one half of the sessions arrives late and the other half
+    is corrected under the same names."""
+    vendor = Vendor(spark, sf_dir)
+    root, place = local_root(spark), shared_path(spark, "stream")
+    rows = raw_rows(spark, sf_dir, sp.RETURNS_DATA)
+    early = F.substring("DataDate", -1, 1).cast("int") % 2 == 0
+    put_archives([daily_part(rows.where(early).withColumn("Price", F.col("Price") + 1000), sp.RETURNS_DATA)], root)
+    log = f"{local_root(spark)}-log"
+    start_feed(vendor.jobs(root), V.RETURNS_FEED, place, log).awaitTermination()
+    put_archives([daily_part(rows, sp.RETURNS_DATA)], root)
+    start_feed(vendor.jobs(root), V.RETURNS_FEED, place, log).awaitTermination()
+    return vendor.store.read(sp.ASSETS).select("date", "barrid", "price", "price_source")
+
+
+@query
+def archive_years_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All years of a dataset whose years have several archives."""
+    vendor = Vendor(spark, sf_dir)
+    root, years = vendor.history(sp.RISK_DATA), range(vendor.first.year, vendor.last.year + 1)
+    return V.clean(archive.scan_history(spark, root, sp.RISK_DATA, years)).select("date", "barrid", "yield", "specific_risk")
+
+
+@query
+def price_backfill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table of a price backfill, row by row, with the monthly price and the events beside it."""
+    store, source = _store(spark), _price_source(spark, sf_dir)
+    names = source.select("date", "permno", F.col("cusip").alias("ticker"), F.col("shrout").alias("shrcd"), F.col("shrout").alias("exchcd"), F.lit("NAMES").alias("event"))
+    composite.price_backfill(store, names, source, source, date(1999, 3, 31), date(1996, 7, 1))
+    keys = ["date", "permno"]
+    events = store.read(sp.CRSP_EVENTS).select(*keys, "ticker", "shrcd")
+    monthly = store.read(sp.CRSP_MONTHLY).select(*keys, F.col("prc").alias("monthly_prc"))
+    return store.read(sp.CRSP_DAILY).select(*keys, "cusip", "prc", "vol", "askhi").join(monthly, keys, "left").join(events, keys, "left")
+
+
 JOB_QUERIES = {n: q for n, q in QUERIES.items() if q.__module__ == __name__}

@@ -96,3 +96,17 @@ SELECT 'crsp_events' AS "table", CAST(year(date) AS INTEGER) AS year, count(*)::
 UNION ALL SELECT 'crsp_monthly', CAST(year(date) AS INTEGER), count(*)::BIGINT FROM p WHERE date BETWEEN DATE '1996-07-01' AND DATE '1999-03-31' GROUP BY 2
 UNION ALL SELECT 'crsp_daily', CAST(year(date) AS INTEGER), count(*)::BIGINT FROM p WHERE year(date) BETWEEN 1996 AND 1999 GROUP BY 2
 """
+ORACLE["archive_years_scan"] = f"WITH {_SOLD} SELECT * FROM ({_RISK})"
+ORACLE["corrections_job"] = f"WITH {_SOLD} SELECT * FROM ({_ASSETS}) WHERE date IN (SELECT date FROM recent)"
+ORACLE["archive_stream_upsert"] = f"WITH {_SOLD} {_ASSETS}"
+ORACLE["daily_matrix_job"] = ORACLE["risk_model_matrix"].replace(
+    "substr(a.barrid, 4) AS id_i, substr(b.barrid, 4) AS id_j", "'T' || substr(a.barrid, 4) AS ticker_i, 'T' || substr(b.barrid, 4) AS ticker_j"
+)
+ORACLE["price_backfill_rows"] = """
+WITH p AS (SELECT CAST(l_shipdate AS DATE) AS date, l_partkey AS permno, max(l_returnflag) AS cusip, round(sum(l_extendedprice), 2) AS prc,
+                  CAST(sum(l_quantity) AS BIGINT) AS vol, max(l_extendedprice) AS askhi, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT date, permno, cusip, prc, vol, askhi, CASE WHEN date BETWEEN DATE '1996-07-01' AND DATE '1999-03-31' THEN prc END AS monthly_prc,
+       CASE WHEN date BETWEEN DATE '1996-07-01' AND DATE '1999-03-31' THEN cusip END AS ticker,
+       CASE WHEN date BETWEEN DATE '1996-07-01' AND DATE '1999-03-31' THEN n END AS shrcd
+FROM p WHERE year(date) BETWEEN 1996 AND 1999
+"""

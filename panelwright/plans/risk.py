@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.functions.frames import keep_members, rename_known
+from panelwright.functions.frames import keep_members, rename_all
 from panelwright.functions.scalars import from_percent_squared, in_force, replace_first
 from panelwright.operators.calendar import session_list
 from panelwright.operators.keyed import dedupe_latest
@@ -27,6 +27,8 @@ from panelwright.session import Staging
 from panelwright.sources import archive
 from panelwright.sources.objects import write_parquet
 from panelwright.specs import (
+    COVARIANCE_DATA,
+    EXPOSURE_DATA,
     FACTORS,
     HOME_COUNTRY,
     HOME_PREFIX,
@@ -37,24 +39,31 @@ from panelwright.specs import (
     MATRIX_EXPOSURE_DATA,
     MATRIX_INSTRUMENTS,
     MATRIX_RISK_DATA,
+    RISK_DATA,
+    VENDOR_COLUMNS,
     DatasetSpec,
 )
 
 
+def named(raw: DataFrame, data: DatasetSpec) -> DataFrame:
+    """The raw rows under the table's names; a column that the dataset should have and the rows lack fails the job."""
+    return rename_all(raw, {c: VENDOR_COLUMNS[c] for c in data.raw.fieldNames() if c in VENDOR_COLUMNS})
+
+
 def matrix_assets(identity: DataFrame, ids: DataFrame, on_date: date) -> DataFrame:
     """``barrid``, ``ticker`` of the assets in the matrix: identity and local id both in force.
 
     Of several local ids the one that started last is taken.
     """
-    listed = clean_identity(identity).where(
+    listed = clean_identity(named(identity, IDENTITY_DATA)).where(
         F.col("instrument").isin(*MATRIX_INSTRUMENTS)
         & (F.col("iso_country_code") == HOME_COUNTRY)
         & in_force(on_date, F.col("start_date"), F.col("end_date"))
     )
-    named = clean_ids(ids, LOCAL_ID_KIND, "ticker").where(
+    local = clean_ids(named(ids, IDS_DATA), LOCAL_ID_KIND, "ticker").where(
         in_force(on_date, F.col("start_date"), F.col("end_date")) & F.col("ticker").isNotNull()
     )
-    latest = dedupe_latest(named.select("barrid", "start_date", "ticker"), ["barrid"], ["start_date"])
+    latest = dedupe_latest(local.select("barrid", "start_date", "ticker"), ["barrid"], ["start_date"])
     tickers = latest.select("barrid", replace_first(F.col("ticker"), HOME_PREFIX).alias("ticker"))
     return tickers.join(listed.select("barrid").distinct(), "barrid")
 
@@ -73,9 +82,9 @@ def matrix_cells(
         return reduce(DataFrame.unionByName, frames)
 
     assets = staging.put(matrix_assets(scan(IDENTITY_DATA), scan(IDS_DATA), on_date))
-    exposures = clean_exposures(keep_raw(scan(*MATRIX_EXPOSURE_DATA), assets))
-    risk = clean(keep_raw(scan(*MATRIX_RISK_DATA), assets))
-    covariances = clean_covariance_cells(scan(MATRIX_COVARIANCE_DATA)).withColumn(
+    exposures = clean_exposures(keep_members(named(scan(*MATRIX_EXPOSURE_DATA), EXPOSURE_DATA), assets, "barrid"))
+    risk = clean(keep_members(named(scan(*MATRIX_RISK_DATA), RISK_DATA), assets, "barrid"))
+    covariances = clean_covariance_cells(named(scan(MATRIX_COVARIANCE_DATA), COVARIANCE_DATA)).withColumn(
         "covariance", from_percent_squared(F.col("covariance"))
     )
     x = exposure_vectors(exposures, FACTORS).alias("x")
@@ -86,13 +95,6 @@ def matrix_cells(
     return cells.withColumnsRenamed({"id_i": "ticker_i", "id_j": "ticker_j"})
 
 
-def keep_raw(raw: DataFrame, assets: DataFrame) -> DataFrame:
-    """Raw rows of the given assets, kept before any further work; the trailer matches none."""
-    renamed = rename_known(raw, {"!Barrid": "barrid"})
-    kept = keep_members(renamed, assets, "barrid")
-    return kept.withColumnRenamed("barrid", "!Barrid")
-
-
 def known_factors(cells: DataFrame, factors: Sequence[str]) -> DataFrame:
     return cells.where(F.col("factor_1").isin(*factors) & F.col("factor_2").isin(*factors))
 

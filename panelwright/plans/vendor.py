@@ -17,6 +17,7 @@ from panelwright.operators.reshape import pivot_panel
 from panelwright.session import Staging
 from panelwright.sources import archive
 from panelwright.specs import (
+    ARRIVAL,
     ASSETS,
     COVARIANCE_DATA,
     COVARIANCES,
@@ -62,7 +63,8 @@ def clean(raw: DataFrame, first: str = "barrid", dates: tuple[str, ...] = ("date
 
 
 def clean_volume(raw: DataFrame) -> DataFrame:
-    return clean(raw).select(*VOLUME_COLUMNS)
+    rows = clean(raw)
+    return rows.select(*VOLUME_COLUMNS, *[c for c in ARRIVAL if c in rows.columns])
 
 
 def clean_exposures(raw: DataFrame) -> DataFrame:
@@ -162,19 +164,19 @@ class VendorJobs:
     def daily(self, *feeds: Feed) -> None:
         """Re-read the last sessions of the feeds, which must share a table, and rewrite it once."""
         sessions = self.sessions()
-        self._put(feeds, lambda f: archive.scan_sessions(self.spark, self.archive_root, f.data, sessions))
+        self._put(feeds, lambda f: archive.scan_sessions(self.spark, self.archive_root, f.data, sessions, origin=not f.unique))
 
     def latest(self, *feeds: Feed) -> None:
         """As ``daily`` for the newest session alone; nothing to read changes nothing."""
         sessions = self.sessions()
-        self._put(feeds, lambda f: archive.scan_latest(self.spark, self.archive_root, f.data, sessions))
+        self._put(feeds, lambda f: archive.scan_latest(self.spark, self.archive_root, f.data, sessions, origin=not f.unique))
 
     def history(self, start: dt.date, end: dt.date, *feeds: Feed, clip: bool = False) -> None:
         """Whole archives of the years from start to end; ``clip`` keeps only dates inside the range."""
         years = range(start.year, end.year + 1)
 
         def scan(feed: Feed) -> DataFrame:
-            return archive.scan_history(self.spark, self.archive_root, feed.data, years)
+            return archive.scan_history(self.spark, self.archive_root, feed.data, years, origin=not feed.unique)
 
         inside = F.col("date").between(F.lit(start), F.lit(end)) if clip else None
         self._put(feeds, scan, inside)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import csv
 import glob
+import hashlib
 import io
 import json
 import os
@@ -35,9 +36,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from panelwright.session import ship_package
-from panelwright.specs import END_OF_FILE, DatasetSpec
+from panelwright.specs import ARRIVAL, END_OF_FILE, DatasetSpec
 
-ORIGIN = ("_archive", "_member", "_line")
 #: Most compressed bytes of a partition, unless one member is larger; what opening a member counts for.
 PACK_BYTES, OPEN_BYTES = 16 << 20, 16 << 10
 #: Rows of small members that are handed on together.
@@ -140,7 +140,7 @@ class _Reading:
 
     def _batches(self, stream, path: str, member: str) -> Iterator[pa.RecordBatch]:
         target = to_arrow_schema(self.schema)
-        wanted = [f for f in target if f.name not in ORIGIN]
+        wanted = [f for f in target if f.name not in ARRIVAL]
         marker = self._option("trailer", END_OF_FILE)
 
         def on_odd_row(row) -> str:
@@ -179,7 +179,7 @@ class _Reading:
                 "_line": lambda: pa.array(range(line, line + n), pa.int64()),
             }
             arrays = [
-                origin[f.name]() if f.name in ORIGIN else batch.column(batch.schema.get_field_index(f.name)).cast(f.type)
+                origin[f.name]() if f.name in ARRIVAL else batch.column(batch.schema.get_field_index(f.name)).cast(f.type)
                 for f in target
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
@@ -208,26 +208,56 @@ class ArchiveReader(_Reading, DataSourceReader):
 
 
 class ArchiveStreamReader(_Reading, DataSourceStreamReader):
-    """Archives that are new or changed since the offset, which names each archive with its size and time.
+    """Archives that are new or changed since the offset, by their names, sizes and times.
 
     So a corrected archive of the same name is read again, and one that arrives late with an old time stamp is read at all.
+    With the option ``log``, a folder that lives as long as the stream, an offset is the digest of a state and the log has
+    the states themselves: what a batch writes does not grow with the archives ever seen. A committed state replaces those before
+    it. Without a log the offset is the state.
     """
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
-        return {p: [s.st_size, s.st_mtime_ns] for p, s in ((p, os.stat(p)) for p in self._archives())}
+        state = {p: [s.st_size, s.st_mtime_ns] for p, s in ((p, os.stat(p)) for p in self._archives())}
+        log = self._option("log")
+        if not log or not state:
+            return state
+        text = json.dumps(state, sort_keys=True)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        path = os.path.join(log, f"{digest}.json")
+        if not os.path.exists(path):
+            os.makedirs(log, exist_ok=True)
+            part = f"{path}.{os.getpid()}.part"
+            with open(part, "w") as out:
+                out.write(text)
+            os.replace(part, path)
+        return {"state": digest}
+
+    def _state(self, offset: dict) -> dict:
+        if not self._option("log") or not offset:
+            return offset
+        with open(os.path.join(self._option("log"), f"{offset['state']}.json")) as found:
+            return json.load(found)
 
     def partitions(self, start: dict, end: dict) -> Sequence[Pack]:
-        fresh = sorted(p for p in end if end[p] != start.get(p))
+        before, after = self._state(start), self._state(end)
+        fresh = sorted(p for p in after if after[p] != before.get(p))
         return self._packs(x for path in fresh for x in directory(path, self._option("memberPrefix")))
 
     def read(self, partition: Pack) -> Iterator[pa.RecordBatch]:
         return self._read(partition)
 
     def commit(self, end: dict) -> None:
-        pass
+        """Older states are not asked for again: the next batch starts from this one."""
+        log = self._option("log")
+        if log and end:
+            kept = os.path.join(log, f"{end['state']}.json")
+            written = os.stat(kept).st_mtime_ns
+            for path in glob.glob(os.path.join(glob.escape(log), "*.json")):
+                if path != kept and os.stat(path).st_mtime_ns < written:
+                    os.remove(path)
 
 
 def register(spark: SparkSession) -> None:
@@ -278,7 +308,7 @@ def _scan(spark: SparkSession, root: str, spec: DatasetSpec, members: Iterable[S
 
 def with_origin(schema: T.StructType) -> T.StructType:
     """The schema with the columns that tell where a row stands."""
-    origin = [T.StructField(n, T.LongType() if n == "_line" else T.StringType()) for n in ORIGIN]
+    origin = [T.StructField(n, T.LongType() if n == "_line" else T.StringType()) for n in ARRIVAL]
     return T.StructType([*schema.fields, *origin])
 
 
@@ -321,14 +351,15 @@ def scan_text(
     return reader.option("archives", json.dumps(list(paths))).load()
 
 
-def stream_daily(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
-    """Stream of the daily archives of a dataset, new and corrected ones."""
+def stream_daily(spark: SparkSession, root: str, spec: DatasetSpec, log: str = "", origin: bool = False) -> DataFrame:
+    """Stream of the daily archives of a dataset, new and corrected ones; ``log`` is the folder of its states."""
     register(spark)
     pattern = f"{spec.daily_folder}/{spec.daily_zip}_{'[0-9]' * 6}.zip"
     return (
         spark.readStream.format("archive")
-        .schema(spec.raw)
+        .schema(with_origin(spec.raw) if origin else spec.raw)
         .option("root", root)
+        .option("log", log)
         .option("archives", json.dumps([pattern]))
         .option("memberPrefix", spec.member + ".")
         .option("skipLines", spec.skip_lines)

@@ -181,6 +181,10 @@ TABLES: dict[str, TableSpec] = {
 DATABASES = ("research", "production", "development")
 
 
+#: Where a row of an archive stands: its archive, member, and rows before it there. In this order later rows correct earlier ones.
+ARRIVAL = ("_archive", "_member", "_line")
+
+
 @dataclass(frozen=True)
 class DatasetSpec:
     """Where a raw dataset lies inside the archive tree and how its text is laid out.

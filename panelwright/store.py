@@ -24,7 +24,7 @@ from panelwright.operators.asof import RightSide, asof_update_many
 from panelwright.operators.skew import ROWS_PER_RANGE
 from panelwright.operators.keyed import dedupe_latest, update, upsert
 from panelwright.session import Staging
-from panelwright.specs import DATABASES, TableSpec
+from panelwright.specs import ARRIVAL, DATABASES, TableSpec
 
 YEAR = "year"
 #: File beside the years that names added columns; readers of the data skip names that start so.
@@ -96,8 +96,8 @@ class PanelStore:
     def apply(self, spec: TableSpec, changes: Sequence[Change], on_repeat: str = "latest") -> None:
         """Apply changes in order and rewrite the touched years once.
 
-        Repeated keys in a change: ``latest`` keeps the greatest row, ``error`` fails. A null in a key column or the date
-        fails before anything is written. Columns that an as-of update added earlier stay.
+        Repeated keys in a change: ``latest`` keeps the row that arrived last if the rows tell (``ARRIVAL`` columns), else the
+        greatest one; ``error`` fails. A null in a key column or the date fails before anything is written. Columns that an as-of update added earlier stay.
         """
         with Staging(self.spark) as staging:
             frames = staging.put_all([_known(spec, c.rows) for c in changes])
@@ -116,7 +116,7 @@ class PanelStore:
             for change in staged:
                 rows = change.rows.where(F.year("date").isin(*sorted(touched)))
                 if on_repeat == "latest" and not change.unique:
-                    rows = dedupe_latest(rows, change.keys)
+                    rows = dedupe_latest(rows, change.keys, [c for c in ARRIVAL if c in rows.columns])
                 merged = (upsert if change.insert else update)(merged, rows, change.keys)
             self.replace_years(spec, merged)
 
@@ -239,9 +239,10 @@ class PanelStore:
 
 
 def _known(spec: TableSpec, rows: DataFrame) -> DataFrame:
-    """The columns of the table that the rows have, with its types."""
+    """The columns of the table that the rows have, with its types, and where the rows come from."""
     require_columns(rows, [*spec.keys])
-    return rows.select([quoted(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields if f.name in rows.columns])
+    known = [quoted(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields if f.name in rows.columns]
+    return rows.select(known + [quoted(c) for c in ARRIVAL if c in rows.columns and c not in spec.columns])
 
 
 def _years_of(rows: DataFrame, keys: Sequence[str]) -> list[int]:

@@ -38,7 +38,8 @@ def start_upsert(
     )
 
 
-def start_feed(jobs: VendorJobs, feed: Feed, checkpoint: str) -> StreamingQuery:
-    """``start_upsert`` of a vendor feed from its daily archives."""
-    stream = stream_daily(jobs.spark, jobs.archive_root, feed.data)
+def start_feed(jobs: VendorJobs, feed: Feed, checkpoint: str, log: str = "") -> StreamingQuery:
+    """``start_upsert`` of a vendor feed from its daily archives; ``log``, a mounted folder that belongs to the checkpoint,
+    keeps what has been read, so that offsets stay short."""
+    stream = stream_daily(jobs.spark, jobs.archive_root, feed.data, log, origin=not feed.unique)
     return start_upsert(jobs.store, feed.table, stream, checkpoint, feed.clean, feed.insert, feed.unique)
