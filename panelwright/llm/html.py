@@ -90,12 +90,13 @@ class Dom:
     runs: list[tuple[int, str, int]] = field(default_factory=list)  # node, text, characters in links
 
 
-def parse(html: str, labelled: bool = False) -> Dom:
-    """Forgiving parse of a whole page. Character references are decoded; a blank stands for a line break element.
+class LabelledPage(str):
+    """A generated page. Its ``data-label`` attributes are training labels; in any other page that attribute means nothing."""
 
-    Only generated pages are ``labelled``; in any other page the attribute that holds their labels means nothing.
-    """
-    dom = Dom()
+
+def parse(html: str) -> Dom:
+    """Forgiving parse of a whole page. Character references are decoded; a blank stands for a line break element."""
+    dom, labelled = Dom(), isinstance(html, LabelledPage)
     stack: list[tuple[str, int]] = [("html", 0)]
     open_ = Counter()  # elements of each name on the stack, so that an end without a start is not looked for
     pieces: list[str] = []
@@ -401,7 +402,7 @@ class Layouts:
             body = f'<div{self.pick("", " class=wrapper", " id=page")} data-label="1">' + "".join(top[1:]) + body + "".join(low[:1]) + "</div>"
             top, low = top[:1], low[1:]
         head = f"<head><title>{self.title()}</title><style>p{{margin:0}}</style></head>" if self.chance(0.7) else ""
-        return f"<!DOCTYPE html><html>{head}<body>{''.join(top)}{body}{''.join(low)}</body></html>"
+        return LabelledPage(f"<!DOCTYPE html><html>{head}<body>{''.join(top)}{body}{''.join(low)}</body></html>")
 
 
 def _labels(dom: Dom) -> np.ndarray:
@@ -430,7 +431,7 @@ def train(pages: DataFrame | None = None, html: str = "html", layouts: int = LAY
     """Fit the trees on ``layouts`` generated pages, and on up to ``sample`` rows of ``pages`` whose own semantic elements tell
     what is meant. Both numbers bound what the driver holds."""
     made = Layouts()
-    doms = [parse(made.page(), labelled=True) for _ in range(layouts)]
+    doms = [parse(made.page()) for _ in range(layouts)]
     labels = [_labels(d) for d in doms]
     if pages is not None:
         for dom in map(parse, _chosen(pages, html, sample)):

@@ -33,10 +33,10 @@ class Cut:
     ``together``: words of successive chunks that must stand in one other document as they are.
     """
 
-    every: int = 5
+    every: int = 4
     longest: int = 64
     min_words: int = 20
-    together: int = 12
+    together: int = 10
 
 
 def gear_hash(data: bytes) -> np.ndarray:
@@ -93,52 +93,53 @@ def _groups(cut: Cut, places: bool):
 
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                digests, docs, at = [], [], []
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
+                digests, docs, keys, at = [], [], [], []
+                for doc, key, text in zip(part.column("doc_id").to_pylist(), part.column("key").to_pylist(), part.column("text")):
                     words = (text.as_py() or b"").split()
                     groups = chunk_groups(chunk_ends(words, cut), min(cut.together, cut.min_words))
                     digests += [xxh3_64_intdigest(b" ".join(words[a:b])) for a, b in groups]
                     docs.append(np.full(len(groups), doc, np.int64))
+                    keys.append(np.full(len(groups), key, np.int64))
                     at.append(np.array(groups, np.int32).reshape(-1, 2).T)
                 columns = [np.array(digests, np.uint64).view(np.int64), np.concatenate(docs)]
                 names = ["digest", "doc"]
                 if places:
-                    columns += list(np.concatenate(at, axis=1))
-                    names += ["word", "after"]
+                    columns += [np.concatenate(keys), *np.concatenate(at, axis=1)]
+                    names += ["key", "word", "after"]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return run
 
 
 def repeated_passages(df: DataFrame, cut: Cut = Cut(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, first_word, n_words, source_id``: passages that a document with a lesser id has as well.
+    """``doc_id, text_key, first_word, n_words, source_id``: passages that a document with a lesser id has as well.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, counted from 0; white space between them does not matter. ``source_id`` is the least
     id that has a group of the passage's chunks. Passages within one document do not count. Null and empty texts have none. Rows
-    whose id is null or repeated are left alone and give nothing, since no other row could be told to keep what they share.
+    whose id is null are left alone and give nothing, since they come before and after no other. Rows of one id take nothing from
+    one another; ``text_key``, a hash of the text, tells them apart, and equal ones have one result.
 
     Whole texts are cut twice. Digests are aggregated to their least and greatest document before they are shuffled; the
     join back is split where a digest is hot.
     """
     python_tasks(df.sparkSession)
     texts = pick(df, doc_id, text).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    texts = texts.where("doc_id is not null")
-    several = texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    texts = join_bounded(texts, staged(several, "repeated-ids"), ["doc_id"], "left_anti")
+    texts = texts.where("doc_id is not null").withColumn("key", F.xxhash64("text"))
     seen = texts.mapInArrow(_groups(cut, False), "digest long, doc long")
     firsts = seen.groupBy("digest").agg(F.min("doc").alias("source"), F.max("doc").alias("last")).where("source < last")
     firsts = staged(firsts.select("digest", "source"), "chunks")
-    placed = texts.mapInArrow(_groups(cut, True), "digest long, doc long, word int, after int")
-    again = placed.join(firsts, "digest").where("doc > source").select("doc", "word", "after", "source")
-    in_order = Window.partitionBy("doc").orderBy("word", "after")
+    placed = texts.mapInArrow(_groups(cut, True), "digest long, doc long, key long, word int, after int")
+    again = placed.join(firsts, "digest").where("doc > source").select("doc", "key", "word", "after", "source")
+    in_order = Window.partitionBy("doc", "key").orderBy("word", "after")
     so_far = F.max("after").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     # groups that only touch have no group over their border, so nothing says that they belong together
     begins = again.withColumn("new", F.when(F.col("word") < so_far, 0).otherwise(1))
     runs = begins.withColumn("run", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-    found = runs.groupBy("doc", "run").agg(
+    found = runs.groupBy("doc", "key", "run").agg(
         F.min("word").alias("first_word"), (F.max("after") - F.min("word")).alias("n_words"), F.min("source").alias("source_id")
     )
-    return found.where(F.col("n_words") >= cut.min_words).select(F.col("doc").alias("doc_id"), "first_word", "n_words", "source_id")
+    kept = found.where(F.col("n_words") >= cut.min_words)
+    return kept.select(F.col("doc").alias("doc_id"), F.col("key").alias("text_key"), "first_word", "n_words", "source_id")
 
 
 def _removed(text: bytes, spans: list[dict]) -> bytes:
@@ -157,15 +158,16 @@ def without_repeats(df: DataFrame, cut: Cut = Cut(), doc_id: str = "doc_id", tex
     """The frame with repeated passages cut out of its texts; all columns and rows stay, a text may become empty."""
     python_tasks(df.sparkSession)
     found = repeated_passages(df, cut, doc_id, text)
-    spans = staged(found.groupBy("doc_id").agg(F.collect_list(F.struct("first_word", "n_words")).alias("__spans")), "spans")
+    per_text = found.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    spans = staged(per_text.agg(F.collect_list(F.struct("first_word", "n_words")).alias("__spans")), "spans")
 
     @F.arrow_udf("binary")
     def removed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, found in batches:
             yield pa.array([_removed(t, s) if s else t for t, s in zip(texts.to_pylist(), found.to_pylist())], pa.binary())
 
-    marked = df.withColumn("__id", F.col(doc_id).cast("long"))
-    joined = join_bounded(marked, spans.withColumnRenamed("doc_id", "__id"), ["__id"])
+    marked = df.withColumns({"__id": F.col(doc_id).cast("long"), "__key": F.xxhash64(F.col(text).cast("binary"))})
+    joined = join_bounded(marked, spans, ["__id", "__key"])
     touched = F.col("__spans").isNotNull()
     changed = joined.where(touched).withColumn("__new", removed(F.col(text).cast("binary"), F.col("__spans")).cast("string"))
     kept = joined.where(~touched).withColumn("__new", F.col(text))

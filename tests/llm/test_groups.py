@@ -340,6 +340,30 @@ def test_passages_of_odd_and_empty_tables(odd, empty):
     assert substrings.without_repeats(empty).collect() == []
 
 
+def test_rows_of_one_id_share_passages_with_other_ids_only(spark):
+    passage, other = (" ".join(f"{k}{i * i}" for i in range(60)) for k in "ab")
+    rows = [(1, passage + " one"), (1, passage + " one"), (1, "x " + other), (2, "before " + passage + " after"), (2, other), (2, other), (None, passage)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.source_id) for r in substrings.repeated_passages(frame).collect()}
+    assert found == {(2, 1)}
+    cut = sorted(((r.doc_id or 0, len(r.text.split())) for r in substrings.without_repeats(frame).collect()))
+    assert [n for i, n in cut if i < 2] == [60, 61, 61, 61] and len(cut) == 7
+    assert all(n < 30 for i, n in cut if i == 2)
+
+
+def test_few_passages_of_fifty_words_are_lost(spark):
+    rng = np.random.default_rng(6)
+    rows, planted = [], []
+    for k in range(150):
+        passage = [f"{rng.integers(10**6):x}" for _ in range(51)]
+        for i in (k, 1000 + k):
+            own = [f"{rng.integers(10**6):x}" for _ in range(40)]
+            rows.append((i, " ".join(own[:17] + passage + own[17:])))
+        planted.append(1000 + k)
+    found = {r.doc_id for r in substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found <= set(planted) and len(found) >= 149
+
+
 # --- archives ---------------------------------------------------------------------------------------
 
 BIG = "<p>" + "ä" * 600 + "</p>"

@@ -15,7 +15,7 @@ def test_attributes_of_real_pages_are_no_labels(spark, value):
     rows = spark.createDataFrame([(1, page), (2, page.replace(f"data-label=\"{value}\"", "")), (3, None)], "page_id long, html string")
     found = {r.page_id: r.text for r in html.extract(rows).collect()}
     assert found[1] == found[2] and PROSE.strip() in found[1] and found[3] == ""
-    assert set(html.parse(page).label) == {-1} and 1 in html.parse('<div data-label="1"><p>x</p></div>', labelled=True).label
+    assert set(html.parse(page).label) == {-1} and 1 in html.parse(html.LabelledPage('<div data-label="1"><p>x</p></div>')).label
 
 
 def test_deep_and_unmatched_markup_in_linear_time():
