@@ -36,8 +36,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the words that the mix takes of each."""
-    return mixing.mix(docs)
+    """The mix: documents it takes, with how often (``repeats``) and how many words that is (``taken``); the others go."""
+    return mixing.mix(docs).where("repeats > 0")
 
 
 STAGES: list[tuple[str, Stage]] = [
