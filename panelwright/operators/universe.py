@@ -18,11 +18,12 @@ def base_universe(assets: DataFrame) -> DataFrame:
     )
 
 
-def membership(universe: DataFrame, holdings: DataFrame) -> DataFrame:
+def membership(universe: DataFrame, holdings: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Flags and ``in_universe`` for every (date, barrid) of the universe.
 
     On a date on which some universe asset is held, an asset's flags are its holding's, or false. On
-    other dates they carry on from the last such date, and before the first one they are null.
+    other dates they carry on from the last such date, and before the first one they are null, or what ``before`` says: the
+    flags of assets as of a date before all others (``date, barrid`` and the flags, a row per asset).
     """
     # holdings may list a security twice; either listing counts
     held = holdings.groupBy("date", "cusip").agg(*[F.max(f).alias(f) for f in FLAGS])
@@ -39,7 +40,12 @@ def membership(universe: DataFrame, holdings: DataFrame) -> DataFrame:
         *[F.when(F.col("rebalance"), F.coalesce(F.col(f), F.lit(False))).alias(f) for f in FLAGS],
     )
     # (date, barrid) is the key, so an asset has at most one row per session: no hot key is possible
+    if before is not None:
+        carried = before.select("date", "barrid", *FLAGS, F.lit(True).alias("__carried"))
+        dated = dated.withColumn("__carried", F.lit(False)).unionByName(carried)
     filled = forward_fill(dated, "barrid", "date", FLAGS, rows_per_range=None)
+    if before is not None:
+        filled = filled.where(~F.col("__carried"))
     return filled.withColumn("in_universe", F.col(FLAGS[0]) | F.col(FLAGS[1])).select(
         "date", "barrid", *FLAGS, "in_universe"
     )

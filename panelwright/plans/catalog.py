@@ -643,6 +643,17 @@ def index_flags_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return api.load_assets(store, date(1997, 1, 1), date(2000, 12, 31), columns, in_universe=True)
 
 
+@query
+def index_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same flags by three runs, each from the state that the one before it has left; the last one goes back a year."""
+    store, held = _store(spark), _holdings(spark, sf_dir)
+    store.upsert(ASSETS, _panel_assets(spark, sf_dir))
+    for start, end in ((date(1995, 1, 1), date(1996, 2, 10)), (date(1996, 2, 11), date(1998, 3, 1)), (date(1997, 3, 1), date(1999, 12, 31))):
+        index.increment(store, held, start, end)
+    columns = ["date", "barrid", "russell_1000", "russell_2000", "in_universe", "price"]
+    return api.load_assets(store, date(1997, 1, 1), date(2000, 12, 31), columns, in_universe=True)
+
+
 @query
 def panel_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A date range of stored rows; the years outside are pruned."""

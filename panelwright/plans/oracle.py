@@ -209,6 +209,7 @@ SELECT flags.date, flags.barrid, russell_1000, russell_2000, TRUE AS in_universe
 FROM flags JOIN assets ON assets.date = flags.date AND assets.barrid = flags.barrid
 WHERE flags.date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31' AND (russell_1000 OR russell_2000)
 """
+ORACLE["index_increments"] = ORACLE["index_flags_job"]
 ORACLE["panel_load"] = f"""
 WITH {_ASSETS} SELECT date, barrid, cusip, price FROM assets WHERE date BETWEEN DATE '1996-05-01' AND DATE '1998-02-28'
 """

@@ -146,6 +146,8 @@ ASSETS = table(
 EXPOSURES = table("exposures", "date barrid", f"date date, barrid string, {_factor_ddl()}")
 COVARIANCES = table("covariances", "date factor_1", f"date date, factor_1 string, {_factor_ddl()}")
 FACTOR_RETURNS = table("factors", "date", f"date date, {_factor_ddl()}")
+#: Last known index flags of each asset at the end of a run: where the next one goes on. Not one of the declared tables.
+INDEX_STATE = table("index_state", "date barrid", "date date, barrid string, russell_1000 boolean, russell_2000 boolean")
 CRSP_EVENTS = table(
     "crsp_events", "date permno", "date date, permno bigint, ticker string, shrcd bigint, exchcd bigint"
 )

@@ -272,3 +272,36 @@ def test_a_run_that_broke_off_goes_on_with_the_step_it_had_reached(jobs, monkeyp
     assert len(done) == 4
     composite.risk_model_daily(jobs, run="tomorrow")
     assert len(done) == 7
+
+
+def test_matrix_job_fails_on_a_missing_column(spark):
+    raw = spark.createDataFrame([], sp.RISK_DATA.raw)
+    assert "specific_risk" in risk.named(raw, sp.RISK_DATA).columns
+    with pytest.raises(Exception, match="SpecRisk"):
+        risk.named(raw.drop("SpecRisk%"), sp.RISK_DATA)
+
+
+def test_index_increments_go_on_from_the_state_and_leave_old_years_alone(spark, tmp_path):
+    from panelwright.plans import index
+
+    days = [date(y, m, d) for y in (2021, 2022, 2023) for m in (3, 6, 9) for d in (1, 15)]
+    names = ["A", "B", "C"]
+    assets = [(d, b, b, "USA", "c" + b) for d in days for b in names if (b, d.year) != ("C", 2022)]
+    held = [(date(2021, 3, 15), "cA", "Y", "N"), (date(2021, 9, 1), "cB", None, "Y"), (date(2021, 9, 1), "cC", "Y", None), (date(2023, 6, 1), "cA", "N", "Y")]
+    holdings = spark.createDataFrame(held, index.HOLDINGS)
+    columns = "date date, barrid string, rootid string, iso_country_code string, cusip string"
+    found = []
+    for cuts in ([], [date(2021, 12, 31), date(2022, 7, 1)], days[2:-1:3]):
+        store = PanelStore(spark, f"{tmp_path}/{len(cuts)}")
+        store.upsert(sp.ASSETS, spark.createDataFrame(assets, columns))
+        if cuts:
+            for a, b in zip([date(2021, 1, 1), *[date.fromordinal(c.toordinal() + 1) for c in cuts]], [*cuts, date(2023, 12, 31)]):
+                if b.year == 2023 and a.year > 2021:  # an unreadable file would be noticed
+                    with open(f"{store.path(sp.ASSETS)}/year=2021/part-x.parquet", "w") as bad:
+                        bad.write("no parquet")
+                index.increment(store, holdings, a, b)
+        else:
+            index.backfill(store, holdings, date(2021, 1, 1), date(2023, 12, 31))
+        kept = store.between(sp.ASSETS, date(2022, 1, 1), date(2023, 12, 31)).select("date", "barrid", "russell_1000", "russell_2000", "in_universe")
+        found.append(sorted(map(tuple, kept.collect())))
+    assert found[0] == found[1] == found[2] and any(r[2] for r in found[0])

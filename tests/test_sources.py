@@ -163,3 +163,28 @@ def test_listing_names_absent_members_and_skips_absent_archives(spark, tmp_path)
     assert found[0][0][2] == 0 < found[2][0][2]
     with pytest.raises(Exception, match="gone"):
         archive._scan(spark, root, RETURNS_DATA, found[0]).collect()
+
+
+def test_stream_offsets_are_digests_with_a_log(spark, tmp_path):
+    root, log = str(tmp_path / "root"), tmp_path / "log"
+    options = {"root": root, "archives": f'["{RETURNS_DATA.daily_folder}/*.zip"]', "memberPrefix": RETURNS_DATA.member + ".", "log": str(log)}
+    reader = archive.ArchiveStreamReader(RETURNS_DATA.raw, options)
+    assert reader.latestOffset() == {} == reader.initialOffset()
+    offsets = [{}]
+    for d in D:
+        put_daily(root, RETURNS_DATA, d, [row("A", d)])
+        offsets.append(reader.latestOffset())
+        assert len(str(offsets[-1])) < 100 and reader.latestOffset() == offsets[-1]
+
+    def fresh(start, end):
+        return [os.path.basename(path) for p in reader.partitions(start, end) for path, _ in p.members]
+
+    names = [os.path.basename(RETURNS_DATA.daily_archive(d)) for d in D]
+    assert fresh({}, offsets[3]) == names and fresh(offsets[1], offsets[3]) == names[1:] and fresh(offsets[3], offsets[3]) == []
+    for k, path in enumerate(sorted(log.glob("*.json"), key=lambda p: p.stat().st_size)):
+        os.utime(path, (k, k))
+    reader.commit(offsets[2])
+    assert {p.stem for p in log.glob("*.json")} == {offsets[2]["state"], offsets[3]["state"]}
+    # a new reader, as after a restart, goes on from what was committed
+    reader = archive.ArchiveStreamReader(RETURNS_DATA.raw, options)
+    assert fresh(offsets[2], reader.latestOffset()) == names[2:]

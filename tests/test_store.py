@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwright.operators.asof import RightSide
-from panelwright.specs import TABLES, table
+from panelwright.specs import ASSETS, TABLES, table
 from panelwright.store import Change, PanelStore
 
 SPEC = table("panel", "date barrid", "date date, barrid string, price double, name string")
@@ -113,3 +113,20 @@ def test_declared_tables(spark, store):
     assert tuple(store.read(signals).first()) == (A, "x", "mom", 1.0, 2.0, None)
     with pytest.raises(ValueError):
         PanelStore(spark, "/tmp/none", "elsewhere")
+
+
+def test_the_row_that_arrived_last_wins(spark, tmp_path):
+    """A correction counts also if its values are lower or null; without arrival columns the greatest row is taken."""
+    store = PanelStore(spark, str(tmp_path))
+    schema = "date date, barrid string, price double, _archive string, _member string, _line long"
+    day = date(2024, 1, 2)
+    rows = [
+        (day, "A", 9.0, "a_240102.zip", "m.1", 1), (day, "A", 3.0, "a_240102.zip", "m.1", 7), (day, "A", 5.0, "a_240102.zip", "m.1", 2),
+        (day, "B", 9.0, "a_240102.zip", "m.1", 50), (day, "B", 2.0, "a_240103.zip", "m.1", 0),
+        (day, "C", 1.0, "a_240102.zip", "m.2", 0), (day, "C", 8.0, "a_240102.zip", "m.1", 9),
+    ]
+    store.upsert(ASSETS, spark.createDataFrame(rows, schema).repartition(3))
+    assert {r.barrid: r.price for r in store.read(ASSETS).collect()} == {"A": 3.0, "B": 2.0, "C": 1.0}
+    assert "_archive" not in store.read(ASSETS).columns
+    store.upsert(ASSETS, spark.createDataFrame(rows, schema).drop("_archive", "_member", "_line"))
+    assert {r.barrid: r.price for r in store.read(ASSETS).collect()} == {"A": 9.0, "B": 9.0, "C": 8.0}
