@@ -77,14 +77,21 @@ def chunk_groups(ends: np.ndarray, together: int) -> list[tuple[int, int]]:
 
     With pairs of neighbours that have as many words each, they cover every chunk and every border within a run of that many words.
     """
-    starts = np.append(0, ends[:-1]) if len(ends) else ends
+    return list(zip(*(x.tolist() for x in _group_bounds(ends, together))))
+
+
+def _group_bounds(ends: np.ndarray, together: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``chunk_groups``, in two arrays."""
+    n = len(ends)
+    starts = np.append(0, ends[:-1]) if n else ends
     last = np.searchsorted(ends, starts + together)
-    onward = [(a, int(ends[k])) for a, k in zip(starts.tolist(), last.tolist()) if k < len(ends)]
     first = np.searchsorted(starts, ends - together, side="right") - 1
-    back = [(int(starts[k]), b) for b, k in zip(ends.tolist(), first.tolist()) if k >= 0]
     long = ends - starts >= together
-    pairs = [(int(starts[k]), int(ends[k + 1])) for k in np.flatnonzero(long[:-1] & long[1:]).tolist()]
-    return sorted({*onward, *back, *pairs})
+    pair = np.flatnonzero(long[:-1] & long[1:])
+    begin = np.concatenate([starts[last < n], starts[first[first >= 0]], starts[pair]])
+    end = np.concatenate([ends[last[last < n]], ends[first >= 0], ends[pair + 1]])
+    both = np.unique(begin.astype(np.int64) << 32 | end)
+    return both >> 32, both & 0xFFFFFFFF
 
 
 def _groups(cut: Cut, places: bool):
@@ -96,11 +103,16 @@ def _groups(cut: Cut, places: bool):
                 digests, docs, keys, at = [], [], [], []
                 for doc, key, text in zip(part.column("doc_id").to_pylist(), part.column("key").to_pylist(), part.column("text")):
                     words = (text.as_py() or b"").split()
-                    groups = chunk_groups(chunk_ends(words, cut), min(cut.together, cut.min_words))
-                    digests += [xxh3_64_intdigest(b" ".join(words[a:b])) for a, b in groups]
-                    docs.append(np.full(len(groups), doc, np.int64))
-                    keys.append(np.full(len(groups), key, np.int64))
-                    at.append(np.array(groups, np.int32).reshape(-1, 2).T)
+                    begin, end = _group_bounds(chunk_ends(words, cut), min(cut.together, cut.min_words))
+                    joined = b" ".join(words)
+                    # where each word begins
+                    place = np.cumsum(np.fromiter((len(w) + 1 for w in words), np.int64, len(words)))
+                    place = np.append(0, place)
+                    bounds = zip(place[begin].tolist(), (place[end] - 1).tolist())
+                    digests += [xxh3_64_intdigest(joined[a:b]) for a, b in bounds]
+                    docs.append(np.full(len(begin), doc, np.int64))
+                    keys.append(np.full(len(begin), key, np.int64))
+                    at.append(np.stack([begin, end]).astype(np.int32))
                 columns = [np.array(digests, np.uint64).view(np.int64), np.concatenate(docs)]
                 names = ["digest", "doc"]
                 if places:
