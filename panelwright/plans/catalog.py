@@ -80,17 +80,6 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _upper_triangle(vectors: DataFrame, panel: list[str]) -> DataFrame:
-    """Sample covariances of the vector positions, one triangle; pairs are made within a vector and summed map-side."""
-    first = vectors.select(*panel, "x", F.posexplode("x").alias("factor_1", "__v1"))
-    pairs = first.select(
-        *panel, "factor_1", "__v1",
-        F.posexplode(F.slice("x", F.col("factor_1") + 1, F.size("x") - F.col("factor_1"))).alias("__off", "__v2"),
-    )
-    placed = pairs.withColumn("factor_2", F.col("factor_1") + F.col("__off"))
-    return placed.groupBy(*panel, "factor_1", "factor_2").agg(F.covar_samp("__v1", "__v2").alias("covariance"))
-
-
 def _positions(vectors: DataFrame) -> list[int]:
     """0 .. width - 1 of the vectors, which must all be of one length."""
     least, most = vectors.agg(F.min(F.size("x")), F.max(F.size("x"))).first()
@@ -99,10 +88,10 @@ def _positions(vectors: DataFrame) -> list[int]:
     return list(range(most))
 
 
-def _cov_cells(vectors: DataFrame, panel: list[str]) -> DataFrame:
-    kernel = M.factor_matrix(_upper_triangle(vectors, panel), _positions(vectors), panel)
+def _cov_cells(vectors: DataFrame, panel: list[str], asset: str = "id") -> DataFrame:
+    gram = M.sample_covariance(vectors, panel)
     risky = vectors.withColumn("variance", S.squared(S.from_percent(F.col("specific_risk"))))
-    return M.asset_covariance(risky, kernel, panel)
+    return M.asset_covariance(risky, gram, panel, asset, sizes=gram)
 
 
 @query
@@ -123,7 +112,7 @@ def cov_submatrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir)
     labels = [r[0] for r in FR.distinct_sorted(vectors, "label").collect()]
     chosen = vectors.groupBy("label").agg(F.max("id").alias("id"))
-    kernel = M.factor_matrix(_upper_triangle(vectors, []), _positions(vectors))
+    kernel = M.sample_covariance(vectors)
     risky = vectors.withColumn("variance", S.squared(S.from_percent(F.col("specific_risk")))).drop("label")
     names = chosen.select("id", F.concat(F.lit("l"), "label").alias("ticker"))
     named = M.relabel(FR.keep_members(risky, chosen, "id"), names, "id")
@@ -133,18 +122,17 @@ def cov_submatrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cov_relabel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids become names where one is known: documents of known quality name the vector with their id."""
+    """Ids become names where one is known, before the product: documents of known quality name the vector with their id."""
     vectors = _vectors(spark, sf_dir)
     known = _t(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("id"))
     names = known.select("id", F.concat(F.lit("doc-"), "id").alias("ticker"))
-    cells = _cov_cells(vectors, ["label"])
-    named = M.relabel_cells(cells, names, "id")
-    return named.select("label", "ticker_i", "ticker_j", F.round("value", 6).alias("value"))
+    cells = _cov_cells(M.relabel(vectors, names, "id"), ["label"], "ticker")
+    return cells.select("label", F.col("id_i").alias("ticker_i"), F.col("id_j").alias("ticker_j"), F.round("value", 6).alias("value"))
 
 
 @query
 def symmetric_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = M.symmetric_fill(_upper_triangle(_vectors(spark, sf_dir), []))
+    filled = M.symmetric_fill(M.covariance_cells(M.sample_covariance(_vectors(spark, sf_dir))))
     return filled.select("factor_1", "factor_2", F.round("covariance", 8).alias("covariance"))
 
 
