@@ -23,9 +23,10 @@ from panelwright.functions import frames as FR
 from panelwright.functions import scalars as S
 from panelwright.plans import api, composite, prices, risk
 from panelwright.plans import vendor as V
-from panelwright.plans.catalog import QUERIES, _day, _price_source, _store, _sum, _t, query
+from panelwright.plans.catalog import ORDER_PANEL, QUERIES, _day, _price_source, _store, _sum, _t, query
 from panelwright.session import ship_package, shared_path
 from panelwright.sources import archive, objects
+from panelwright.store import PanelStore
 from panelwright.streaming.incremental import start_feed
 
 TODAY = date(1999, 6, 15)
@@ -524,3 +525,32 @@ def price_backfill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 JOB_QUERIES = {n: q for n, q in QUERIES.items() if q.__module__ == __name__}
+
+
+# --- rewrites by file -------------------------------------------------------------------------------
+
+
+@query
+def one_day_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders are stored, then the prices of the busiest day come again. ``file`` says what became of each row's file: rows of
+    the day are in new ones, those of other years in the files of before, and ``near`` of the same year in either. Of all files
+    no more are new than the day's rows fill, and one at either end."""
+    per_file = 500
+    store = PanelStore(spark, shared_path(spark, "store"), rows_per_file=per_file)
+    orders = _t(spark, sf_dir, "orders").select(
+        _day("o_orderdate").alias("date"), "o_orderkey", "o_custkey", F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority")
+    )
+    store.upsert(ORDER_PANEL, orders)
+    before = store.file_names(ORDER_PANEL)
+    day, n = orders.groupBy("date").count().orderBy(F.desc("count"), "date").first()
+    again = orders.where(F.col("date") == day).select("date", "o_orderkey", F.round(F.col("price") * 2, 2).alias("price"))
+    store.upsert(ORDER_PANEL, again)
+    rows = store.read(ORDER_PANEL).withColumn("path", F.substring_index("_metadata.file_path", "/", -2))
+    # as many names as the table has files
+    names = spark.createDataFrame([(p,) for p in before], "path string")
+    gone = len(set(before) - set(store.file_names(ORDER_PANEL)))
+    marked = rows.join(names.withColumn("old", F.lit(True)), "path", "left").withColumn("old", F.col("old").isNotNull())
+    year = F.year("date") == day.year
+    file = F.when(F.col("date") == day, F.when(F.col("old"), "old").otherwise("new")).when(year, "near").when(F.col("old"), "kept").otherwise("rewritten")
+    few = F.lit(1 <= gone <= n // per_file + 2)
+    return marked.select("date", "o_orderkey", "o_custkey", "price", "priority", file.alias("file"), few.alias("few_rewritten"))

@@ -110,3 +110,10 @@ SELECT date, permno, cusip, prc, vol, askhi, CASE WHEN date BETWEEN DATE '1996-0
        CASE WHEN date BETWEEN DATE '1996-07-01' AND DATE '1999-03-31' THEN n END AS shrcd
 FROM p WHERE year(date) BETWEEN 1996 AND 1999
 """
+ORACLE["one_day_upsert"] = """
+WITH o AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders),
+d AS (SELECT date AS day FROM o GROUP BY date ORDER BY count(*) DESC, date LIMIT 1)
+SELECT date, o_orderkey, o_custkey, CASE WHEN date = day THEN round(o_totalprice * 2, 2) ELSE o_totalprice END AS price,
+       o_orderpriority AS priority, CASE WHEN date = day THEN 'new' WHEN year(date) = year(day) THEN 'near' ELSE 'kept' END AS file, true AS few_rewritten
+FROM o, d
+"""

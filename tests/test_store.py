@@ -1,8 +1,9 @@
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from panelwright.files import Files, StaleTable
 from panelwright.operators.asof import RightSide
 from panelwright.specs import ASSETS, TABLES, table
 from panelwright.store import Change, PanelStore
@@ -130,3 +131,65 @@ def test_the_row_that_arrived_last_wins(spark, tmp_path):
     assert "_archive" not in store.read(ASSETS).columns
     store.upsert(ASSETS, spark.createDataFrame(rows, schema).drop("_archive", "_member", "_line"))
     assert {r.barrid: r.price for r in store.read(ASSETS).collect()} == {"A": 9.0, "B": 9.0, "C": 8.0}
+
+
+def days(spark, first, n, price):
+    ids = spark.range(n * 50).select(F.date_add(F.lit(first), (F.col("id") / 50).cast("int")).alias("date"), F.format_string("a%02d", F.col("id") % 50).alias("barrid"))
+    return ids.withColumns({"price": F.lit(price), "name": F.lit(None).cast("string")})
+
+
+def test_one_day_rewrites_only_files_it_reaches(spark, tmp_path):
+    store = PanelStore(spark, str(tmp_path), rows_per_file=200)
+    store.upsert(SPEC, days(spark, date(2023, 1, 2), 40, 1.0))
+    before = files(store)
+    assert len(before) >= 10
+    store.upsert(SPEC, days(spark, date(2023, 1, 10), 1, 7.0))
+    assert 1 <= len(before - files(store)) <= 2
+    after = store.read(SPEC).groupBy("date").agg(F.count("*").alias("n"), F.sum("price").alias("s")).collect()
+    assert {r.date: (r.n, r.s) for r in after} == {date(2023, 1, 2) + timedelta(i): (50, 350.0 if i == 8 else 50.0) for i in range(40)}
+    # a day beyond all others touches nothing; one asset of a day reaches only the file that holds it
+    before = files(store)
+    store.upsert(SPEC, days(spark, date(2023, 6, 1), 1, 1.0))
+    store.update(SPEC, frame(spark, (date(2023, 6, 1), "zz", 1.0, None)))
+    assert before < files(store)
+    before = files(store)
+    store.update(SPEC, frame(spark, (date(2023, 1, 20), "a07", 9.0, None)))
+    assert len(before - files(store)) == 1
+    plan = store.between(SPEC, date(2023, 6, 1), date(2023, 6, 1)).select("_metadata.file_path").distinct()
+    assert plan.count() == 1 and len(store.between(SPEC, date(2023, 6, 1), date(2023, 6, 1)).inputFiles()) == 1
+
+
+def test_of_two_writers_the_later_fails_and_leaves_nothing(spark, store):
+    store.upsert(SPEC, frame(spark, (A, "x", 1.0, None)))
+    base, _order = store._files(SPEC)
+    store.upsert(SPEC, frame(spark, (A, "x", 2.0, None)))
+    before = files(store)
+    with pytest.raises(StaleTable):
+        store._rewrite(SPEC, base, {f.path for f in base.files}, frame(spark, (A, "x", 3.0, None)))
+    assert files(store) == before and rows(store) == [(A, "x", 2.0, None)]
+    # the name itself is refused, if both come to it at once
+    lists = Files(spark, store.path(SPEC))
+    now = lists.latest()
+    late = Files(spark, store.path(SPEC))
+    late.numbers = lambda: [now.number - 1]
+    with pytest.raises(StaleTable):
+        late.publish(now)
+    assert lists.latest() == now
+
+
+def test_folder_without_a_list_and_old_lists(spark, store):
+    """Years written by something else are taken up by the first write; only some lists are kept."""
+    given = frame(spark, (A, "x", 1.0, None), (B, "x", 2.0, None))
+    given.withColumn("year", F.year("date")).write.partitionBy("year").parquet(store.path(SPEC))
+    assert store.years(SPEC) == [2022, 2023] and store.between(SPEC, A, A).count() == 1 and store.read(SPEC, 2023).count() == 1
+    for i in range(13):
+        store.update(SPEC, frame(spark, (A, "x", float(i), None)))
+    assert rows(store) == [(A, "x", 12.0, None), (B, "x", 2.0, None)]
+    lists = Files(spark, store.path(SPEC))
+    assert lists.latest().number == 13 and len(lists.numbers()) <= 11
+
+
+def test_keys_without_the_date_reach_the_whole_year(spark, store):
+    store.upsert(SPEC, frame(spark, (A, "x", 1.0, None), (date(2022, 9, 1), "x", 1.0, None), (B, "x", 1.0, None)))
+    store.update(SPEC, frame(spark, (date(2022, 1, 3), "x", 4.0, None)).drop("name"), keys=["barrid"])
+    assert sorted((r[0].year, r[2]) for r in rows(store)) == [(2022, 4.0), (2022, 4.0), (2023, 1.0)]
