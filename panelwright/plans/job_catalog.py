@@ -474,6 +474,25 @@ def daily_matrix_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).select("date", "ticker_i", "ticker_j", F.round("value", 6).alias("value"))
 
 
+@query
+def daily_submatrix_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily matrix kept as blocks, and of it the cells between each market segment's customer who ordered last."""
+    vendor = Vendor(spark, sf_dir)
+    target = shared_path(spark, "matrix")
+    session = risk.daily_matrix_blocks(spark, _daily_matrix_tree(vendor), vendor.calendar, TODAY, target, block_size=16)
+    asset = _newest_per_segment(spark, sf_dir)
+    # one name per segment
+    tickers = [r[0] for r in asset.select(F.concat(F.lit("T"), "custkey")).collect()]
+    return risk.submatrix(spark, target, session, tickers).select("date", "ticker_i", "ticker_j", F.round("value", 6).alias("value"))
+
+
+def _newest_per_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``custkey`` of the customer of each market segment who was the last to order before today; of several the least."""
+    last = _t(spark, sf_dir, "orders").where(_day("o_orderdate") < F.lit(TODAY)).groupBy(F.col("o_custkey").alias("custkey")).agg(F.max(_day("o_orderdate")).alias("day"))
+    placed = last.join(_t(spark, sf_dir, "customer"), F.col("custkey") == F.col("c_custkey"))
+    return placed.groupBy("c_mktsegment").agg(F.max_by("custkey", F.struct("day", -F.col("custkey"))).alias("custkey"))
+
+
 # --- corrections and streams ------------------------------------------------------------------------
 
 

@@ -117,3 +117,10 @@ SELECT date, o_orderkey, o_custkey, CASE WHEN date = day THEN round(o_totalprice
        o_orderpriority AS priority, CASE WHEN date = day THEN 'new' WHEN year(date) = year(day) THEN 'near' ELSE 'kept' END AS file, true AS few_rewritten
 FROM o, d
 """
+ORACLE["daily_submatrix_job"] = f"""
+WITH newest_of AS (
+  SELECT 'T' || arg_max(custkey, (day, -custkey)) AS t
+  FROM (SELECT o_custkey AS custkey, max(CAST(o_orderdate AS DATE)) AS day FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '1999-06-15' GROUP BY 1)
+  JOIN customer ON custkey = c_custkey GROUP BY c_mktsegment)
+SELECT * FROM ({ORACLE["daily_matrix_job"]}) WHERE ticker_i IN (SELECT t FROM newest_of) AND ticker_j IN (SELECT t FROM newest_of)
+"""

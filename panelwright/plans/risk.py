@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.frames import keep_members, rename_all
 from panelwright.functions.scalars import from_percent_squared, in_force, replace_first
+from panelwright.operators.block_store import read_submatrix, write_blocks
 from panelwright.operators.calendar import session_list
 from panelwright.operators.keyed import dedupe_latest
 from panelwright.operators.matrix import (
@@ -68,12 +69,12 @@ def matrix_assets(identity: DataFrame, ids: DataFrame, on_date: date) -> DataFra
     return tickers.join(listed.select("barrid").distinct(), "barrid")
 
 
-def matrix_cells(
+def matrix_blocks(
     staging: Staging, archive_root: str, on_date: date, block_size: int = BLOCK_SIZE
 ) -> DataFrame:
-    """Long cells ``date, ticker_i, ticker_j, value`` of the matrix of one session.
+    """Blocks of the matrix of one session, between tickers.
 
-    What is used more than once goes through ``staging``; the cells can be read until it is left.
+    What is used more than once goes through ``staging``; the blocks can be read until it is left.
     """
     spark = staging.spark
 
@@ -91,7 +92,14 @@ def matrix_cells(
     rated = with_variance(exposures.select("date", "barrid", x), risk, ["date", "barrid"])
     vectors = staging.put(relabel(rated, assets))
     kernel = factor_matrix(known_factors(covariances, FACTORS), FACTORS, ["date"])
-    cells = long_cells(asset_covariance_blocks(vectors, kernel, ["date"], "ticker", block_size), ["date"])
+    return asset_covariance_blocks(vectors, kernel, ["date"], "ticker", block_size)
+
+
+def matrix_cells(
+    staging: Staging, archive_root: str, on_date: date, block_size: int = BLOCK_SIZE
+) -> DataFrame:
+    """As ``matrix_blocks``, in long cells ``date, ticker_i, ticker_j, value``."""
+    cells = long_cells(matrix_blocks(staging, archive_root, on_date, block_size), ["date"])
     return cells.withColumnsRenamed({"id_i": "ticker_i", "id_j": "ticker_j"})
 
 
@@ -112,3 +120,24 @@ def daily_matrix(
     with Staging(spark) as staging:
         write_parquet(matrix_cells(staging, archive_root, session, block_size), target, "date")
     return session
+
+
+def daily_matrix_blocks(
+    spark: SparkSession,
+    archive_root: str,
+    calendar: DataFrame,
+    today: date,
+    target: str,
+    block_size: int = BLOCK_SIZE,
+) -> date:
+    """As ``daily_matrix``, kept as blocks with an index: a half of the cells, no ids per cell, and ``submatrix`` opens only some."""
+    (session,) = session_list(calendar, today, 1)
+    with Staging(spark) as staging:
+        write_blocks(matrix_blocks(staging, archive_root, session, block_size), target, F.col("date") == F.lit(session))
+    return session
+
+
+def submatrix(spark: SparkSession, target: str, on_date: date, tickers: Sequence[str]) -> DataFrame:
+    """Long cells ``date, ticker_i, ticker_j, value`` between some tickers, from what ``daily_matrix_blocks`` wrote."""
+    cells = read_submatrix(spark, target, tickers, F.col("date") == F.lit(on_date))
+    return cells.withColumnsRenamed({"id_i": "ticker_i", "id_j": "ticker_j"})
