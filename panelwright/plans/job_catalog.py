@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from panelwright import specs as sp
 from panelwright.functions import frames as FR
 from panelwright.functions import scalars as S
+from panelwright.operators.reshape import unpivot_panel
 from panelwright.plans import api, composite, prices, risk
 from panelwright.plans import vendor as V
 from panelwright.plans.catalog import ORDER_PANEL, QUERIES, _day, _price_source, _store, _sum, _t, query
@@ -429,19 +430,37 @@ def _matrix_root(vendor: Vendor) -> str:
 def risk_model_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Covariances between one day's universe members, from stored tables, as cells."""
     vendor = Vendor(spark, sf_dir)
+    session = _store_matrix_tables(vendor)
+    members = api.load_assets_by_date(vendor.store, session, ["barrid", "ticker"], in_universe=True)
+    cells = api.construct_covariance_matrix(vendor.store, session, members)
+    return cells.select("date", "id_i", "id_j", F.round("value", 6).alias("value"))
+
+
+@query
+def matrix_by_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide matrix of a list of tickers, one of each market segment and one that is no member; its cells as rows."""
+    vendor = Vendor(spark, sf_dir)
+    session = _store_matrix_tables(vendor)
+    # one name per segment
+    tickers = [str(r[0]) for r in _newest_per_segment(spark, sf_dir).select("custkey").collect()] + ["nobody"]
+    wide = api.covariance_by_ticker(vendor.store, session, tickers)
+    cells = unpivot_panel(wide, ["ticker"], sorted(tickers), "other", "value")
+    return cells.select("ticker", "other", F.round("value", 6).alias("value"))
+
+
+def _store_matrix_tables(vendor: Vendor) -> date:
+    """Exposures, covariances and assets of the newest session, all of its assets universe members; returns the session."""
     root = _matrix_root(vendor)
     (session,) = vendor.jobs(root).sessions(1)
     move = {"daily_folder": "bime"}
     feeds = [(V.EXPOSURE_FEED, "exposures"), (V.COVARIANCE_FEED, "model")]
     for feed, folder in feeds:
-        raw = archive.scan_sessions(spark, f"{root}/{folder}", feed.data.moved(**move), [session])
+        raw = archive.scan_sessions(vendor.spark, f"{root}/{folder}", feed.data.moved(**move), [session])
         vendor.store.apply(feed.table, [feed.change(raw)])
-    risks = V.clean(archive.scan_sessions(spark, f"{root}/risk", sp.RISK_DATA.moved(**move), [session]))
+    risks = V.clean(archive.scan_sessions(vendor.spark, f"{root}/risk", sp.RISK_DATA.moved(**move), [session]))
     listed = risks.withColumns({"ticker": S.replace_first(F.col("barrid"), "USA"), "in_universe": F.lit(True)})
     vendor.store.upsert(sp.ASSETS, listed)
-    members = api.load_assets_by_date(vendor.store, session, ["barrid", "ticker"], in_universe=True)
-    cells = api.construct_covariance_matrix(vendor.store, session, members)
-    return cells.select("date", "id_i", "id_j", F.round("value", 6).alias("value"))
+    return session
 
 
 def _daily_matrix_tree(vendor: Vendor) -> str:

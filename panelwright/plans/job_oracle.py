@@ -124,3 +124,10 @@ WITH newest_of AS (
   JOIN customer ON custkey = c_custkey GROUP BY c_mktsegment)
 SELECT * FROM ({ORACLE["daily_matrix_job"]}) WHERE ticker_i IN (SELECT t FROM newest_of) AND ticker_j IN (SELECT t FROM newest_of)
 """
+ORACLE["matrix_by_ticker"] = f"""
+WITH newest_of AS (
+  SELECT CAST(arg_max(custkey, (day, -custkey)) AS VARCHAR) AS t
+  FROM (SELECT o_custkey AS custkey, max(CAST(o_orderdate AS DATE)) AS day FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '1999-06-15' GROUP BY 1)
+  JOIN customer ON custkey = c_custkey GROUP BY c_mktsegment)
+SELECT id_i AS ticker, id_j AS other, value FROM ({ORACLE["risk_model_matrix"]}) WHERE id_i IN (SELECT t FROM newest_of) AND id_j IN (SELECT t FROM newest_of)
+"""

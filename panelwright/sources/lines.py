@@ -21,8 +21,9 @@ def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "line", se
     So does a line with more or fewer fields than the schema, or an unclosed quote. Only a line that starts with ``marker``
     may be short; it gives nulls for the missing fields.
     """
-    # with quoted parts out of the way, what separators are left part the fields
-    bare = F.regexp_replace(quoted(column), '"(?:[^"]|"")*"', "")
+    # with quoted parts out of the way, what separators are left part the fields; most lines have none, and a search is cheap
+    parted = F.regexp_replace(quoted(column), '"(?:[^"]|"")*"', "")
+    bare = F.when(F.contains(quoted(column), F.lit('"')), parted).otherwise(quoted(column))
     width = F.length(bare) - F.length(F.replace(bare, F.lit(separator), F.lit(""))) + len(separator)
     whole = (width == len(separator) * len(schema.fields)) & ~F.contains(bare, F.lit('"'))
     whole = whole | F.startswith(quoted(column), F.lit(marker)) | quoted(column).isNull()
