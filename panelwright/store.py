@@ -188,9 +188,12 @@ class PanelStore:
         by = list(map(quoted, dict.fromkeys(["date", *spec.keys])))
         folder = f"{self.path(spec)}/_new-{uuid.uuid4().hex}"
         writer = placed.repartitionByRange(*by).sortWithinPartitions(YEAR, *by).write
-        writer.option("maxRecordsPerFile", self.rows_per_file).partitionBy(YEAR).parquet(folder)
         files = Files(self.spark, self.path(spec))
-        files.switch(base, touched, folder, key_order(spec.keys, spec.schema), _with_year(spec))
+        try:
+            writer.option("maxRecordsPerFile", self.rows_per_file).partitionBy(YEAR).parquet(folder)
+            files.switch(base, touched, folder, key_order(spec.keys, spec.schema), _with_year(spec))
+        finally:
+            files.remove(folder)
 
     def stored_spec(self, spec: TableSpec) -> TableSpec:
         """The declared table with the columns that as-of updates have added to the stored one."""

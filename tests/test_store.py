@@ -1,3 +1,4 @@
+import os
 from datetime import date, timedelta
 
 import pytest
@@ -193,3 +194,16 @@ def test_keys_without_the_date_reach_the_whole_year(spark, store):
     store.upsert(SPEC, frame(spark, (A, "x", 1.0, None), (date(2022, 9, 1), "x", 1.0, None), (B, "x", 1.0, None)))
     store.update(SPEC, frame(spark, (date(2022, 1, 3), "x", 4.0, None)).drop("name"), keys=["barrid"])
     assert sorted((r[0].year, r[2]) for r in rows(store)) == [(2022, 4.0), (2022, 4.0), (2023, 1.0)]
+
+
+def test_a_write_that_fails_leaves_the_table_as_it_was(spark, store):
+    store.upsert(SPEC, frame(spark, (A, "x", 1.0, None), (B, "x", 1.0, None)))
+    base, _order = store._files(SPEC)
+    before = files(store)
+    bad = frame(spark, (A, "x", 2.0, None), (B, "x", 3.0, None)).withColumn("price", F.when(F.col("price") < 3, F.col("price")).otherwise(F.raise_error(F.lit("no price"))))
+    with pytest.raises(Exception, match="no price"):
+        store._rewrite(SPEC, base, {f.path for f in base.files}, bad)
+    assert files(store) == before and [r[2] for r in rows(store)] == [1.0, 1.0]
+    assert not [n for n in os.listdir(store.path(SPEC)) if n.startswith("_new")]
+    store.upsert(SPEC, frame(spark, (A, "x", 5.0, None)))
+    assert [r[2] for r in rows(store)] == [5.0, 1.0]
