@@ -77,6 +77,24 @@ def test_mining_of_equal_vectors(spark, monkeypatch):
     assert mined(spark, rows, job) == brute_mine(rows, job)
 
 
+def test_mining_of_large_components(spark):
+    """Scores beyond what floating point holds, and ranges whose hundredfold is beyond it, to the last unit."""
+    big = [(i, l, [1000.0 * x for x in v]) for i, l, v in random_rows(200, spread=False)]
+    wide = [(i, l, [3e5 * x for x in v]) for i, l, v in random_rows(200, seed=3, spread=False)]
+    edge = []
+    for k in range(8):
+        a, p = [(1 << 23) + 2 * k + 1, 1], [(1 << 23) + 77777 * k + 13, 5 * k]
+        score = a[0] * p[0] + a[1] * p[1]
+        ends = [95 * score // 100 + d for d in (0, 1)] + [-(-50 * score // 100) - d for d in (0, 1)]
+        negatives = [(100 * k + 10 + j, 100 + k, [*divmod(t, a[0])]) for j, t in enumerate(ends)]
+        edge.append([(i, l, [x / 256 for x in v]) for i, l, v in [(100 * k, k, a), (100 * k + 1, k, p), *negatives]])
+    for rows in (big, wide, *edge):
+        want = brute_mine(rows, job := Mining(every=10 if len(rows) > 50 else 100))
+        assert want and mined(spark, rows, job) == want
+    with pytest.raises(Exception, match="cannot be computed exactly"):
+        mined(spark, [(50, 1, [1e8]), (51, 1, [1e8])], Mining())
+
+
 def test_mining_of_nothing(spark):
     assert mined(spark, [], Mining()) == []
     assert mined(spark, [(50, 1, [1.0])], Mining()) == []
