@@ -13,9 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from itertools import groupby
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwright.functions.scalars import quoted
 
@@ -24,16 +28,18 @@ ROWS_PER_RANGE = 2_000_000
 SAMPLED_PER_RANGE = 64
 #: Cuts up to which the table of cuts is broadcast; there is one cut for every ``rows_per_range`` rows.
 BROADCAST_CUTS = 100_000
+#: Children of a node of the tree of cuts: a row meets this many cuts per level, not all of its key.
+FAN = 16
 
 
 @dataclass(frozen=True)
 class Layout:
-    """``by`` and ``__cuts`` (ascending range starts after the first) of the keys that are parted, the number of all cuts and
-    the largest number of one key."""
+    """``by`` and ``__last``, the number of cuts, of the keys that are parted; the number of all cuts; and the levels of a tree of
+    the cuts from its root on. A level has ``by``, ``__node`` and ``__fences``, the range starts between the node's children."""
 
     frame: DataFrame
     total: int
-    longest: int
+    levels: list[DataFrame]
 
     def joined(self, df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
         """Left join with a table of one row per key or range of this layout."""
@@ -61,25 +67,43 @@ def range_cuts(rows: DataFrame, by: Sequence[str], place: Column, rows_per_range
     cuts = listed.collect()
     if not cuts:
         return None
+    keys = listed.select(*map(quoted, by)).schema
+    key_of = lambda row: tuple(row[c] for c in by)
+    spark = rows.sparkSession
     sizes = [len(r["__cuts"]) for r in cuts]
-    return Layout(rows.sparkSession.createDataFrame(cuts, listed.schema), sum(sizes), max(sizes))
+    frame = spark.createDataFrame([(*key_of(r), n) for r, n in zip(cuts, sizes)], T.StructType([*keys, T.StructField("__last", T.IntegerType())]))
+    node = T.StructType([*keys, T.StructField("__node", T.IntegerType()), T.StructField("__fences", listed.schema["__cuts"].dataType)])
+    levels, span = [], 1
+    while not levels or span <= max(sizes):
+        # range g starts at cut g - 1; the fences of a node are the starts of its children after the first
+        fences = []
+        for row, last in zip(cuts, sizes):
+            starts = range(span, last + 1, span)
+            for parent, some in groupby((g for g in starts if g // span % FAN), key=lambda g: g // span // FAN):
+                fences.append((*key_of(row), parent, [row["__cuts"][g - 1] for g in some]))
+        levels.insert(0, spark.createDataFrame(fences, node))
+        span *= FAN
+    return Layout(frame, sum(sizes), levels)
 
 
 def with_ranges(df: DataFrame, layout: Layout, by: Sequence[str], place: Column) -> DataFrame:
     """Adds ``__g``, the number of the row's range within its key (0 if it is not parted), and ``__parted``."""
     ranged = layout.joined(df.withColumn("__at", place), layout.frame, by).withColumn("__g", F.lit(0))
-    # Number of cuts at or before the place, by binary search, one column per halving: so it stays in generated
-    # code. An array function with a lambda would copy the cuts for every row.
-    for step in (1 << k for k in reversed(range(layout.longest.bit_length()))):
-        at = F.col("__g") + F.lit(step)
-        ranged = ranged.withColumn("__g", F.when(F.get("__cuts", at - 1) <= F.col("__at"), at).otherwise(F.col("__g")))
-    return ranged.withColumn("__parted", F.col("__cuts").isNotNull()).drop("__cuts", "__at")
+    # Down the tree, a level after the other: the child is the number of fences at or before the place. Each level names the one
+    # before it a fixed number of times and stands behind a join, so expressions do not grow with the cuts; a halving
+    # search in one expression triples with each step wherever the optimizer puts a column's definition in its place. An array
+    # function with a lambda would copy the fences for every row.
+    for level in layout.levels:
+        ranged = layout.joined(ranged.withColumnRenamed("__g", "__node"), level, [*by, "__node"])
+        passed = [F.when(F.get("__fences", F.lit(i)) <= F.col("__at"), 1).otherwise(0) for i in range(FAN - 1)]
+        ranged = ranged.withColumn("__g", F.col("__node") * FAN + reduce(add, passed)).drop("__node", "__fences")
+    return ranged.withColumn("__parted", F.col("__last").isNotNull()).drop("__last", "__at")
 
 
 def carried(layout: Layout, closing: DataFrame, by: Sequence[str], states: Sequence[str], backwards: bool = False) -> DataFrame:
     """``by``, ``__g`` and the state that each range of a parted key starts from: per column of ``states`` the last non-null
     closing state of the ranges before it (``backwards``: after it). ``closing`` has a row per key and range at most."""
-    ranges = layout.frame.select(*map(quoted, by), F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__g"))
+    ranges = layout.frame.select(*map(quoted, by), F.explode(F.sequence(F.lit(0), F.col("__last"))).alias("__g"))
     order = F.col("__g").desc() if backwards else F.col("__g").asc()
     earlier = Window.partitionBy(*map(quoted, by)).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     met = ranges.join(closing, [*by, "__g"], "left")

@@ -194,3 +194,19 @@ def test_asof_by_several_keys_and_suffix(spark):
     r = spark.createDataFrame([(1, "x", 3, 9.0), (1, "y", 4, 8.0)], "a int, b string, t int, v double")
     row = asof_join(l, r, "t", "t", ["a", "b"]).collect()[0]
     assert row.asDict() == {"a": 1, "b": "x", "t": 5, "v": 0.5, "t_right": 3, "v_right": 9.0}
+
+
+def test_thousands_of_ranges_keep_the_plan_small(spark):
+    """One key in some 2,000 ranges: the search for a row's range names its columns a few times, not 3 ** 11 times."""
+    n = 4000
+    df = spark.range(n).selectExpr("1 AS k", "id AS t", "IF(id % 7 = 0, id, NULL) AS v")
+    filled = forward_fill(df, "k", "t", ["v"], rows_per_range=2)
+    assert [tuple(r) for r in filled.orderBy("t").select("t", "v").collect()] == [(i, i - i % 7) for i in range(n)]
+    place = F.struct("t")
+    layout = range_cuts(df, ["k"], place, 2)
+    ranged = with_ranges(df, layout, ["k"], place)
+    assert layout.total > 1500 and len(layout.levels) == 3
+    # a join on the range puts its definition into a filter
+    text = ranged.join(ranged.select("__g", F.lit(1).alias("one")), "__g").where("__g > 3")._jdf.queryExecution().executedPlan().toString()
+    assert len(text) < 100_000
+    assert ranged.select("__g").distinct().count() == layout.total + 1
