@@ -7,6 +7,7 @@ the jobs read it as they would a vendor's. Customers are assets and order days a
 from __future__ import annotations
 
 import os
+import shutil
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from panelwright.operators.reshape import unpivot_panel
 from panelwright.plans import api, composite, prices, risk
 from panelwright.plans import vendor as V
 from panelwright.plans.catalog import ORDER_PANEL, QUERIES, _day, _price_source, _store, _sum, _t, query
-from panelwright.session import ship_package, shared_path
+from panelwright.session import Staging, ship_package, shared_path
 from panelwright.sources import archive, objects
 from panelwright.store import PanelStore
 from panelwright.streaming.incremental import start_feed
@@ -98,28 +99,33 @@ def local_root(spark: SparkSession) -> str:
 
 
 class _Writer:
-    """One zip archive after the other, written member by member and line by line."""
+    """One zip archive after the other, written member by member and line by line. ``whole`` gives members their first and last lines."""
 
-    def __init__(self, root: str, heads: list[str]):
-        self.root, self.heads = root, heads
-        self.archive = self.member = self.zip = self.stream = None
+    def __init__(self, heads: list[str], whole: bool = True):
+        self.heads, self.whole = heads, whole
+        self.path = self.member = self.zip = self.stream = None
 
-    def put(self, archive: str, member: str, kind: int, lines: list[str]) -> None:
-        if archive != self.archive:
+    def put(self, path: str, member: str, kind: int, lines: bytes) -> None:
+        if path != self.path:
             self.close()
-            self.archive, self.path = archive, os.path.join(self.root, archive)
-            os.makedirs(os.path.dirname(self.path), exist_ok=True)
-            self.part = f"{self.path}.{uuid.uuid4().hex}.part"
-            self.zip = zipfile.ZipFile(self.part, "w", zipfile.ZIP_DEFLATED)
+            self.path = path
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            self.part = f"{path}.{uuid.uuid4().hex}.part"
+            # pieces are read again at once and go, so they are not compressed
+            self.zip = zipfile.ZipFile(self.part, "w", zipfile.ZIP_DEFLATED if self.whole else zipfile.ZIP_STORED)
         if member != self.member:
             self.end_member()
-            self.member, self.stream = member, self.zip.open(member, "w")
-            self.stream.write(self.heads[kind].encode())
-        self.stream.write(("\n".join(lines) + "\n").encode())
+            self.member = member
+            # a member may be larger than 2 GB, which is not known before
+            self.stream = self.zip.open(member if self.whole else f"{kind}/{member}", "w", force_zip64=True)
+            if self.whole:
+                self.stream.write(self.heads[kind].encode())
+        self.stream.write(lines)
 
     def end_member(self) -> None:
         if self.stream:
-            self.stream.write(f"{sp.END_OF_FILE}\n".encode())
+            if self.whole:
+                self.stream.write(f"{sp.END_OF_FILE}\n".encode())
             self.stream.close()
         self.member = self.stream = None
 
@@ -128,7 +134,18 @@ class _Writer:
             self.end_member()
             self.zip.close()
             os.replace(self.part, self.path)  # whole or not at all, also when a task runs twice
-        self.archive = self.zip = None
+        self.path = self.zip = None
+
+
+def _joined_pieces(pieces: list[str], path: str, writer: _Writer) -> None:
+    """One archive of successive pieces, copied chunk by chunk; a member may go on in the next piece."""
+    for piece in pieces:
+        with zipfile.ZipFile(piece) as archive:
+            for name in archive.namelist():
+                kind, _, member = name.partition("/")
+                with archive.open(name) as stream:
+                    while chunk := stream.read(1 << 20):
+                        writer.put(path, member, int(kind), chunk)
 
 
 #: Optional column of rows to be written: their order within a member, before the order of their lines.
@@ -138,8 +155,12 @@ Part = tuple[DataFrame, sp.DatasetSpec, Column, Column]
 
 
 def put_archives(parts: list[Part], root: str) -> None:
-    """Write the rows as members of zip archives. Datasets may share archives, so all of them are dealt by archive and sorted by
-    member at once; a task streams its archives one line after the other."""
+    """Write the rows as members of zip archives.
+
+    Datasets may share archives, so all of them are sorted at once, by ranges of archive, member and line: an archive of any size is
+    sorted by many tasks. A task streams the archives that lie inside its range; of the first and the last one, which its
+    neighbours may hold as well, it leaves a piece, and pieces are copied together without a sort.
+    """
     spark = parts[0][0].sparkSession
     ship_package(spark)
     heads = ["preamble\n" * data.skip_lines + "|".join(data.raw.fieldNames()) + "\n" for _, data, _, _ in parts]
@@ -151,20 +172,54 @@ def put_archives(parts: list[Part], root: str) -> None:
         return rows.select(archive_of.alias("archive"), member_of.alias("member"), F.lit(kind).alias("kind"), place.alias("place"), line.alias("line"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, written = _Writer(root, heads), 0
+        from pyspark import TaskContext
+
+        task, left = TaskContext.get().partitionId(), []
+        inside, apart = _Writer(heads), _Writer(heads, whole=False)
+        # the last archive is known at the end only, so each but the first starts as a piece and is made whole when another follows
+        current = None
+
+        def follow(archive: str | None) -> None:
+            apart.close()
+            if len(left) > 1 and archive is not None:
+                name, piece = left.pop()
+                _joined_pieces([piece], os.path.join(root, name), inside)
+                inside.close()
+                os.remove(piece)
+            if archive is not None:
+                left.append((archive, f"{pieces}/{task}-{uuid.uuid4().hex}.piece"))
+
         for batch in batches:
             archives, members = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("archive", "member"))
             new = np.flatnonzero((archives[1:] != archives[:-1]) | (members[1:] != members[:-1])) + 1 if batch.num_rows else []
             for a, b in zip([0, *new], [*new, batch.num_rows]):
                 if a < b:
-                    writer.put(archives[a], members[a], batch.column("kind")[int(a)].as_py(), batch.column("line").slice(a, b - a).to_pylist())
-            written += batch.num_rows
+                    if archives[a] != current:
+                        follow(current := archives[a])
+                    lines = ("\n".join(batch.column("line").slice(a, b - a).to_pylist()) + "\n").encode()
+                    apart.put(left[-1][1], members[a], batch.column("kind")[int(a)].as_py(), lines)
+        follow(None)
+        columns = [pa.array([n for n, _ in left], pa.string()), pa.array([task] * len(left), pa.int32()), pa.array([p for _, p in left], pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["archive", "task", "piece"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer, joined = _Writer(heads), 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                _joined_pieces([row["piece"]], os.path.join(root, row["archive"]), writer)
+                joined += 1
         writer.close()
-        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["n"])
+        yield pa.RecordBatch.from_arrays([pa.array([joined], pa.int64())], ["n"])
 
     lines = reduce(DataFrame.unionByName, [placed(k, p) for k, p in enumerate(parts)])
-    dealt = lines.repartition("archive").sortWithinPartitions("archive", "member", "place", "line")
-    dealt.mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()
+    order = ["archive", "member", "place", "line"]
+    pieces = f"{local_root(spark)}-pieces"
+    with Staging(spark) as staging:
+        sorted_ = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+        left = staging.put(sorted_.mapInArrow(write, "archive string, task int, piece string"))
+        dealt = left.repartition("archive").sortWithinPartitions("archive", "task")
+        dealt.mapInArrow(join, "n long").write.format("noop").mode("overwrite").save()
+    shutil.rmtree(pieces, ignore_errors=True)
 
 
 def daily_part(rows: DataFrame, data: sp.DatasetSpec, day: Column | None = None) -> Part:
