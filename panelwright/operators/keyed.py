@@ -69,7 +69,8 @@ def _put(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], how: str)
     same = {k: stored.schema[k].dataType == incoming.schema[k].dataType for k in keys}
     typed = [quoted(k) if same[k] else quoted(k).cast(stored.schema[k].dataType).alias(k) for k in keys]
     fresh = [quoted(c).cast(stored.schema[c].dataType).alias(_NEW + c) for c in shared]
-    joined = stored.join(checked.select(*typed, *fresh), keys, how)
+    # by size of compressed files rows may pass for few that do not fit the driver's memory as a broadcast
+    joined = stored.join(checked.select(*typed, *fresh).hint("merge"), keys, how)
     return joined.select(
         [F.coalesce(quoted(_NEW + c), quoted(c)).alias(c) if c in shared else quoted(c) for c in stored.columns]
     )

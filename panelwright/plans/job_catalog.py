@@ -428,7 +428,8 @@ def _model_rows(store, *more: Column) -> DataFrame:
     exposed = store.read(sp.EXPOSURES).select("date", "barrid", first.alias("f0"))
     varied = store.read(sp.COVARIANCES).where(F.col("factor_1") == sp.FACTORS[0]).select("date", first.alias("c0"))
     returned = store.read(sp.FACTOR_RETURNS).select("date", F.round(first, 6).alias("r0"))
-    return assets.join(exposed, ["date", "barrid"], "left").join(varied, "date", "left").join(returned, "date", "left")
+    # a row per asset and day; three of 80 columns, most of them empty, are estimated at a small part of what they hold
+    return assets.join(exposed.hint("merge"), ["date", "barrid"], "left").join(varied, "date", "left").join(returned, "date", "left")
 
 
 _NAMES = ("name", "issuerid", "rootid", "iso_country_code")

@@ -72,3 +72,21 @@ def test_dedupe_latest(spark):
     assert rows(dedupe_latest(df, ["k"], ["v"]).where("k='A'")) == [("A", 2, "y")]
     assert dedupe_latest(df, ["k"]).columns == ["k", "v", "s"]
     assert dedupe_latest(df.select("k"), ["k"]).count() == 2
+
+
+def test_updates_and_model_rows_broadcast_no_panel(spark, tmp_path):
+    """Few bytes on disk may be many rows, so sides with a row per key are never sent whole to the driver and all executors."""
+
+    from panelwright import specs as sp
+    from panelwright.plans.job_catalog import _model_rows
+    from panelwright.store import PanelStore
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    stored = spark.createDataFrame([(1, 2)], "k int, v int")
+    assert "BroadcastHashJoin" not in plan(update(stored, spark.createDataFrame([(1, 3)], "k int, v int"), ["k"]))
+    store, day = PanelStore(spark, str(tmp_path)), date(1996, 1, 2)
+    store.upsert(sp.ASSETS, spark.createDataFrame([(day, "a", 1.0)], "date date, barrid string, price double"))
+    store.upsert(sp.EXPOSURES, spark.createDataFrame([(day, "a", 2.0)], f"date date, barrid string, `{sp.FACTORS[0]}` double"))
+    rows = _model_rows(store)
+    assert [(r.barrid, r.price, r.f0) for r in rows.collect()] == [("a", 1.0, 2.0)]
+    assert not [line for line in plan(rows).split("\n") if "BroadcastHashJoin" in line and "barrid" in line]
