@@ -489,7 +489,7 @@ def risk_model_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = _store_matrix_tables(vendor)
     members = api.load_assets_by_date(vendor.store, session, ["barrid", "ticker"], in_universe=True)
     cells = api.construct_covariance_matrix(vendor.store, session, members)
-    return cells.select("date", "id_i", "id_j", F.round("value", 6).alias("value"))
+    return cells.select("date", "id_i", "id_j", S.rounded(F.col("value"), 6).alias("value"))
 
 
 @query
@@ -501,7 +501,7 @@ def matrix_by_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     tickers = [str(r[0]) for r in _newest_per_segment(spark, sf_dir).select("custkey").collect()] + ["nobody"]
     wide = api.covariance_by_ticker(vendor.store, session, tickers)
     cells = unpivot_panel(wide, ["ticker"], sorted(tickers), "other", "value")
-    return cells.select("ticker", "other", F.round("value", 6).alias("value"))
+    return cells.select("ticker", "other", S.rounded(F.col("value"), 6).alias("value"))
 
 
 def _store_matrix_tables(vendor: Vendor) -> date:
@@ -546,7 +546,7 @@ def daily_matrix_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     vendor = Vendor(spark, sf_dir)
     target = shared_path(spark, "matrix")
     risk.daily_matrix(spark, _daily_matrix_tree(vendor), vendor.calendar, TODAY, target)
-    return spark.read.parquet(target).select("date", "ticker_i", "ticker_j", F.round("value", 6).alias("value"))
+    return spark.read.parquet(target).select("date", "ticker_i", "ticker_j", S.rounded(F.col("value"), 6).alias("value"))
 
 
 @query
@@ -558,7 +558,7 @@ def daily_submatrix_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     asset = _newest_per_segment(spark, sf_dir)
     # one name per segment
     tickers = [r[0] for r in asset.select(F.concat(F.lit("T"), "custkey")).collect()]
-    return risk.submatrix(spark, target, session, tickers).select("date", "ticker_i", "ticker_j", F.round("value", 6).alias("value"))
+    return risk.submatrix(spark, target, session, tickers).select("date", "ticker_i", "ticker_j", S.rounded(F.col("value"), 6).alias("value"))
 
 
 def _newest_per_segment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,3 +121,14 @@ def test_membership(spark):
     assert [got["A", d] for d in days] == [none, r1, r1, out, out]
     assert [got["B", d] for d in days] == [none, out, out, r2, r2]
     assert got["E", days[1]] == out and len(got) == 11
+
+
+def test_rounded_is_round_without_decimals(spark):
+    """Halves, signs, zeros, large and odd numbers; and the plan goes the short way: only what is near a half asks ``round``."""
+    from panelwright.functions.scalars import rounded
+
+    halves = spark.range(4000).selectExpr("(id - 2000 + 0.5) / 1e6 AS v")
+    spread = spark.range(4000).selectExpr("(rand(3) - 0.5) * pow(10, cast(id % 16 AS int) - 8) AS v")
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (-0.0,), (None,), (-1e-9,), (1e300,), (123456789.1234565,)], "v double")
+    for row in halves.union(spread).union(odd).select(F.round("v", 6).alias("a"), rounded(F.col("v"), 6).alias("b")).collect():
+        assert repr(row.a) == repr(row.b)
