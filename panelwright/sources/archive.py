@@ -40,6 +40,8 @@ from panelwright.specs import ARRIVAL, END_OF_FILE, DatasetSpec
 
 #: Most compressed bytes of a partition, unless one member is larger; what opening a member counts for.
 PACK_BYTES, OPEN_BYTES = 16 << 20, 16 << 10
+#: Bytes of a member that are read and parsed at once.
+CHUNK_BYTES = 4 << 20
 #: Rows of small members that are handed on together.
 _TOGETHER = 1 << 15
 
@@ -158,20 +160,21 @@ class _Reading:
             raise ValueError(f"{path} {member}: no column {lacking} in {header}")
         if not stream.peek(1):
             return
-        reader = pa_csv.open_csv(
-            pa.PythonFile(stream, mode="r"),
-            read_options=pa_csv.ReadOptions(column_names=header, block_size=4 << 20),
-            parse_options=pa_csv.ParseOptions(delimiter=self._option("separator", "|"), invalid_row_handler=on_odd_row),
-            convert_options=pa_csv.ConvertOptions(
-                column_types={f.name: f.type for f in wanted},
-                include_columns=[f.name for f in wanted],
-                include_missing_columns=True,
-                null_values=[""],
-                strings_can_be_null=True,
-            ),
-        )
+        # a chunk at a time: a streaming reader reads on by up to 32 blocks while its last batch is in use
         line = 0
-        for batch in reader:
+        for chunk in _line_chunks(stream):
+            batch = pa_csv.read_csv(
+                pa.BufferReader(chunk),
+                read_options=pa_csv.ReadOptions(use_threads=False, column_names=header, block_size=len(chunk) + 1),
+                parse_options=pa_csv.ParseOptions(delimiter=self._option("separator", "|"), invalid_row_handler=on_odd_row),
+                convert_options=pa_csv.ConvertOptions(
+                    column_types={f.name: f.type for f in wanted},
+                    include_columns=[f.name for f in wanted],
+                    include_missing_columns=True,
+                    null_values=[""],
+                    strings_can_be_null=True,
+                ),
+            )
             n = batch.num_rows
             origin = {
                 "_archive": lambda: pa.repeat(pa.scalar(os.path.basename(path)), n),
@@ -179,13 +182,28 @@ class _Reading:
                 "_line": lambda: pa.array(range(line, line + n), pa.int64()),
             }
             arrays = [
-                origin[f.name]() if f.name in ARRIVAL else batch.column(batch.schema.get_field_index(f.name)).cast(f.type)
+                origin[f.name]() if f.name in ARRIVAL else batch.column(batch.schema.get_field_index(f.name)).combine_chunks().cast(f.type)
                 for f in target
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
             line += n
 
 
+def _line_chunks(stream) -> Iterator[bytes]:
+    """The rest of a stream as runs of whole lines of about ``CHUNK_BYTES``; a longer line comes whole, empty lines alone do not come."""
+    held: list[bytes] = []
+    while data := stream.read(CHUNK_BYTES):
+        if end := data.rfind(b"\n") + 1:
+            chunk, held = b"".join([*held, data[:end]]), [data[end:]]
+            if chunk.strip(b"\r\n"):
+                yield chunk
+        else:
+            held.append(data)
+    chunk = b"".join(held)
+    if chunk.strip(b"\r\n"):
+        yield chunk
+
+
 def _joined(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
     """Small batches as one."""
     return pa.Table.from_batches(batches).combine_chunks().to_batches() if batches else []

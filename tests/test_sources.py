@@ -188,3 +188,41 @@ def test_stream_offsets_are_digests_with_a_log(spark, tmp_path):
     # a new reader, as after a restart, goes on from what was committed
     reader = archive.ArchiveStreamReader(RETURNS_DATA.raw, options)
     assert fresh(offsets[2], reader.latestOffset()) == names[2:]
+
+
+def test_members_are_read_chunk_by_chunk(tmp_path, monkeypatch):
+    """While a batch is in use no more of the member has been read than its chunk; a row longer than a chunk comes whole."""
+    import io
+
+    class Counted(io.BytesIO):
+        def readinto(self, into):
+            got = super().readinto(into)
+            self.taken = getattr(self, "taken", 0) + got
+            return got
+
+        def read(self, size=-1):
+            got = super().read(size)
+            self.taken = getattr(self, "taken", 0) + len(got)
+            return got
+
+    monkeypatch.setattr(archive, "CHUNK_BYTES", 1 << 16)
+    body = b"".join(b"%d|%s\r\n" % (i, b"x" * 90) for i in range(20000)) + b"7|" + b"y" * 200_000 + b"\n\n[End of File]\n"
+    stream = Counted(b"n|text\n" + body)
+    rows = taken = 0
+    texts = []
+    for batch in archive.ArchiveReader(schema_of("n bigint, text string"), {})._batches(stream, "path", "member"):
+        rows, taken = rows + batch.num_rows, taken + batch.nbytes
+        texts.append(batch.column(1)[batch.num_rows - 1].as_py())
+        assert stream.taken < taken + 400_000
+    assert rows == 20001 and texts[-1] == "y" * 200_000
+
+
+def test_blank_and_marker_lines_at_chunk_ends(monkeypatch):
+    import io
+
+    reader = archive.ArchiveReader(schema_of("a string, b double"), {})
+    for size in (1, 3, 5, 1 << 20):
+        monkeypatch.setattr(archive, "CHUNK_BYTES", size)
+        got = lambda body: [r for b in reader._batches(io.BytesIO(b"a|b\n" + body), "p", "m") for r in b.to_pylist()]
+        assert got(b"") == got(b"\n\n") == got(b"[End of File]") == got(b"\r\n[End of File]\r\n") == []
+        assert got(b'"x|y"|1\r\n\nz|2\n[End of File]\n') == [{"a": "x|y", "b": 1.0}, {"a": "z", "b": 2.0}]
