@@ -41,27 +41,43 @@ def _stamp(column: str) -> Column:
 
 def _sold(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = _t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "orders")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.withColumns({"barrid": F.concat(F.lit("USA"), "o_custkey"), "day": _stamp("o_orderdate"), "line": F.col("l_linenumber") - 1})
+    # texts are made once per order, not per line
+    named = orders.withColumns({"barrid": F.concat(F.lit("USA"), "o_custkey"), "day": _stamp("o_orderdate")})
+    joined = lines.join(named, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.withColumn("line", F.col("l_linenumber") - 1)
 
 
 def _factor(place: Column) -> Column:
     return F.get(F.array(*map(F.lit, sp.FACTORS)), place)
 
 
-def raw_rows(spark: SparkSession, sf_dir: str, data: sp.DatasetSpec) -> DataFrame:
-    """Rows of one raw dataset, with the columns of its files."""
-    sold = _sold(spark, sf_dir)
-    per_asset = sold.groupBy(F.col("barrid").alias("!Barrid"), F.col("day").alias("DataDate"))
-    whole = sold.groupBy(F.col("barrid").alias("!Barrid"))
+#: Columns of the sold lines that the raw datasets are made from.
+_SOLD = ("barrid", "day", "line", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority", "l_suppkey", "l_quantity", "l_discount", "l_tax")
+#: Datasets that are made from ``asset_days`` alone.
+_BY_ASSET = (sp.RETURNS_DATA, sp.SPECIFIC_RETURNS_DATA, sp.RISK_DATA, sp.VOLUME_DATA, sp.IDENTITY_DATA, sp.IDS_DATA)
+
+
+def asset_days(sold: DataFrame) -> DataFrame:
+    """One row per asset and day with what any dataset of assets takes from its lines."""
+    greatest = [F.max(c).alias(c) for c in ("o_totalprice", "o_orderstatus", "o_custkey", "o_orderpriority", "l_tax", "l_discount", "l_quantity")]
+    least = [F.min(c).alias(f"least_{c}") for c in ("l_tax", "l_discount")]
+    return sold.groupBy("barrid", "day").agg(*greatest, *least, _sum("l_quantity").alias("sum_quantity"))
+
+
+def raw_rows(spark: SparkSession, sf_dir: str, data: sp.DatasetSpec, sold: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
+    """Rows of one raw dataset, with the columns of its files. ``sold`` and ``days`` are lines and ``asset_days`` made before."""
+    sold = _sold(spark, sf_dir) if sold is None else sold
+    days = asset_days(sold) if days is None else days
+    key = [F.col("barrid").alias("!Barrid"), F.col("day").alias("DataDate")]
+    whole = days.groupBy(F.col("barrid").alias("!Barrid"))
     if data.name == "returns":
-        rows = per_asset.agg(F.max("o_totalprice").alias("Price"), _sum("l_quantity").alias("Capt"), F.max("o_orderstatus").alias("PriceSource"), F.lit("USD").alias("Currency"), F.max("l_discount").alias("DlyReturn%"))
+        rows = days.select(*key, F.col("o_totalprice").alias("Price"), F.col("sum_quantity").alias("Capt"), F.col("o_orderstatus").alias("PriceSource"), F.lit("USD").alias("Currency"), F.col("l_discount").alias("DlyReturn%"))
     elif data.name == "specific_returns":
-        rows = per_asset.agg(F.max("l_tax").alias("SpecificReturn"))
+        rows = days.select(*key, F.col("l_tax").alias("SpecificReturn"))
     elif data.name == "risk":
-        rows = per_asset.agg(F.max("l_tax").alias("Yield%"), F.max("l_quantity").alias("TotalRisk%"), (F.max("l_discount") + 1).alias("SpecRisk%"), F.min("l_tax").alias("HistBeta"), F.min("l_discount").alias("PredBeta"))
+        rows = days.select(*key, F.col("l_tax").alias("Yield%"), F.col("l_quantity").alias("TotalRisk%"), (F.col("l_discount") + 1).alias("SpecRisk%"), F.col("least_l_tax").alias("HistBeta"), F.col("least_l_discount").alias("PredBeta"))
     elif data.name == "volume":
-        rows = per_asset.agg(_sum("l_quantity").alias("DailyVolume"))
+        rows = days.select(*key, F.col("sum_quantity").alias("DailyVolume"))
     elif data.name == "exposures":
         grouped = sold.groupBy(F.col("barrid").alias("!Barrid"), F.col("day").alias("DataDate"), _factor(F.col("line")).alias("Factor"))
         rows = grouped.agg(F.max("l_quantity").alias("Exposure"))
@@ -74,7 +90,7 @@ def raw_rows(spark: SparkSession, sf_dir: str, data: sp.DatasetSpec) -> DataFram
         rows = whole.agg(F.concat(F.lit("name "), F.max("o_custkey")).alias("Name"), F.lit("STOCK").alias("Instrument"), F.max("o_orderpriority").alias("IssuerID"), F.lit("USA").alias("ISOCountryCode"), F.lit("USD").alias("ISOCurrencyCode"), F.max("o_orderstatus").alias("RootID"), F.min("day").alias("StartDate"), F.lit(FAR).alias("EndDate"))
     else:
         local = whole.agg(F.lit("LOCALID").alias("AssetIDType"), F.concat(F.lit("UST"), F.max("o_custkey")).alias("AssetID"), F.min("day").alias("StartDate"), F.lit(FAR).alias("EndDate"))
-        cusips = per_asset.agg(F.lit("CUSIP").alias("AssetIDType"), F.max("o_orderstatus").alias("AssetID"), F.lit(FAR).alias("EndDate")).withColumnRenamed("DataDate", "StartDate")
+        cusips = days.select(key[0], F.col("day").alias("StartDate"), F.lit("CUSIP").alias("AssetIDType"), F.col("o_orderstatus").alias("AssetID"), F.lit(FAR).alias("EndDate"))
         rows = local.unionByName(cusips)
     return FR.add_missing_columns(rows, data.raw).select(data.raw.fieldNames())
 
@@ -112,7 +128,8 @@ class _Writer:
             os.makedirs(os.path.dirname(path), exist_ok=True)
             self.part = f"{path}.{uuid.uuid4().hex}.part"
             # pieces are read again at once and go, so they are not compressed
-            self.zip = zipfile.ZipFile(self.part, "w", zipfile.ZIP_DEFLATED if self.whole else zipfile.ZIP_STORED)
+            # archives are read once or twice, so at the fastest level
+            self.zip = zipfile.ZipFile(self.part, "w", zipfile.ZIP_DEFLATED if self.whole else zipfile.ZIP_STORED, compresslevel=1)
         if member != self.member:
             self.end_member()
             self.member = member
@@ -212,11 +229,14 @@ def put_archives(parts: list[Part], root: str) -> None:
         yield pa.RecordBatch.from_arrays([pa.array([joined], pa.int64())], ["n"])
 
     lines = reduce(DataFrame.unionByName, [placed(k, p) for k, p in enumerate(parts)])
-    order = ["archive", "member", "place", "line"]
+    # archives may come in any order; by a hash most rows are told apart by the first eight bytes of their sort key, which names that
+    # all begin alike are not
+    order = ["hash", "archive", "member", "place", "line"]
     pieces = f"{local_root(spark)}-pieces"
     with Staging(spark) as staging:
-        sorted_ = lines.repartitionByRange(*order).sortWithinPartitions(*order)
-        left = staging.put(sorted_.mapInArrow(write, "archive string, task int, piece string"))
+        # a range sort goes over its rows twice, first for a sample; what makes the rows is done once
+        sorted_ = staging.put(lines).withColumn("hash", F.xxhash64("archive")).repartitionByRange(*order).sortWithinPartitions(*order)
+        left = staging.put(sorted_.drop("hash").mapInArrow(write, "archive string, task int, piece string"))
         dealt = left.repartition("archive").sortWithinPartitions("archive", "task")
         dealt.mapInArrow(join, "n long").write.format("noop").mode("overwrite").save()
     shutil.rmtree(pieces, ignore_errors=True)
@@ -252,17 +272,28 @@ class Vendor:
     def jobs(self, root: str) -> V.VendorJobs:
         return V.VendorJobs(self.store, root, self.calendar, TODAY)
 
-    def _rows(self, data: sp.DatasetSpec) -> DataFrame:
-        return raw_rows(self.spark, self.sf_dir, data)
-
     def tree(self, daily=(), history=(), latest=()) -> str:
         """One tree with the datasets in their daily and history archives; ``latest`` ones come whole with the newest session."""
-        root = local_root(self.spark)
-        parts = [daily_part(self._rows(d), d) for d in daily] + [history_part(self._rows(d), d) for d in history]
+        root, newest = local_root(self.spark), None
         if latest:
-            (session,) = self.jobs(root).sessions(1)
-            parts += [daily_part(self._rows(d), d, F.lit(f"{session:%Y%m%d}")) for d in latest]
-        put_archives(parts, root)
+            (newest,) = self.jobs(root).sessions(1)
+        with Staging(self.spark) as staging:
+            # lines and asset days that several datasets are made from are joined and aggregated once
+            datasets, sold, days = [*daily, *history, *latest], None, None
+            if len(datasets) > 1:
+                sold = _sold(self.spark, self.sf_dir).select(*_SOLD)
+                by_asset = sum(d in _BY_ASSET for d in datasets)
+                if len(datasets) > by_asset + 1 or 0 < by_asset < len(datasets):
+                    sold = staging.put(sold)
+                if by_asset > 1:
+                    days = staging.put(asset_days(sold))
+
+            def rows(data: sp.DatasetSpec) -> DataFrame:
+                return raw_rows(self.spark, self.sf_dir, data, sold, days)
+
+            parts = [daily_part(rows(d), d) for d in daily] + [history_part(rows(d), d) for d in history]
+            parts += [daily_part(rows(d), d, F.lit(f"{newest:%Y%m%d}")) for d in latest]
+            put_archives(parts, root)
         return root
 
     def daily(self, data: sp.DatasetSpec) -> str:
