@@ -1,7 +1,7 @@
 """Matrices kept as blocks, and sub-matrices that open only the blocks of their names.
 
-A block is one row and one row group, with the numbers of its two sides in the group's statistics. A small index beside the
-blocks has the side of each name, taken from the diagonal blocks.
+A block is one row and one row group, with the numbers of its two sides and their distance in the group's statistics. A small
+index beside the blocks has the side of each name, taken from the diagonal blocks: of all others only the statistics are read.
 """
 
 from __future__ import annotations
@@ -14,21 +14,25 @@ from pyspark.sql import functions as F
 from panelwright.functions.scalars import quoted
 from panelwright.sources.objects import write_parquet
 
+#: Stored column: how many blocks a block lies from the diagonal.
+_APART = "__apart"
+
 
 def write_blocks(blocks: DataFrame, path: str, panels: Column, panel: str = "date") -> None:
     """Blocks of ``asset_covariance_blocks`` below ``path``, one partition per panel; panels that occur in them are replaced.
 
     ``panels`` is a condition that holds for the panels written, such as ``F.col("date") == day``: those are indexed anew.
     """
-    ordered = blocks.sortWithinPartitions(panel, "bi", "bj")
+    # two columns are not compared with statistics, a stored one and a number are
+    ordered = blocks.withColumn(_APART, F.col("bj") - F.col("bi")).sortWithinPartitions(panel, "bi", "bj")
     writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.option("parquet.block.row.count.limit", 1).partitionBy(panel).parquet(f"{path}/blocks")
-    diagonal = stored_blocks(blocks.sparkSession, path).where(panels & (F.col("bi") == F.col("bj")))
+    diagonal = blocks.sparkSession.read.parquet(f"{path}/blocks").where(panels & (F.col(_APART) == 0))
     write_parquet(diagonal.select(panel, F.explode("row_ids").alias("id"), F.col("bi").alias("side")), f"{path}/index", panel)
 
 
 def stored_blocks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/blocks")
+    return spark.read.parquet(f"{path}/blocks").drop(_APART)
 
 
 def sides_of(spark: SparkSession, path: str, names: Sequence, panels: Column) -> list[int]:
