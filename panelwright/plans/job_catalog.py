@@ -67,9 +67,10 @@ def asset_days(sold: DataFrame) -> DataFrame:
 def raw_rows(spark: SparkSession, sf_dir: str, data: sp.DatasetSpec, sold: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """Rows of one raw dataset, with the columns of its files. ``sold`` and ``days`` are lines and ``asset_days`` made before."""
     sold = _sold(spark, sf_dir) if sold is None else sold
+    # the columns that whole assets need have the same names and extremes in both
+    whole = (sold if days is None else days).groupBy(F.col("barrid").alias("!Barrid"))
     days = asset_days(sold) if days is None else days
     key = [F.col("barrid").alias("!Barrid"), F.col("day").alias("DataDate")]
-    whole = days.groupBy(F.col("barrid").alias("!Barrid"))
     if data.name == "returns":
         rows = days.select(*key, F.col("o_totalprice").alias("Price"), F.col("sum_quantity").alias("Capt"), F.col("o_orderstatus").alias("PriceSource"), F.lit("USD").alias("Currency"), F.col("l_discount").alias("DlyReturn%"))
     elif data.name == "specific_returns":
